@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,8 +73,18 @@ class Medallion:
 STANDIN_RANGE = ("1995-01-01", "2001-12-31")
 
 
+# Frames are lazy plans: building them once per session and folder saves reading
+# file footers and analysing the same plans for every query. No data is kept.
+_built: WeakKeyDictionary[SparkSession, dict[str, Medallion]] = WeakKeyDictionary()
+
+
 def from_standins(spark: SparkSession, folder: str) -> Medallion:
-    source = StandIns(spark, folder)
-    return Medallion(
-        spark, lambda name: getattr(source, name)(), calendar.days_between(spark, *STANDIN_RANGE)
-    )
+    known = _built.setdefault(spark, {})
+    if folder not in known:
+        source = StandIns(spark, folder)
+        known[folder] = Medallion(
+            spark,
+            lambda name: getattr(source, name)(),
+            calendar.days_between(spark, *STANDIN_RANGE),
+        )
+    return known[folder]

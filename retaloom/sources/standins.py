@@ -8,6 +8,7 @@ lazy frame; columns that a query does not use never leave the scan.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -25,10 +26,14 @@ def _code(prefix: str, key: Column, width: int) -> Column:
 class StandIns:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
+    @cache
     def lines(self) -> DataFrame:
         """Lines with exact money and a deterministic tag per stored row."""
         gross, off = money("l_extendedprice"), money("l_discount")
