@@ -21,6 +21,7 @@ class Medallion:
 
     def __init__(self, spark: SparkSession, raw: Callable[[str], DataFrame], days: DataFrame):
         self.spark, self._raw, self.days = spark, raw, days
+        self.folder: str | None = None  # where the stand-in tables are, if they are
         self._made: dict[tuple[str, str], DataFrame] = {}
 
     def _once(self, layer: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
@@ -56,6 +57,12 @@ class Medallion:
         }
         return self._once("fact", name, makers[name])
 
+    def with_fact(self, name: str, frame: DataFrame) -> Medallion:
+        """The same star over another fact frame, such as some months of it."""
+        other = Medallion(self.spark, self._raw, self.days)
+        other._made = {**self._made, ("fact", name): frame}
+        return other
+
     @cached_property
     def commercial(self) -> DataFrame:
         return cubes.commercial(self)
@@ -87,4 +94,5 @@ def from_standins(spark: SparkSession, folder: str) -> Medallion:
             lambda name: getattr(source, name)(),
             calendar.days_between(spark, *STANDIN_RANGE),
         )
+        known[folder].folder = folder
     return known[folder]
