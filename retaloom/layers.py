@@ -56,15 +56,25 @@ class StoredMedallion(Medallion):
         super().__init__(spark, self._raw_table,
                          calendar.days_between(spark, cfg.first_day, cfg.last_day))
 
-    def _raw_table(self, name: str) -> DataFrame:
-        df = tables.read_table(self.spark, path(self.cfg, "raw", name), tag=name == "ventas")
-        return df.drop("archivo_origen")
+    def _raw_table(self, name: str, tag: bool = False) -> DataFrame:
+        return tables.read_table(self.spark, path(self.cfg, "raw", name), tag).drop("archivo_origen")
+
+    def small(self, name: str) -> DataFrame:
+        """Stored tables have a known size: Spark decides from their files."""
+        if {"dim", "fact"} <= self.stored:
+            return self.fact(name) if name.startswith("metas_") else self.dim(name)
+        return super().small(name)
+
+    def tagged_sales(self, once: bool = False) -> DataFrame:
+        if "trusted" not in self.stored:
+            return super().tagged_sales(once)
+        sales = tables.read_table(self.spark, path(self.cfg, "trusted", "ventas"), tag=True)
+        return curated.fact_ventas(sales, self.trusted("devoluciones"), once)
 
     def _once(self, layer: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if layer in self.stored and layer == "trusted":
             found = path(self.cfg, "trusted", name)
-            return super()._once(
-                layer, name, lambda: tables.read_table(self.spark, found, tag=name == "ventas"))
+            return super()._once(layer, name, lambda: tables.read_table(self.spark, found))
         if layer in self.stored and (layer, name) in STORED:
             found = path(self.cfg, "curated", STORED[layer, name])
             return super()._once(layer, name, lambda: tables.read_table(self.spark, found))
@@ -93,19 +103,20 @@ def run_trusted(spark: SparkSession, cfg: Config) -> None:
     star, log = StoredMedallion(spark, cfg, []), audit_log(spark, cfg, "trusted")
     for name in trusted.RULES:
         audit.run_step(
-            log, name, "FULL_REFRESH", lambda: star.trusted(name).drop("_tag"),
+            log, name, "FULL_REFRESH", lambda: star.trusted(name),
             lambda df: tables.write_table(
                 df, path(cfg, "trusted", name), trusted.LAYOUT_DATE.get(name)))
 
 
 def run_curated(spark: SparkSession, cfg: Config) -> None:
     star, log = StoredMedallion(spark, cfg, ["trusted"]), audit_log(spark, cfg, "curated")
-    numbered = {"ventas": curated.numbered_sales, "inventario": curated.numbered_inventory}
+    numbered = {
+        "FACT_VENTAS": lambda: curated.numbered_sales(star.tagged_sales()),
+        "FACT_INVENTARIO": lambda: curated.numbered_inventory(star.fact("inventario")),
+    }
     for (kind, name), table in STORED.items():
-        def make() -> DataFrame:
-            df = star.dim(name) if kind == "dim" else star.fact(name)
-            return numbered[name](df) if kind == "fact" and name in numbered else df
-        audit.run_step(log, table, "FULL_REFRESH", make,
+        plain = (lambda: star.dim(name)) if kind == "dim" else (lambda: star.fact(name))
+        audit.run_step(log, table, "FULL_REFRESH", numbered.get(table, plain),
                        lambda df: tables.write_table(df, path(cfg, "curated", table)))
 
 

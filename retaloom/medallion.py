@@ -8,6 +8,7 @@ from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
+from retaloom.operators.joins import small_side
 from retaloom.plans import calendar, cubes, curated, trusted
 from retaloom.sources.standins import StandIns
 
@@ -15,11 +16,12 @@ from retaloom.sources.standins import StandIns
 class Medallion:
     """Raw, trusted and curated tables by name, derived on demand.
 
-    ``raw`` gives the raw table of a name. ``days`` is the frame of calendar days;
+    ``raw`` gives the raw table of a name; with a true second argument it adds a tag
+    to every row of the sales table. ``days`` is the frame of calendar days;
     its range is a parameter of the deployment.
     """
 
-    def __init__(self, spark: SparkSession, raw: Callable[[str], DataFrame], days: DataFrame):
+    def __init__(self, spark: SparkSession, raw: Callable[..., DataFrame], days: DataFrame):
         self.spark, self._raw, self.days = spark, raw, days
         self.folder: str | None = None  # where the stand-in tables are, if they are
         self._made: dict[tuple[str, str], DataFrame] = {}
@@ -57,6 +59,22 @@ class Medallion:
         }
         return self._once("fact", name, makers[name])
 
+    def small(self, name: str) -> DataFrame:
+        """A dimension or target table that is small by nature, with its size measured.
+
+        Beyond the limit it is the plain frame, and joins with it are shuffled.
+        """
+        kind = self.fact if name.startswith("metas_") else self.dim
+        return self._once("small", name, lambda: small_side(kind(name)))
+
+    def tagged_sales(self, once: bool = False) -> DataFrame:
+        """Sales fact with issue date, line id and a deterministic tag per stored row.
+
+        The tag is read only here: it costs a metadata column in the scan.
+        """
+        sales = trusted.RULES["ventas"](self._raw("ventas", True))
+        return curated.fact_ventas(sales, self.trusted("devoluciones"), once)
+
     def with_fact(self, name: str, frame: DataFrame) -> Medallion:
         """The same star over another fact frame, such as some months of it."""
         other = Medallion(self.spark, self._raw, self.days)
@@ -91,7 +109,7 @@ def from_standins(spark: SparkSession, folder: str) -> Medallion:
         source = StandIns(spark, folder)
         known[folder] = Medallion(
             spark,
-            lambda name: getattr(source, name)(),
+            source.read,
             calendar.days_between(spark, *STANDIN_RANGE),
         )
         known[folder].folder = folder

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 @dataclass(frozen=True)
@@ -20,62 +20,56 @@ class Dim:
     key: str
     attrs: list[str | Column]
     unique: bool = False
-    small: bool = False  # size fixed by a parameter, such as the calendar range
+    small: bool = False  # size fixed by a parameter, as the calendar by its range
     names: list[str] = field(init=False)
 
     def __post_init__(self):
-        attrs = self.frame.select(*self.attrs).columns
-        object.__setattr__(self, "names", attrs)
+        object.__setattr__(self, "names", self.frame.select(*self.attrs).columns)
+
+    def _sized(self, rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if self.small else rows
 
     def rows(self) -> DataFrame:
-        picked = self.frame.select(F.col(self.key), *self.attrs)
-        return F.broadcast(picked) if self.small else picked
+        return self._sized(self.frame.select(F.col(self.key), *self.attrs))
 
     def representative(self) -> DataFrame:
-        """key -> lowest key having the same attributes."""
+        """key -> lowest key having the same attributes.
+
+        A window over the dimension only: Spark keeps the size estimate of the
+        dimension, which a join of it with its own groups would lose.
+        """
+        same = Window.partitionBy(*self.names)
         rows = self.frame.select(F.col(self.key), *self.attrs)
-        lowest = rows.groupBy(*self.names).agg(F.min(self.key).alias("_rep"))
-        same = [rows[n].eqNullSafe(lowest[n]) for n in self.names]
-        return rows.join(lowest, same).select(rows[self.key], "_rep")
+        return self._sized(rows.select(self.key, F.min(self.key).over(same).alias("_rep")))
 
 
 def star_join(fact: DataFrame, dims: list[Dim]) -> DataFrame:
     """Inner join of a fact with its dimensions.
 
-    No hint is forced on a dimension that can grow: Spark broadcasts it while its
-    size, known from the files or measured at run time, is under the threshold,
-    and shuffles (with skew handling) beyond it.
+    Only dimensions of fixed or measured size carry a broadcast hint (the latter on
+    their frame, see ``small_side``). Others are broadcast by Spark while the size
+    of their files is under its threshold, and shuffled with skew handling beyond.
     """
     for dim in dims:
         fact = fact.join(dim.rows(), dim.key)
     return fact
 
 
-def star_cube(
-    fact: DataFrame,
-    dims: list[Dim],
-    measures: list[Column],
-    before: list[Column] | None = None,
-) -> DataFrame:
+def star_cube(fact: DataFrame, dims: list[Dim], measures: list[Column]) -> DataFrame:
     """Group a fact by the attributes of its dimensions.
 
-    The shuffle carries one long per dimension and the measures. Attributes,
-    which are many and wide, are attached to the aggregated rows only. ``before``
-    lists further columns to carry into a first grouping ahead of the measures:
-    it removes repeats (same keys and same columns) before they are counted.
+    The shuffle carries one long per dimension and the measures, combined before
+    it. Attributes, which are many and wide, are attached to the aggregated rows
+    only. A fact row without a partner drops out, as in an inner join.
     """
     keys = []
     for dim in dims:
         if dim.unique:
-            # inner-join semantics: facts without a calendar day or SKU drop out
-            # when the attributes are attached
             keys.append(dim.key)
         else:
             rep = f"_rep_{dim.key}"
             fact = fact.join(dim.representative(), dim.key).withColumnRenamed("_rep", rep)
             keys.append(rep)
-    if before:
-        fact = fact.groupBy(*keys, *before).agg(F.count(F.lit(1)).alias("_copies"))
     cube = fact.groupBy(*keys).agg(*measures)
     for dim, key in zip(dims, keys):
         rows = dim.rows()

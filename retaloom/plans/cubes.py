@@ -62,7 +62,7 @@ def with_targets(fact: DataFrame, targets: DataFrame, key: str, how: str = "inne
 
 
 def commercial(star, how: str = "inner") -> DataFrame:
-    fact = with_targets(star.fact("ventas"), star.fact("metas_comercial"), "id_canal", how)
+    fact = with_targets(star.fact("ventas"), star.small("metas_comercial"), "id_canal", how)
     net, cost = F.col("ventas_netas_soles"), F.col("costo_ventas_soles")
     measures = [
         F.sum(net).alias("ventas_netas"),
@@ -76,8 +76,8 @@ def commercial(star, how: str = "inner") -> DataFrame:
     ] + [F.max(source).alias(name) for name, source in COMMERCIAL_TARGETS.items()]
     dims = [
         _time(star, TIME),
-        Dim(star.dim("canal"), "id_canal", CHANNEL),
-        Dim(star.dim("geografia"), "id_geografia", PLACE),
+        Dim(star.small("canal"), "id_canal", CHANNEL),
+        Dim(star.small("geografia"), "id_geografia", PLACE),
         _product(star),
         Dim(star.dim("vendedor"), "id_vendedor", _seller()),
     ]
@@ -87,8 +87,8 @@ def commercial(star, how: str = "inner") -> DataFrame:
 def _invoice_dims(star) -> list[Dim]:
     return [
         _time(star, TIME),
-        Dim(star.dim("canal"), "id_canal", CHANNEL),
-        Dim(star.dim("geografia"), "id_geografia", PLACE),
+        Dim(star.small("canal"), "id_canal", CHANNEL),
+        Dim(star.small("geografia"), "id_geografia", PLACE),
         Dim(star.dim("vendedor"), "id_vendedor", _seller()),
     ]
 
@@ -112,10 +112,10 @@ def invoices_deduplicated(star) -> DataFrame:
 
 
 def _inventory(star, measures: list[Column], how: str) -> DataFrame:
-    fact = with_targets(star.fact("inventario"), star.fact("metas_operativo"), "id_almacen", how)
+    fact = with_targets(star.fact("inventario"), star.small("metas_operativo"), "id_almacen", how)
     dims = [
         _time(star, INVENTORY_TIME),
-        Dim(star.dim("almacen"), "id_almacen", STORE),
+        Dim(star.small("almacen"), "id_almacen", STORE),
         _product(star),
     ]
     return star_cube(fact, dims, measures)

@@ -15,7 +15,7 @@ SELECT * REPLACE (
   CAST(inversion_promocional_soles AS DOUBLE) AS inversion_promocional_soles)
 FROM tru_ventas""")
 def sales(m):
-    return m.trusted("ventas").drop("_tag")
+    return m.trusted("ventas")
 
 
 @query("clean_strip_suffix", """

@@ -174,7 +174,7 @@ def audit_rows(m):
 
     step("rota", lambda: m.trusted("ventas").select("no_existe"))
     for name in _TRUSTED:
-        step(name, lambda: m.trusted(name).drop("_tag"))
+        step(name, lambda: m.trusted(name))
     return log.read().select("tabla_destino", "tipo", "estado", "registros_cargados")
 
 

@@ -77,8 +77,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY num_factura, id_producto
                                    ORDER BY fecha_emision, id_linea_venta) AS n
       FROM fact_ventas) AS x""")
 def fact_sales_once(m):
-    fact = curated.fact_ventas(m.trusted("ventas"), m.trusted("devoluciones"), once=True)
-    return fact.select(
+    return m.tagged_sales(once=True).select(
         "num_factura", "id_producto", "fecha_emision", "id_linea_venta", "cantidad_vendida",
         "ventas_netas_soles", "unidades_devueltas", "monto_devuelto_soles")
 
@@ -86,7 +85,7 @@ def fact_sales_once(m):
 @query("surrogate_key_numbering",
        f"SELECT row_number() OVER (ORDER BY {_ORDER}) AS id_venta, {_SALES} FROM fact_ventas")
 def surrogate_keys(m):
-    return curated.numbered_sales(m.fact("ventas"))
+    return curated.numbered_sales(m.tagged_sales())
 
 
 @query("fact_inventory_snapshot", f"""

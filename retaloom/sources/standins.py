@@ -33,10 +33,14 @@ class StandIns:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
+    def read(self, name: str, tag: bool = False) -> DataFrame:
+        return self.ventas(True) if tag and name == "ventas" else getattr(self, name)()
+
     @cache
-    def lines(self) -> DataFrame:
-        """Lines with exact money and a deterministic tag per stored row."""
+    def lines(self, tag: bool = False) -> DataFrame:
+        """Lines with exact money, and with a deterministic tag per stored row if asked."""
         gross, off = money("l_extendedprice"), money("l_discount")
+        row = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tag")
         return self.table("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_tax",
             "l_returnflag", "l_linestatus",
@@ -48,12 +52,12 @@ class StandIns:
             F.round(gross * (F.lit(1) - off), 2).cast(MONEY).alias("neto"),
             F.round(gross * F.lit(Decimal("0.70")), 2).cast(MONEY).alias("costo"),
             F.round(gross * off, 2).cast(MONEY).alias("promo"),
-            F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("_tag"),
+            *([row] if tag else []),
         )
 
     # -- transactional sources ------------------------------------------------
 
-    def ventas(self) -> DataFrame:
+    def ventas(self, tag: bool = False) -> DataFrame:
         dup = F.col("l_linestatus") == "F"
         heads = (
             self.table("orders").select("o_orderkey", "o_custkey", "o_orderpriority")
@@ -62,7 +66,7 @@ class StandIns:
         )
         sellers = self.table("supplier").select("s_suppkey", "s_nationkey")
         return (
-            self.lines()
+            self.lines(tag)
             .join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
             .join(sellers, F.col("l_suppkey") == F.col("s_suppkey"))
             .select(
@@ -89,7 +93,7 @@ class StandIns:
                 F.col("costo").alias("costo_ventas_soles"),
                 F.col("promo").alias("inversion_promocional_soles"),
                 F.trunc("dia", "month").alias("fecha_carga"),
-                "_tag",
+                *(["_tag"] if tag else []),
             )
         )
 
