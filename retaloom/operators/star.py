@@ -81,6 +81,12 @@ def star_cube(fact: DataFrame, dims: list[Dim], measures: list[Column]) -> DataF
     return cube.select(*names, *made)
 
 
-def roll_up(cube: DataFrame, levels: list[str], measures: list[Column]) -> DataFrame:
-    """All sub-totals of a hierarchy in one job; NULL marks a rolled-up level."""
-    return cube.rollup(*levels).agg(*measures, F.grouping_id().alias("nivel"))
+def roll_up(cube: DataFrame, levels: list[str], sums: list[str]) -> DataFrame:
+    """Sums at every level of a hierarchy in one job; NULL marks a rolled-up level.
+
+    The cube is first summed at the finest level, so the rows that the roll-up
+    copies once per level are those of the hierarchy, not those of the cube.
+    """
+    finest = cube.groupBy(*levels).agg(*[F.sum(c).alias(c) for c in sums])
+    return finest.rollup(*levels).agg(
+        *[F.sum(c).cast("double").alias(c) for c in sums], F.grouping_id().alias("nivel"))

@@ -272,9 +272,31 @@ def v17_summary(raw: Callable[[str], DataFrame], known: Mapping = KNOWN_PROBLEMS
     return stack(rows).orderBy(F.desc("pct_problema"), "dataset")
 
 
+# The tag each check carries in its first column.
+TAGS = {
+    "V01": "V01_ventas_conteo_estado",
+    "V02": "V02_ventas_sufijo_dup",
+    "V03": "V03_ventas_consistencia_numerica",
+    "V04": "V04_fill_rate_nulls",
+    "V05": "V05_fill_rate_flags_otif",
+    "V06": "V06_inventario_stock_negativo",
+    "V07": "V07_inventario_flag_ajuste",
+    "V08": "V08_clientes_direccion_null",
+    "V09": "V09_clientes_direccion_null_por_cohorte",
+    "V10": "V10_productos_cod_sap_dup",
+    "V11": "V11_productos_dup_detalle",
+    "V12": "V12_promociones_id_sap_nulls",
+    "V13": "V13_metas_versiones",
+    "V14": "V14_metas_dist_version",
+    "V15": "V15_devoluciones_nota_credito",
+    "V16": "V16_inversion_orphan_keys",
+    "V17": "V17_RESUMEN",
+}
+
+
 def checks(raw: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]]:
-    """All seventeen raw checks by id; each runs when called."""
-    return {
+    """All seventeen raw checks by id, tagged; each runs when called."""
+    plain = {
         "V01": lambda: v01_state_counts(raw("ventas")),
         "V02": lambda: v02_suffix(raw("ventas")),
         "V03": lambda: v03_ranges(raw("ventas")),
@@ -293,6 +315,10 @@ def checks(raw: Callable[[str], DataFrame]) -> dict[str, Callable[[], DataFrame]
         "V16": lambda: v16_orphan_promotions(raw("inversion_promocional"), raw("promociones")),
         "V17": lambda: v17_summary(raw),
     }
+    return {
+        check: lambda check=check, make=make: make().select(F.lit(TAGS[check]).alias("validacion"), "*")
+        for check, make in plain.items()
+    }
 
 
 # Expected measures of the published data set.

@@ -14,7 +14,7 @@ def n(condition):
 
 
 _V01 = f"""
-SELECT COUNT(*) AS total_filas, {n("estado_linea = 'DUPLICADO'")} AS filas_duplicado,
+SELECT 'V01_ventas_conteo_estado' AS validacion, COUNT(*) AS total_filas, {n("estado_linea = 'DUPLICADO'")} AS filas_duplicado,
        {n("estado_linea = 'ACTIVO'")} AS filas_activo,
        {n("estado_linea NOT IN ('ACTIVO', 'DUPLICADO')")} AS filas_estado_invalido,
        {pct(n("estado_linea = 'DUPLICADO'"), 'COUNT(*)')} AS pct_duplicado
@@ -23,7 +23,7 @@ FROM raw_ventas"""
 
 @query("dq_state_counts", _V01)
 def state_counts(m):
-    return quality.v01_state_counts(m.raw("ventas"))
+    return quality.checks(m.raw)["V01"]()
 
 
 @query("dq_suffix_consistency", f"""

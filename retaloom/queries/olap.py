@@ -67,27 +67,27 @@ _CHANNEL_LEVELS = ["tipo_canal", "nombre_canal"]
 
 @query("rollup_time", _rollup_sql(_TIME_LEVELS))
 def rollup_time(m):
-    return roll_up(m.commercial, _TIME_LEVELS, [total("ventas_netas").alias("ventas_netas")])
+    return roll_up(m.commercial, _TIME_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_product", _rollup_sql(_PRODUCT_LEVELS))
 def rollup_product(m):
-    return roll_up(m.commercial, _PRODUCT_LEVELS, [total("ventas_netas").alias("ventas_netas")])
+    return roll_up(m.commercial, _PRODUCT_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_geography", _rollup_sql(_PLACE_LEVELS))
 def rollup_geography(m):
-    return roll_up(m.commercial, _PLACE_LEVELS, [total("ventas_netas").alias("ventas_netas")])
+    return roll_up(m.commercial, _PLACE_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_channel", _rollup_sql(_CHANNEL_LEVELS))
 def rollup_channel(m):
-    return roll_up(m.commercial, _CHANNEL_LEVELS, [total("ventas_netas").alias("ventas_netas")])
+    return roll_up(m.commercial, _CHANNEL_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_warehouse", _rollup_sql(_STORE_LEVELS, "cubo_inventario", "stock_disponible"))
 def rollup_warehouse(m):
-    return roll_up(m.inventory, _STORE_LEVELS, [total("stock_disponible").alias("stock_disponible")])
+    return roll_up(m.inventory, _STORE_LEVELS, ["stock_disponible"])
 
 
 @query("drilldown_month_category", f"""

@@ -37,6 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
+    folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -45,15 +45,19 @@ def _load(spark: SparkSession, source: str, files: list[tuple[date, str]], schem
 
 
 def load_files(spark: SparkSession, source: str, files: list[tuple[date, str]], schema: str,
-               table: str, log: AuditLog) -> None:
-    """Load all dates in one job; if that fails, date by date, so one bad date stands alone."""
+               table: str, log: AuditLog) -> int:
+    """Load all dates in one job; if that fails, date by date, so one bad date stands alone.
+
+    Gives the number of files that failed to load.
+    """
     if not files:
-        return
+        return 0
     try:
         _load(spark, source, files, schema, table, log)
-        return
+        return 0
     except Exception:
         pass
+    failed = 0
     for day in sorted({d for d, _ in files}):
         mine = [f for f in files if f[0] == day]
         try:
@@ -63,18 +67,22 @@ def load_files(spark: SparkSession, source: str, files: list[tuple[date, str]],
                 "tabla_destino": source, "archivo_origen": mine[0][1], "fecha_particion": day,
                 "tipo": "INCREMENTAL", "estado": ERROR, "mensaje_error": str(error),
             }])
+            failed += len(mine)
+    return failed
 
 
 def ingest(spark: SparkSession, root: str, source: str, schema: str, table: str, log: AuditLog,
-           replace: bool = False, last_file_only: bool = False) -> int:
-    """Load the dates not recorded as done (all dates with ``replace``). Gives the file count.
+           replace: bool = False, last_file_only: bool = False) -> dict[str, int]:
+    """Load the dates not recorded as done (all dates with ``replace``).
 
     A file that arrives late for a recorded date is ignored unless ``replace``.
+    Gives the number of files loaded, failed and passed over.
     """
     done = set() if replace else log.done_dates(source)
     files = landing.new_files(spark, root, source, done, last_file_only)
-    load_files(spark, source, files, schema, table, log)
-    return len(files)
+    failed = load_files(spark, source, files, schema, table, log)
+    skipped = landing.deliveries(spark, root, source).count() - len(files)
+    return {"exitosos": len(files) - failed, "errores": failed, "omitidos": skipped}
 
 
 def watch(spark: SparkSession, root: str, source: str, schema: str, table: str, log: AuditLog,

@@ -9,6 +9,7 @@ from retaloom.operators.joins import SMALL_ROWS, small_side
 from retaloom.operators.numbering import number_rows
 from retaloom.operators.star import Dim, star_cube
 from retaloom.plans import panel, segment
+from retaloom.plans.curated import FACT_SALES_COLUMNS, fact_ventas
 from retaloom.queries import QUERIES
 from retaloom.session import settle
 
@@ -43,6 +44,40 @@ def test_numbering_never_sorts_in_one_task(spark, folder):
     assert len(single) == 1 and "Window" in text  # only the block sizes
 
 
+def test_hot_join_key_is_split(spark):
+    # a third of the lines belong to one invoice and product
+    keys = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        one = F.lit(1).cast("decimal(18,2)")
+        hot = F.col("id") % 3 == 0
+        sales = spark.range(0, 60000, 1, 16).select(
+            F.when(hot, -1).otherwise(F.col("id")).alias("num_factura"), F.lit(1).alias("id_producto"),
+            F.lit("2024-01-01").cast("date").alias("fecha_emision"),
+            F.col("id").cast("string").alias("id_linea_venta"),
+            *[one.alias(c) for c in FACT_SALES_COLUMNS if c not in (
+                "num_factura", "id_producto", "id_fecha", "unidades_devueltas",
+                "monto_devuelto_soles")])
+        back = spark.range(-1, 100).select(
+            F.col("id").alias("num_factura_origen"), F.lit(1).alias("id_producto"),
+            F.lit(2).alias("cantidad_devuelta"), one.alias("monto_devolucion_soles"))
+        fact = fact_ventas(sales, back)
+        rows = fact.where("num_factura = -1").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("unidades_devueltas").alias("u")).first()
+        assert (rows.n, rows.u) == (20000, 40000)
+        fact.collect()
+        assert "skew=true" in fact._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
 def test_cube_equals_grouping_by_attributes(spark):
     fact = spark.createDataFrame([(i % 5, i % 3, i) for i in range(200)], "a bigint, b bigint, v bigint")
     left = spark.createDataFrame([(0, "x"), (1, "x"), (2, "y"), (3, None), (4, None)],
