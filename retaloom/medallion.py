@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from copy import copy
 from functools import cached_property
-from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retaloom.operators.joins import small_side
 from retaloom.plans import calendar, cubes, curated, trusted
@@ -77,10 +77,24 @@ class Medallion:
 
     def with_fact(self, name: str, frame: DataFrame) -> Medallion:
         """The same star over another fact frame, such as some months of it."""
-        other = Medallion(self.spark, self._raw, self.days)
+        other = copy(self)
+        for cube in ("commercial", "invoices", "inventory"):
+            other.__dict__.pop(cube, None)
         other._made = {**self._made, ("fact", name): frame}
         return other
 
+    def between(self, first: str, last: str) -> Medallion:
+        """The same star for a range of days, cut at the facts.
+
+        A filter on the attributes of a cube acts after its aggregation; this one
+        acts before it, and on stored facts inside the scan.
+        """
+        low, high = (int(day.replace("-", "")) for day in (first, last))
+        star = self
+        for name in ("ventas", "inventario"):
+            star = star.with_fact(name, star.fact(name).where(F.col("id_fecha").between(low, high)))
+        return star
+
     @cached_property
     def commercial(self) -> DataFrame:
         return cubes.commercial(self)
@@ -100,17 +114,14 @@ STANDIN_RANGE = ("1995-01-01", "2001-12-31")
 
 # Frames are lazy plans: building them once per session and folder saves reading
 # file footers and analysing the same plans for every query. No data is kept.
-_built: WeakKeyDictionary[SparkSession, dict[str, Medallion]] = WeakKeyDictionary()
+_built: dict[str, Medallion] = {}
 
 
 def from_standins(spark: SparkSession, folder: str) -> Medallion:
-    known = _built.setdefault(spark, {})
-    if folder not in known:
+    known = _built.get(folder)
+    if known is None or known.spark is not spark:
         source = StandIns(spark, folder)
-        known[folder] = Medallion(
-            spark,
-            source.read,
-            calendar.days_between(spark, *STANDIN_RANGE),
-        )
-        known[folder].folder = folder
-    return known[folder]
+        known = Medallion(spark, source.read, calendar.days_between(spark, *STANDIN_RANGE))
+        known.folder = folder
+        _built[folder] = known
+    return known

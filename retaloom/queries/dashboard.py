@@ -177,7 +177,8 @@ SELECT anio_mes, nombre_canal, {d('SUM(ventas_netas)')} AS ventas_netas,
        {r(ratio('SUM(ventas_netas)', 'SUM(num_facturas)'), 2)} AS ticket_promedio
 FROM cubo_facturas WHERE anio = 2000 GROUP BY 1, 2""")
 def ticket_channel_month(m):
-    return kpis.ticket_by(m.invoices, ["anio_mes", "nombre_canal"], 2000)
+    year = m.between("2000-01-01", "2000-12-31")
+    return kpis.ticket_by(year.invoices, ["anio_mes", "nombre_canal"], 2000)
 
 
 # -- inventory ----------------------------------------------------------------------

@@ -123,7 +123,7 @@ SELECT nombre_canal, {d('SUM(ventas_netas)')} AS ventas_netas_total,
        {pct('SUM(margen_bruto)', 'SUM(ventas_netas)')} AS margen_pct
 FROM cubo_comercial WHERE anio = 2000 GROUP BY nombre_canal""")
 def margin(m):
-    return kpis.margin_by_channel(m.commercial, 2000)
+    return kpis.margin_by_channel(m.between("2000-01-01", "2000-12-31").commercial, 2000)
 
 
 @query("sales_by_channel_and_quarter", f"""

@@ -98,6 +98,17 @@ def test_views_read_the_star(spark, cfg):
     assert got == table(spark, cfg, "kpi", "CUBO_FACTURAS_TBL").count()
 
 
+def test_day_range_reaches_the_stored_fact(spark, cfg):
+    whole = layers.stored_star(spark, cfg)
+    some = whole.between("2000-03-01", "2000-03-31")
+    text = spark._jvm.PythonSQLUtils.explainString(
+        some.invoices._jdf.queryExecution(), "simple")
+    scan = next(line for line in text.splitlines() if "FACT_VENTAS" in line)
+    assert "GreaterThanOrEqual(id_fecha,20000301)" in scan
+    want = whole.invoices.where("anio_mes = '2000-03'").agg(F.sum("num_facturas")).first()[0]
+    assert some.invoices.agg(F.sum("num_facturas")).first()[0] == want > 0
+
+
 def test_month_layout_prunes_folders(spark, cfg):
     where = layers.path(cfg, "trusted", "ventas")
     df = tables.read_days(spark, where, "fecha_emision", "2000-03-05", "2000-04-02")
