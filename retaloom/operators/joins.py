@@ -45,6 +45,23 @@ def side_by_side(measures: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
+def combined(frames: Iterable[DataFrame]) -> DataFrame:
+    """One row with the counts of several one-row frames, each frame computed once."""
+    frames = list(frames)
+    tagged = [
+        df.select(F.inline(F.array(*[
+            F.struct(F.lit(c).alias("_name"), F.col(c).cast("bigint").alias("_value"))
+            for c in df.columns])))
+        for df in frames
+    ]
+    names = [c for df in frames for c in df.columns]
+    return (
+        reduce(DataFrame.union, tagged)
+        .groupBy()
+        .agg(*[F.max(F.when(F.col("_name") == n, F.col("_value"))).alias(n) for n in names])
+    )
+
+
 def orphan_counts(
     fact: DataFrame, dims: Mapping[str, tuple[str, DataFrame, str]], out: str = "huerfanos"
 ) -> DataFrame:
@@ -100,15 +117,6 @@ def duplicate_keys(df: DataFrame, keys: list[str], out: str = "veces") -> DataFr
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out)).where(F.col(out) > 1)
 
 
-def duplicated_rows(df: DataFrame, keys: list[str], out: str) -> DataFrame:
-    """How many rows share their key with another row, every copy counted."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias(out))
-    )
-
-
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct non-NULL keys of ``left`` that ``right`` lacks."""
     return (

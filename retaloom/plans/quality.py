@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from retaloom.functions.numbers import percent
 from retaloom.functions.text import fill_missing, is_missing
-from retaloom.operators.joins import duplicated_rows, key_difference, side_by_side, stack
+from retaloom.operators.joins import combined, key_difference, stack
 from retaloom.plans.trusted import DUPLICATE_STATE, DUPLICATE_SUFFIX, UNSPECIFIED
 
 
@@ -432,12 +432,18 @@ def _rule(rule: str, counts: DataFrame, affected: str, total: str, word: str) ->
 
 def profile_sales(ventas: DataFrame) -> DataFrame:
     """Rows by state, and rows sharing invoice and line id, from one grouping."""
-    return side_by_side({
-        "total": ventas.agg(F.count(F.lit(1)).alias("v")),
-        "marcados": ventas.agg(_n(F.col("estado_linea") == DUPLICATE_STATE, "v")),
-        "llave_repetida": duplicated_rows(ventas, ["num_factura", "id_linea_venta"], "v"),
-        "tras_filtro": ventas.agg(_n(F.col("estado_linea") == "ACTIVO", "v")),
-    })
+    state = F.col("estado_linea")
+    per_key = ventas.groupBy("num_factura", "id_linea_venta").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.count_if(state == DUPLICATE_STATE).alias("_d"),
+        F.count_if(state == "ACTIVO").alias("_a"),
+    )
+    n = F.col("_n")
+    whole = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).alias(name)
+    return per_key.agg(
+        whole(n, "total"), whole(F.col("_d"), "marcados"),
+        whole(F.when(n > 1, n), "llave_repetida"), whole(F.col("_a"), "tras_filtro"),
+    )
 
 
 def profile_stock(inventario: DataFrame) -> DataFrame:
@@ -457,15 +463,15 @@ def stock_sample(inventario: DataFrame, n: int = 5) -> DataFrame:
 def profile_promotions(promociones: DataFrame, inversion: DataFrame) -> DataFrame:
     sap, tm = F.col("id_promocion_sap"), F.col("id_promocion_tm")
     spent = inversion.where(~is_missing(tm))
-    return side_by_side({
-        "total_promociones": promociones.agg(F.count(F.lit(1)).alias("v")),
-        "promociones_sin_sap": promociones.agg(_n(is_missing(sap), "v")),
-        "total_inversiones": inversion.agg(F.count(F.lit(1)).alias("v")),
-        "inversiones_sin_sap": inversion.agg(_n(is_missing(sap), "v")),
-        "inversiones_sin_tm": inversion.agg(_n(is_missing(tm), "v")),
-        "tm_solo_en_promociones": key_difference(promociones, spent, "id_promocion_tm")
-        .agg(F.count(F.lit(1)).alias("v")),
-    })
+    lonely = key_difference(promociones, spent, "id_promocion_tm")
+    return combined([
+        promociones.agg(F.count(F.lit(1)).alias("total_promociones"),
+                        _n(is_missing(sap), "promociones_sin_sap")),
+        inversion.agg(F.count(F.lit(1)).alias("total_inversiones"),
+                      _n(is_missing(sap), "inversiones_sin_sap"),
+                      _n(is_missing(tm), "inversiones_sin_tm")),
+        lonely.agg(F.count(F.lit(1)).alias("tm_solo_en_promociones")),
+    ])
 
 
 def profile_dispatches(fill_rate: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from retaloom.functions.numbers import mean, percent, ratio, rounded, total
 from retaloom.functions.text import is_missing
-from retaloom.operators.joins import duplicate_keys, orphan_counts, side_by_side, stack
+from retaloom.operators.joins import combined, duplicate_keys, orphan_counts, side_by_side, stack
 
 EVERY = "filas"
 
@@ -35,11 +35,10 @@ def counts_by(df: DataFrame, column: str) -> DataFrame:
 
 def removed_rows(raw: DataFrame, trusted: DataFrame, removed: Column) -> DataFrame:
     """Rows before and after cleaning, next to the rows the rule should remove."""
-    both = side_by_side({
-        "raw_total": raw.agg(F.count(F.lit(1)).alias("v")),
-        "trusted_total": trusted.agg(F.count(F.lit(1)).alias("v")),
-        "raw_a_eliminar": raw.agg(F.count_if(removed).alias("v")),
-    })
+    both = combined([
+        raw.agg(F.count(F.lit(1)).alias("raw_total"), F.count_if(removed).alias("raw_a_eliminar")),
+        trusted.agg(F.count(F.lit(1)).alias("trusted_total")),
+    ])
     return both.withColumn("diferencia", F.col("raw_total") - F.col("trusted_total"))
 
 
