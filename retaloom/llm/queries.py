@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retaloom.llm import dedup, packing, sharding
+from retaloom.llm import decontaminate, dedup, html, langid, packing, quality, secrets, sharding
+from retaloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +57,76 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     cut = packing.pieces(
         table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
     return packing.pack(cut, 4096)
+
+
+@registered("op3_byte_cnn_language")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    network = langid.train(docs, crc_mod("doc_id", 5) != 0)
+    return langid.predict(docs.select("doc_id", "text"), network).select(
+        "doc_id", (crc_mod("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score")
+
+
+@registered("op4_suffix_automaton", r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM documents)),
+items AS (
+  SELECT item_id, regexp_extract_all(lower_az, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT item_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                  'abcdefghijklmnopqrstuvwxyz') AS lower_az FROM benchmark)),
+sizes AS (SELECT DISTINCT least(10, len(w)) AS k FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS g,
+         least(10, len(w)) AS k
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+        FROM items WHERE len(w) > 0)),
+grams AS (
+  SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS g
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, sizes WHERE len(w) >= k)),
+found AS (SELECT doc_id, i, grams.k, item_id FROM grams JOIN windows ON grams.g = windows.g AND grams.k = windows.k),
+hits AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT doc_id, i, k FROM found))
+  GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS s
+  FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT words.doc_id, CAST(len(words.w) AS BIGINT) AS n_words,
+       CAST(coalesce(hits.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(named.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(named.s, '')) AS items_sha256, coalesce(hits.n, 0) > 0 AS contaminated
+FROM words LEFT JOIN hits ON words.doc_id = hits.doc_id LEFT JOIN named ON words.doc_id = named.doc_id""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.contamination(
+        table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+@registered("op5_structural_secrets")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan(table(spark, folder, "documents").select("doc_id", "text"))
+    of = lambda kind: F.filter("spans", lambda s: s.kind == kind)
+    base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
+    listed = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s.kind, s.start.cast("string"), s.end.cast("string"))), ",")
+    return found.select(
+        "doc_id", *[F.size(of(k)).cast("bigint").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@registered("op7_ftrl_quality")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    weights = quality.train(docs, table(spark, folder, "labels"), where=crc_mod("doc_id", 3) != 1)
+    return quality.score(docs, weights).select(
+        "doc_id", (crc_mod("doc_id", 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@registered("op10_host_paths")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return html.extract(table(spark, folder, "pages"))
