@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retaloom.llm import decontaminate, dedup, html, langid, packing, quality, secrets, sharding
+from retaloom.llm import decontaminate, dedup, html, jaccard, langid, packing, quality, secrets, sharding
 from retaloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -118,6 +118,11 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+@registered("op6_token_group_join")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.join(table(spark, folder, "documents"), n=3, num=90, den=100)
+
+
 @registered("op7_ftrl_quality")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
