@@ -28,14 +28,16 @@ def alnum_words(text: bytes) -> list[bytes]:
     return text.translate(ALNUM).split()
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(
+    df: DataFrame, label: str, options: dict[str, str] | None = None, by: list[str] | None = None
+) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends there.
 
     A lost executor then costs a read, not a recomputation, and later passes see the
     very same rows. The table stays until the folder is cleaned by whoever owns it.
     """
     path = f"{shared_folder(df.sparkSession)}/llm-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).partitionBy(*(by or [])).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,8 @@ import json
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -18,49 +20,55 @@ from retaloom.operators.numbering import number_rows
 # part before them and the part of them are tokenised apart from each other.
 _PUNCTUATION = bytes(
     b for b in range(0x21, 0x7F) if not (0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A))
+# Byte-level alphabet: printable bytes stand for themselves, the rest, in order, for the
+# characters from 0x100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
 _SPECIAL = b"<|"  # a text with this may hold a special token's string
 
 
 class ChunkTokens:
-    """Token ids of texts, computed once per distinct chunk between white space.
+    """Token ids of texts, computed once per distinct part of the chunks between white space.
 
     The tokenizer lowers case, drops white space and never joins tokens over it, so a
-    text's ids are those of its chunks in a row. Chunks come back from a cache; new
-    ones are tokenised together, in one call. A text that may hold the string of a
-    special token goes through the tokenizer whole.
+    text's ids are those of its chunks in a row; a chunk is a core and the ASCII marks
+    at its end. Known chunks come back from a cache, and so do known parts. A text that may hold the string of a special token goes
+    through the tokenizer whole. Calling it gives the ids of each text of a batch.
     """
 
-    def __init__(self, path: str, most: int = 250_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.parts: dict[bytes, np.ndarray] = {}
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.flat, self.used, self.starts = np.empty(1 << 20, np.uint32), 0, []
-        self._frozen = None
-        self.parts.clear()
+        self.chunks: dict[bytes, int] = {}
+        self.core_tail = np.empty((0, 2), np.int64)  # part numbers by chunk number
+        self.parts: dict[bytes, int] = {b"": 0}
+        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
+        self.flat = np.empty(0, np.uint32)
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _tokenise_parts(self, parts: list[bytes]) -> None:
-        """Letters-only parts in one call; one part yields the ids up to its word end."""
-        plain = [p for p in parts if p.isalpha()]  # ASCII letters: one word each
-        if plain:
-            made = self.tokenizer.encode(b" ".join(plain).decode(), add_special_tokens=False)
-            ids = np.array(made.ids, np.uint32)
-            words = np.array(made.word_ids, dtype=np.int64)
-            cuts = np.flatnonzero(np.diff(words)) + 1
-            pieces = np.split(ids, cuts)
-            if len(pieces) != len(plain):
-                pieces = [self._ids(p.decode()) for p in plain]
-            self.parts.update(zip(plain, pieces))
-        for p in parts:
-            if p not in self.parts:
-                self.parts[p] = self._ids(p.decode())
+    def _learn_parts(self, new: list[bytes]) -> None:
+        """Words of letters that normalising would leave as they are go to the model alone,
+        spelled in its alphabet for bytes; other parts through the whole tokenizer."""
+        model, found = self.tokenizer.model.tokenize, []
+        for part in new:
+            text = part.decode()
+            if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+                spelled = text if text.isascii() else part.decode("latin-1").translate(_BYTE_LETTERS)
+                found.append([t.id for t in model(spelled)])
+            else:
+                found.append(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        added = np.fromiter(map(len, found), np.int64, len(found))
+        first = len(self.parts)
+        self.parts.update(zip(new, range(first, first + len(new))))
+        self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(added) - added])
+        self.lengths = np.concatenate([self.lengths, added])
+        self.flat = np.concatenate([self.flat, np.array(list(chain.from_iterable(found)), np.uint32)])
 
     @staticmethod
     def _core(chunk: bytes) -> bytes:
@@ -71,40 +79,44 @@ class ChunkTokens:
             return core
         return core if core.decode()[-1].lower()[-1].isalpha() else chunk
 
-    def _learn(self, chunks: list[bytes]) -> None:
-        cut = [(c, self._core(c)) for c in chunks]
-        todo = {p for c, core in cut for p in (core, c[len(core):]) if p and p not in self.parts}
-        self._tokenise_parts(list(todo))
-        none = np.empty(0, np.uint32)
-        for c, core in cut:
-            ids = np.concatenate([self.parts.get(core, none), self.parts.get(c[len(core):], none)])
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty(len(self.flat) + len(ids), np.uint32)])
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.known[c] = len(self.starts)
-            self.starts.append((self.used, len(ids)))
-            self.used += len(ids)
-        self._frozen = None
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        if _SPECIAL in text:
-            return self._ids(text.decode())
-        chunks = text.lower().split()
+    def _learn(self, new: list[bytes]) -> None:
+        cores = list(map(self._core, new))
+        tails = [c[len(core):] for c, core in zip(new, cores)]
+        missing = set(cores).union(tails).difference(self.parts)
+        if missing:
+            self._learn_parts(list(missing))
+        first = len(self.chunks)
+        self.chunks.update(zip(new, range(first, first + len(new))))
+        part = self.parts.__getitem__
+        pairs = np.array([list(map(part, cores)), list(map(part, tails))], np.int64).T
+        self.core_tail = np.concatenate([self.core_tail, pairs])
+
+    def __call__(self, batch: list[bytes]) -> Iterator[np.ndarray]:
+        at = 0
+        while at < len(batch):
+            size, end = 0, at
+            while end < len(batch) and (end == at or size + len(batch[end]) < 8 << 20):
+                size += len(batch[end])
+                end += 1
+            cut = [[] if _SPECIAL in t else t.lower().split() for t in batch[at:end]]
+            new = set().union(*cut).difference(self.chunks)
+            if new:
+                if self.chunks and len(self.chunks) + len(new) > self.most:
+                    self._reset()
+                    new = set().union(*cut)
+                self._learn(list(new))
+            for text, chunks in zip(batch[at:end], cut):
+                yield self._ids(text.decode()) if _SPECIAL in text else self._joined(chunks)
+            at = end
+
+    def _joined(self, chunks: list[bytes]) -> np.ndarray:
         if not chunks:
             return np.empty(0, np.uint32)
-        new = set(chunks).difference(self.known)
-        if new:
-            if len(self.known) + len(new) > self.most:
-                self._reset()
-                new = set(chunks)
-            self._learn(list(new))
-        if self._frozen is None:
-            self._frozen = np.array(self.starts, np.int64).reshape(-1, 2)
-        places = self._frozen[np.fromiter(map(self.known.__getitem__, chunks), np.int64, len(chunks))]
-        starts, lengths = places[:, 0], places[:, 1]
+        places = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
+        parts = self.core_tail[places].ravel()
+        starts, lengths = self.starts[parts], self.lengths[parts]
         ends = np.cumsum(lengths)
-        index = np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)
-        return self.flat[index]
+        return self.flat[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
 
 
 def pieces(
@@ -121,8 +133,8 @@ def pieces(
         encode = ChunkTokens(tokenizer)
         for batch in batches:
             ids, rows = batch.column(0), []
-            for row, text in enumerate(texts(batch)):
-                tokens = np.append(encode(text), np.uint32(end_id)).astype("<u4")
+            for row, found in enumerate(encode(texts(batch))):
+                tokens = np.append(found, np.uint32(end_id)).astype("<u4")
                 for k, start in enumerate(range(0, len(tokens), capacity)):
                     part = tokens[start:start + capacity]
                     rows.append((row, k, start, len(part), zlib.crc32(part.tobytes())))

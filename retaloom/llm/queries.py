@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retaloom.llm import decontaminate, dedup, html, jaccard, langid, packing, quality, secrets, sharding
+from retaloom.llm import brown, decontaminate, dedup, html, jaccard, langid, packing, quality, secrets, sharding
 from retaloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@registered("op1_brown_classes")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return brown.score(docs, crc_mod("doc_id", 5) != 1).select(
+        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+        "base_score", "score", "perplexity")
+
+
 @registered("op2_hypergeometric_shards")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Law ``rows``: shard sizes are at most one row apart."""
