@@ -222,41 +222,49 @@ def first_classes() -> np.ndarray:
     return out
 
 
-def exchange(classes: np.ndarray, around: np.ndarray, step: int = 256) -> np.ndarray:
+def exchange(classes: np.ndarray, around: np.ndarray, sweeps: int = 3) -> np.ndarray:
     """Move units, the most frequent first, to the class where the bigram likelihood gains most.
 
-    ``around`` are the units' neighbours by class. ``step`` units decide together on the
-    class bigrams as they are, then these are brought up to date.
+    ``around`` are the units' neighbours by class; within a round the classes of the
+    neighbours stay as they were counted, so a move changes the rows of two classes alone.
+    Frequent units move one by one, rarer ones in steps of some, on rows kept up to date.
     """
-    classes, before, after = classes.copy(), around[:, 0], around[:, 1]
-    grid = np.zeros((CLASSES, CLASSES))
-    np.add.at(grid, classes, after)
-    order = np.argsort(-around.sum(axis=(1, 2)), kind="stable")
-    order = order[(order != 0) & (around[order].sum(axis=(1, 2)) > 0)]
-    for at in range(0, len(order), step):
-        units = order[at:at + step]
-        own = classes[units]
-        gain = np.zeros((len(units), CLASSES))
-        for counts, table in ((after[units], grid), (before[units], grid.T)):
-            sums, size = table.sum(axis=1), counts.sum(axis=1)
-            added = _xlogx(table[None] + counts[:, None, :]) - _xlogx(table)[None]
-            gain += added.sum(axis=2)
-            gain -= _xlogx(sums[None] + size[:, None]) - _xlogx(sums)[None]
-            # In its own class the unit is counted already.
-            here = np.maximum(table[own] - counts, 0)
-            total = np.maximum(sums[own] - size, 0)
-            gain[np.arange(len(units)), own] = gain[np.arange(len(units)), own] - (
-                added[np.arange(len(units)), own].sum(axis=1)
-                - _xlogx(sums[own] + size) + _xlogx(sums[own])
-            ) + (_xlogx(table[own]) - _xlogx(here)).sum(axis=1) - _xlogx(sums[own]) + _xlogx(total)
-        gain[:, 0] = -np.inf
-        best = gain.argmax(axis=1)
-        moved = best != own
-        for sign, to in ((-1, own[moved]), (1, best[moved])):
-            np.add.at(grid, to, sign * after[units[moved]])
-            np.add.at(grid.T, to, sign * before[units[moved]])
-        grid = np.maximum(grid, 0)
-        classes[units] = best
+    classes, sides = classes.copy(), (around[:, 0], around[:, 1])
+    weight = around.sum(axis=(1, 2))
+    order = np.argsort(-weight, kind="stable")
+    order = order[(order != 0) & (weight[order] > 0)]
+    tables = []
+    for counts in sides:
+        rows = np.zeros((CLASSES, CLASSES))
+        np.add.at(rows, classes, counts)
+        tables.append(rows)
+    steps = [order[k:k + 1] for k in range(min(1024, len(order)))]
+    steps += [order[k:k + 32] for k in range(1024, len(order), 32)]
+    for _ in range(sweeps):
+        moves = 0
+        for units in steps:
+            own, at = classes[units], np.arange(len(units))
+            gain = np.zeros((len(units), CLASSES))
+            for counts, rows in zip(sides, tables):
+                c, size, sums = counts[units], counts[units].sum(axis=1), rows.sum(axis=1)
+                gain += (_xlogx(rows[None] + c[:, None, :]) - _xlogx(rows)[None]).sum(axis=2)
+                gain -= _xlogx(sums[None] + size[:, None]) - _xlogx(sums)[None]
+                # In its own class the unit is counted already: what it would gain if it came back.
+                rest, left = np.maximum(rows[own] - c, 0), np.maximum(sums[own] - size, 0)
+                back = (_xlogx(rows[own]) - _xlogx(rest)).sum(axis=1) - _xlogx(sums[own]) + _xlogx(left)
+                wrong = (_xlogx(rows[own] + c) - _xlogx(rows[own])).sum(axis=1) \
+                    - _xlogx(sums[own] + size) + _xlogx(sums[own])
+                gain[at, own] += back - wrong
+            gain[:, 0] = -np.inf
+            best = gain.argmax(axis=1)
+            moved = best != own
+            moves += int(moved.sum())
+            for counts, rows in zip(sides, tables):
+                np.add.at(rows, own[moved], -counts[units[moved]])
+                np.add.at(rows, best[moved], counts[units[moved]])
+            classes[units] = best
+        if not moves:
+            break
     return classes
 
 
@@ -274,7 +282,7 @@ class Model:
         self.ratio = np.log10(weight * follow * counts.mass / mass[None, :] + (1 - weight))
 
 
-def score(docs: DataFrame, train: Column, rounds: int = 3) -> DataFrame:
+def score(docs: DataFrame, train: Column, rounds: int = 4) -> DataFrame:
     """doc_id, train, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
     P(word | previous) = 0.9 P(class | previous class) P(word | class) + 0.1 P(word), with
