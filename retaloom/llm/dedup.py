@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SPACES = r"[\x20\x09-\x0D]+"
 
@@ -68,18 +68,17 @@ def assign(
 def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
     """The documents that stay, with all their columns; their texts are unchanged.
 
-    Same stages as ``winners``, on whole rows: the row with the smallest doc_id of each
-    text is taken (NULL ids come last; among equal ids any one row), so also repeated
-    rows leave one. ``docs`` must have doc_id and text.
+    ``docs`` must have doc_id and text. The rows meet their winner on digest, byte length
+    and id together, so no key is hot. Where rows repeat the winner's id and text, one of
+    them stays; so does one of a group in which all ids are NULL.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns]
     text = normalised(F.col("`text`"))
     rows = docs.select(
-        text.alias("content"), F.struct(*columns).alias("whole"),
-        F.coalesce(F.col("`doc_id`"), F.lit((1 << 63) - 1)).alias("rank")
-    ).withColumn("digest", F.sha2("content", 256))
-    first = F.min_by("whole", "rank").alias("whole")
-    salted = (
-        rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-        .groupBy("digest", "salt", "content").agg(first, F.min("rank").alias("rank")))
-    return salted.groupBy("digest", "content").agg(first).select("whole.*")
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+        F.col("`doc_id`").alias("id"), F.sha2(text, 256).alias("digest"),
+        F.octet_length(text).alias("n_bytes"))
+    won = winners(docs, salts=salts).select(
+        F.col("digest").alias("d"), F.col("n_bytes").alias("b"), "keep_id")
+    same = (rows.digest == won.d) & (rows.n_bytes == won.b) & rows.id.eqNullSafe(won.keep_id)
+    one = Window.partitionBy("digest", "n_bytes", "id").orderBy("digest")
+    return rows.join(won, same).withColumn("r", F.row_number().over(one)).where("r = 1").select("whole.*")

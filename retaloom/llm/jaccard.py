@@ -306,3 +306,19 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFram
     return names.join(named, "node", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """The documents whose id is the smallest of their component, with all their columns.
+
+    Of equal rows one stays. Rows that share an id stand or fall together unless they are
+    equal; rows without an id stay if nothing with an id is linked to them.
+    """
+    kept = join(docs, n, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias("id")).distinct()
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
+        F.col("`doc_id`").cast("bigint").alias("own"), F.xxhash64("`text`").alias("h"))
+    one = Window.partitionBy("own", "h").orderBy("h")
+    return rows.join(kept, F.col("own").eqNullSafe(F.col("id")), "left_semi").withColumn(
+        "r", F.row_number().over(one)).where("r = 1 or own is null").select("whole.*")
