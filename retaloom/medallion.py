@@ -8,8 +8,8 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retaloom.operators.joins import small_side
 from retaloom.plans import calendar, cubes, curated, trusted
+from retaloom.session import as_table
 from retaloom.sources.standins import StandIns
 
 
@@ -60,12 +60,13 @@ class Medallion:
         return self._once("fact", name, makers[name])
 
     def small(self, name: str) -> DataFrame:
-        """A dimension or target table that is small by nature, with its size measured.
+        """A dimension or target table that is small by nature, written once per query.
 
-        Beyond the limit it is the plain frame, and joins with it are shuffled.
+        Derived ones are counted out of large tables, and Spark would take them to be as
+        large as these; read back, they have their own size, and Spark decides by it.
         """
         kind = self.fact if name.startswith("metas_") else self.dim
-        return self._once("small", name, lambda: small_side(kind(name)))
+        return self._once("small", name, lambda: as_table(kind(name), name))
 
     def tagged_sales(self, once: bool = False) -> DataFrame:
         """Sales fact with issue date, line id and a deterministic tag per stored row.
@@ -112,16 +113,9 @@ class Medallion:
 STANDIN_RANGE = ("1995-01-01", "2001-12-31")
 
 
-# Frames are lazy plans: building them once per session and folder saves reading
-# file footers and analysing the same plans for every query. No data is kept.
-_built: dict[str, Medallion] = {}
-
-
 def from_standins(spark: SparkSession, folder: str) -> Medallion:
-    known = _built.get(folder)
-    if known is None or known.spark is not spark:
-        source = StandIns(spark, folder)
-        known = Medallion(spark, source.read, calendar.days_between(spark, *STANDIN_RANGE))
-        known.folder = folder
-        _built[folder] = known
-    return known
+    """A star of its own for every query: nothing is kept between two of them."""
+    source = StandIns(spark, folder)
+    star = Medallion(spark, source.read, calendar.days_between(spark, *STANDIN_RANGE))
+    star.folder = folder
+    return star

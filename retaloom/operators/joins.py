@@ -7,23 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from retaloom.session import settle
-
-SMALL_ROWS = 200_000  # most rows a frame may have to be broadcast on its measured size
-
-
-def small_side(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
-    """A derived frame that is expected to be small, broadcast only if it is.
-
-    Spark estimates the size of a grouped or joined frame from its inputs, so a
-    handful of channels counted out of all orders looks as large as the orders,
-    and the fact would be shuffled on a few hot keys. The frame is settled (its
-    derivation runs once), its rows are counted, and beyond ``most`` it is left to
-    an ordinary shuffle join.
-    """
-    kept = settle(df)
-    return F.broadcast(kept) if kept.limit(most + 1).count() <= most else kept
-
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 @dataclass(frozen=True)
 class Dim:
     """A dimension taking part in a cube.
 
-    ``unique`` states that no two keys share the same attribute values (the
-    calendar by day, products by SKU code); other dimensions are folded to one
-    key per attribute combination, so the result equals grouping by attributes.
+    ``unique`` states that no two keys share the same attribute values, as with the
+    calendar by day. Other dimensions are grouped by a hash of their attributes, so the
+    result equals grouping by the attributes themselves.
     """
 
     frame: DataFrame
@@ -26,33 +26,30 @@ class Dim:
     def __post_init__(self):
         object.__setattr__(self, "names", self.frame.select(*self.attrs).columns)
 
-    def _sized(self, rows: DataFrame) -> DataFrame:
-        return F.broadcast(rows) if self.small else rows
-
-    def rows(self) -> DataFrame:
-        return self._sized(self.frame.select(F.col(self.key), *self.attrs))
+    @property
+    def group(self) -> str:
+        """Column a cube groups by: the key itself, or the hash of what it stands for."""
+        return self.key if self.unique else f"_group_{self.key}"
 
-    def representative(self) -> DataFrame:
-        """key -> lowest key having the same attributes.
-
-        A window over the dimension only: Spark keeps the size estimate of the
-        dimension, which a join of it with its own groups would lose.
-        """
-        same = Window.partitionBy(*self.names)
+    def _rows(self) -> DataFrame:
         rows = self.frame.select(F.col(self.key), *self.attrs)
-        return self._sized(rows.select(self.key, F.min(self.key).over(same).alias("_rep")))
+        if not self.unique:
+            # Hashing skips NULLs, so which attributes are NULL is hashed as well.
+            shape = [F.col(n).isNull() for n in self.names]
+            rows = rows.withColumn(self.group, F.xxhash64(*self.names, *shape))
+        return rows
 
+    def _sized(self, rows: DataFrame) -> DataFrame:
+        return F.broadcast(rows) if self.small else rows
 
-def star_join(fact: DataFrame, dims: list[Dim]) -> DataFrame:
-    """Inner join of a fact with its dimensions.
+    def keyed(self) -> DataFrame:
+        """key and group of every row."""
+        return self._sized(self._rows().select(*dict.fromkeys([self.key, self.group])))
 
-    Only dimensions of fixed or measured size carry a broadcast hint (the latter on
-    their frame, see ``small_side``). Others are broadcast by Spark while the size
-    of their files is under its threshold, and shuffled with skew handling beyond.
-    """
-    for dim in dims:
-        fact = fact.join(dim.rows(), dim.key)
-    return fact
+    def attributes(self) -> DataFrame:
+        """group and attributes, one row per group."""
+        rows = self._rows().select(self.group, *self.names)
+        return self._sized(rows if self.unique else rows.dropDuplicates([self.group]))
 
 
 def star_cube(fact: DataFrame, dims: list[Dim], measures: list[Column]) -> DataFrame:
@@ -62,22 +59,15 @@ def star_cube(fact: DataFrame, dims: list[Dim], measures: list[Column]) -> DataF
     it. Attributes, which are many and wide, are attached to the aggregated rows
     only. A fact row without a partner drops out, as in an inner join.
     """
-    keys = []
     for dim in dims:
-        if dim.unique:
-            keys.append(dim.key)
-        else:
-            rep = f"_rep_{dim.key}"
-            fact = fact.join(dim.representative(), dim.key).withColumnRenamed("_rep", rep)
-            keys.append(rep)
-    cube = fact.groupBy(*keys).agg(*measures)
-    for dim, key in zip(dims, keys):
-        rows = dim.rows()
         if not dim.unique:
-            rows = rows.withColumnRenamed(dim.key, key)
-        cube = cube.join(rows, key)
+            fact = fact.join(dim.keyed(), dim.key)
+    groups = [dim.group for dim in dims]
+    cube = fact.groupBy(*groups).agg(*measures)
+    for dim in dims:
+        cube = cube.join(dim.attributes(), dim.group)
     names = [n for dim in dims for n in dim.names]
-    made = [c for c in cube.columns if c not in names and c not in keys]
+    made = [c for c in cube.columns if c not in names and c not in groups]
     return cube.select(*names, *made)
 
 

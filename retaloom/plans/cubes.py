@@ -44,8 +44,7 @@ def _time(star, attrs: list[str]) -> Dim:
 
 
 def _product(star) -> Dim:
-    # cod_sku identifies a product; the key-uniqueness check watches over it
-    return Dim(star.dim("producto"), "id_producto", PRODUCT, unique=True)
+    return Dim(star.dim("producto"), "id_producto", PRODUCT)
 
 
 def with_targets(fact: DataFrame, targets: DataFrame, key: str, how: str = "inner") -> DataFrame:

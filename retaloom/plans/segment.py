@@ -10,8 +10,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from retaloom.session import as_table
 from retaloom.functions.numbers import mean, or_zero, percent, rounded, total
-from retaloom.operators.joins import small_side
 
 FEATURES = [
     "precio_lista_soles", "margen_pct", "unidades_vendidas", "ventas_netas", "tasa_devolucion_pct",
@@ -68,8 +68,9 @@ def cluster_quality(assigned: DataFrame, columns: list[str], cluster: str = "clu
     Two passes over the points, both with small per-cluster aggregates. The
     comparison of centroids happens inside one row that holds the k of them.
     """
-    centroids = small_side(assigned.groupBy(cluster).agg(
-        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns]))
+    # One row per cluster; written, so its size is known to the join.
+    centroids = as_table(assigned.groupBy(cluster).agg(
+        *[F.avg(F.col(c).cast("double")).alias(f"m_{c}") for c in columns]), "centroids")
     apart = _squared([F.col(c).cast("double") for c in columns],
                      [F.col(f"m_{c}") for c in columns])
     spread = (

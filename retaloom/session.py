@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,7 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.enabled": "false",
 }
 
@@ -31,8 +34,8 @@ def build_session(app: str = "retaloom", master: str | None = None, **conf: str)
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only in local mode, where driver and executors
-    are one process; on a cluster the setting is required.
+    Where it is unset, a temporary folder is used in local mode alone, where driver and
+    executors are one process; on a cluster, also a local one, the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
@@ -40,7 +43,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = folder or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="retaloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -53,3 +56,15 @@ def settle(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def as_table(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    Spark then knows the bytes of what was estimated from its inputs before, and decides
+    by them how to join it; its derivation runs once. The table belongs to the
+    query that made it: nothing is looked up by name later.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

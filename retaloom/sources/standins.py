@@ -295,15 +295,18 @@ class StandIns:
 
     def productos(self) -> DataFrame:
         key = F.col("p_partkey")
+        # Every 20th product is assorted: different keys that share all attributes.
+        own = lambda column, assorted: F.when(key % 20 == 0, assorted).otherwise(column)
         return self.table("part").select(
             _code("PRD-", key, 9).alias("id_producto_raw"),
-            F.concat(F.lit("SKU"), key).alias("cod_sku"),
-            F.concat("p_name", F.lit(" "), key.cast("string")).alias("nombre_sku"),
-            F.col("p_brand").alias("marca"),
-            F.col("p_type").alias("categoria"),
-            F.concat("p_type", F.lit("-"), F.expr("p_size div 10").cast("string"))
+            own(F.concat(F.lit("SKU"), key), "SKU-SURTIDO").alias("cod_sku"),
+            own(F.concat("p_name", F.lit(" "), key.cast("string")), "SURTIDO").alias("nombre_sku"),
+            own(F.col("p_brand"), "SURTIDO").alias("marca"),
+            own(F.col("p_type"), "SURTIDO").alias("categoria"),
+            own(F.concat("p_type", F.lit("-"), F.expr("p_size div 10").cast("string")), "SURTIDO")
             .alias("subcategoria"),
-            F.concat(F.lit("LINEA "), F.regexp_substr("p_brand", F.lit(r"\d\z"))).alias("linea_negocio"),
+            own(F.concat(F.lit("LINEA "), F.regexp_substr("p_brand", F.lit(r"\d\z"))), "LINEA 0")
+            .alias("linea_negocio"),
             F.lit("UND").alias("unidad_medida"),
             F.concat(F.col("p_size").cast("string"), F.lit(" g")).alias("contenido_neto"),
             money("p_retailprice").alias("precio_lista_soles"),

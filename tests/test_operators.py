@@ -5,7 +5,6 @@ import random
 from pyspark.sql import functions as F
 
 from retaloom.medallion import from_standins
-from retaloom.operators.joins import SMALL_ROWS, small_side
 from retaloom.operators.numbering import number_rows
 from retaloom.operators.star import Dim, star_cube
 from retaloom.plans import panel, segment
@@ -115,10 +114,32 @@ def test_scans_read_needed_columns_only(spark, folder):
     assert "row_index" not in text
 
 
-def test_small_side_is_measured(spark):
-    small, large = spark.range(10), spark.range(SMALL_ROWS + 1)
-    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString()
-    assert hinted(small_side(small)) and not hinted(small_side(large))
+def test_small_side_has_its_own_size_and_no_hint(spark, folder):
+    star = from_standins(spark, folder)
+    joined = star.fact("ventas").join(star.small("canal"), "id_canal")
+    assert "ResolvedHint" not in joined._jdf.queryExecution().analyzed().toString()
+    assert "orders" not in plan(star.small("canal")) and "/canal-" in plan(joined)
+
+
+def test_nothing_is_kept_between_queries(spark, folder, tmp_path):
+    for name in ("region nation customer supplier part orders lineitem events".split()):
+        (tmp_path / f"{name}.parquet").symlink_to(f"{folder}/{name}.parquet")
+    names = lambda: {r.nombre_canal for r in QUERIES["kpi_channel_month"].run(spark, str(tmp_path)).collect()}
+    before = names()
+    other = spark.read.parquet(f"{folder}/orders.parquet").withColumn(
+        "o_orderpriority", F.concat(F.col("o_orderpriority"), F.lit("-NEW")))
+    (tmp_path / "orders.parquet").unlink()
+    other.write.parquet(str(tmp_path / "orders.parquet"))
+    after = names()
+    assert before and after and not before & after
+
+
+def test_cells_of_products_with_equal_attributes_are_one(spark):
+    dim = spark.createDataFrame(
+        [(1, "a", None), (2, "a", None), (3, None, "a"), (4, "b", "c")], "k bigint, x string, y string")
+    fact = spark.createDataFrame([(1, 5), (2, 7), (3, 1), (4, 2), (4, 3), (9, 9)], "k bigint, v bigint")
+    cube = star_cube(fact, [Dim(dim, "k", ["x", "y"])], [F.sum("v").alias("v")])
+    assert {tuple(r) for r in cube.collect()} == {("a", None, 12), (None, "a", 1), ("b", "c", 5)}
 
 
 def test_metrics_match_hand_count(spark):
