@@ -6,13 +6,13 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Fixed pattern: a delivery folder is named by eight digits, optionally in
-# Hive form (``fecha=20240131``).
+# Fixed pattern: a delivery folder is named by eight digits, optionally as the value
+# of a partition (``fecha=20240131``).
 FOLDER_DATE = r"/(?:\w+=)?(\d{8})/"
 
 
 def strip_suffix(c: Column, suffix: str) -> Column:
-    # \z, not $: Java's $ also matches before a final line break.
+    # \z, not $, which also matches before a final line break.
     return F.regexp_replace(c, re.escape(suffix) + r"\z", "")
 
 

@@ -170,7 +170,7 @@ def run_predictive(spark: SparkSession, cfg: Config) -> None:
     models = lambda: stored("model_ventas_forecast")
     ahead = lambda: forecast.forecast(models(), cfg.horizon, cfg.confidence)
     step("eval_ventas_forecast", "EVALUATE", lambda: forecast.evaluate(models()))
-    step("explain_ventas_forecast", "PREDICT", lambda: forecast.explain(
+    step("explain_ventas_forecast", "EVALUATE", lambda: forecast.explain(
         series.decompose(stored("train_ventas_forecast")), models(), ahead()))
     step("pred_ventas_forecast", "PREDICT", ahead)
 

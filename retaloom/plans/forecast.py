@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from dataclasses import dataclass
+from statistics import NormalDist
 
 import numpy as np
 import pandas as pd
@@ -25,16 +27,43 @@ MODEL_SCHEMA = """
     id_canal bigint, non_seasonal_p int, non_seasonal_d int, non_seasonal_q int, has_drift boolean,
     log_likelihood double, AIC double, variance double, seasonal_periods string,
     has_spikes_and_dips boolean, has_step_changes boolean, last_ds date,
-    weekday array<double>, slopes array<double>, phi array<double>, theta array<double>,
+    weekday array<double>, yearly array<double>, slopes array<double>, phi array<double>, theta array<double>,
     drift double, level double, recent array<double>, shocks array<double>
 """
 FORECAST_SCHEMA = """
     id_canal bigint, forecast_timestamp date, forecast_value double, standard_error double,
     prediction_interval_lower_bound double, prediction_interval_upper_bound double
 """
-NORMAL_QUANTILE = {0.8: 1.2815515655, 0.9: 1.6448536270, 0.95: 1.9599639845}
 ORDERS = [(p, q) for p in range(3) for q in range(3)]
 KPSS_LIMIT = 0.463  # 5 % critical value of the level-stationarity test
+YEAR = 365.25
+
+
+@dataclass(frozen=True)
+class Needs:
+    """Days of history from which a part of the fit is used at all.
+
+    Below ``week`` a series gets its mean and spread alone. Below ``difference`` and
+    ``steps`` the test for differencing and for step changes is not run, and its
+    result is NULL. From ``yearly`` on, a yearly wave of ``waves`` harmonics is fitted.
+    """
+
+    week: int = 14
+    difference: int = 31
+    steps: int = 61
+    yearly: int = 730
+    waves: int = 2
+
+
+def _wave(days: pd.DatetimeIndex, harmonics: int) -> np.ndarray:
+    turn = 2 * np.pi * (days - pd.Timestamp("2000-01-01")).days.to_numpy() / YEAR
+    parts = [f(k * turn) for k in range(1, harmonics + 1) for f in (np.sin, np.cos)]
+    return np.column_stack(parts) if parts else np.zeros((len(days), 0))
+
+
+def half_width(confidence: float) -> float:
+    """Standard errors on each side of a two-sided normal interval."""
+    return NormalDist().inv_cdf((1 + confidence) / 2)
 
 
 def _shocks(w: np.ndarray, phi: np.ndarray, theta: np.ndarray) -> np.ndarray:
@@ -64,7 +93,8 @@ def _lagged(x: np.ndarray, lags: int, start: int) -> np.ndarray:
 
 def _arma(w: np.ndarray):
     """Least-squares ARMA fits over the order grid (Hannan-Rissanen), best AIC first."""
-    n, long = len(w), min(14, max(2, len(w) // 10))
+    n = len(w)
+    long = min(14, max(2, n // 10))  # lags of the first, long regression
     design = _lagged(w, long, long)
     guess = np.zeros(n)
     guess[long:] = w[long:] - design @ np.linalg.lstsq(design, w[long:], rcond=None)[0]
@@ -97,44 +127,77 @@ def _kpss(x: np.ndarray) -> float:
     return float((np.cumsum(e) ** 2).sum() / (n * n * max(long_run, 1e-12)))
 
 
-def _fit(pdf: pd.DataFrame, value: str, regressors: list[str]) -> pd.DataFrame:
+def _flat(pdf: pd.DataFrame, daily: pd.DataFrame, y: np.ndarray, slopes: int) -> dict:
+    """Mean and spread of a series that is too short for more; no spread for one day."""
+    var = float(y.var(ddof=1)) if len(y) > 1 else None
+    return {
+        "id_canal": int(pdf["id_canal"].iloc[0]), "non_seasonal_p": 0, "non_seasonal_d": None,
+        "non_seasonal_q": 0, "has_drift": None, "log_likelihood": None, "AIC": None, "variance": var,
+        "seasonal_periods": "NO_SEASONALITY", "has_spikes_and_dips": None, "has_step_changes": None,
+        "last_ds": daily.index[-1].date(), "weekday": np.full(7, y.mean()), "yearly": [],
+        "slopes": np.zeros(slopes), "phi": [], "theta": [], "drift": 0.0, "level": 0.0,
+        "recent": [], "shocks": [],
+    }
+
+
+def _fit(pdf: pd.DataFrame, value: str, regressors: list[str], needs: Needs) -> pd.DataFrame:
     pdf = pdf.assign(ds=pd.to_datetime(pdf["ds"])).set_index("ds").sort_index()
     daily = pdf[[value, *regressors]].astype(float).asfreq("D").interpolate(limit_direction="both")
-    y = daily[value].to_numpy()
-    # weekday levels and regressor slopes together, by least squares
+    y, n = daily[value].to_numpy(), len(daily)
+    if n < needs.week or not np.isfinite(daily.to_numpy()).all():
+        known = y[np.isfinite(y)]
+        return pd.DataFrame([_flat(pdf, daily, known if len(known) else np.zeros(1), len(regressors))])
+    # weekday levels, yearly wave and regressor slopes together, by least squares
     dummies = np.eye(7)[daily.index.dayofweek]
+    wave = _wave(daily.index, needs.waves if n >= needs.yearly else 0)
     extra = daily[regressors].to_numpy()
-    coef = np.linalg.lstsq(np.hstack([dummies, extra]), y, rcond=None)[0]
-    weekday, slopes = coef[:7], coef[7:]
-    rest = y - dummies @ weekday - extra @ slopes
-    d = int(len(rest) > 30 and _kpss(rest) > KPSS_LIMIT)
+    design = np.hstack([dummies, wave, extra])
+    coef = np.linalg.lstsq(design, y, rcond=None)[0]
+    weekday, yearly, slopes = np.split(coef, [7, 7 + wave.shape[1]])
+    rest = y - design @ coef
+    d = int(_kpss(rest) > KPSS_LIMIT) if n >= needs.difference else None
     w = np.diff(rest) if d else rest
-    drift = float(w.mean())
-    aic, loglik, var, phi, theta, e = _arma(w - drift)
+    mean = float(w.mean())
+    aic, loglik, var, phi, theta, e = _arma(w - mean)
     sigma = np.sqrt(var)
-    month = np.convolve(rest, np.ones(30) / 30, mode="valid") if len(rest) > 60 else rest[:0]
-    steps = np.abs(month[30:] - month[:-30]) if len(month) > 30 else np.zeros(1)
+    # A differenced series drifts only if its mean step stands out from its errors.
+    trend = bool(d and abs(mean) > 2 * sigma / np.sqrt(len(w)))
+    drift = mean if trend or not d else 0.0
+    steps = None
+    if n >= needs.steps:
+        month = np.convolve(rest, np.ones(30) / 30, mode="valid")
+        steps = bool((np.abs(month[30:] - month[:-30]) > 2 * rest.std()).any())
     return pd.DataFrame([{
         "id_canal": int(pdf["id_canal"].iloc[0]),
         "non_seasonal_p": len(phi), "non_seasonal_d": d, "non_seasonal_q": len(theta),
-        "has_drift": bool(d and abs(drift) > 2 * sigma / np.sqrt(len(w))),
-        "log_likelihood": loglik, "AIC": aic, "variance": var, "seasonal_periods": "WEEKLY",
-        "has_spikes_and_dips": bool((np.abs(e) > 4 * sigma).any()),
-        "has_step_changes": bool((steps > 2 * rest.std()).any()),
+        "has_drift": None if d is None else trend,
+        "log_likelihood": loglik, "AIC": aic, "variance": var,
+        "seasonal_periods": "WEEKLY,YEARLY" if wave.shape[1] else "WEEKLY",
+        "has_spikes_and_dips": bool((np.abs(e) > 4 * sigma).any()), "has_step_changes": steps,
         "last_ds": daily.index[-1].date(),
-        "weekday": weekday, "slopes": slopes, "phi": phi, "theta": theta,
+        "weekday": weekday, "yearly": yearly, "slopes": slopes, "phi": phi, "theta": theta,
         "drift": drift, "level": float(rest[-1]),
-        "recent": (w - drift)[::-1][:2], "shocks": e[::-1][:2],
+        "recent": (w - mean)[::-1][:2], "shocks": e[::-1][:2],
     }])
 
 
 def fit(series: DataFrame, value: str = "ventas_netas_soles",
-        regressors: tuple[str, ...] = ()) -> DataFrame:
-    """One model row per series; without ``regressors`` the first model version, else the second."""
+        regressors: tuple[str, ...] = (), needs: Needs = Needs()) -> DataFrame:
+    """One model row per series; without ``regressors`` the first model version, else the second.
+
+    A series whose fit fails for numerical reasons gets mean and spread, so it does not
+    fail the others.
+    """
     names = list(regressors)
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        try:
+            return _fit(pdf, value, names, needs)
+        except np.linalg.LinAlgError:
+            return _fit(pdf, value, names, Needs(week=len(pdf) * 2 + 10 ** 6))
+
     rows = series.select("id_canal", "ds", *[F.col(c).cast("double") for c in [value, *names]])
-    return rows.groupBy("id_canal").applyInPandas(
-        lambda pdf: _fit(pdf, value, names), MODEL_SCHEMA)
+    return rows.groupBy("id_canal").applyInPandas(one, MODEL_SCHEMA)
 
 
 def evaluate(models: DataFrame) -> DataFrame:
@@ -158,13 +221,16 @@ def _predict(model: pd.Series, dates: pd.DatetimeIndex, extra: np.ndarray, z: fl
             c * weights[t - i] for i, c in enumerate(phi, start=1) if t >= i
         ) + (theta[t - 1] if t <= len(theta) else 0.0)
     path += model["drift"]
-    if model["non_seasonal_d"]:
+    if model["non_seasonal_d"] == 1:
         path, weights = model["level"] + np.cumsum(path), np.cumsum(weights)
     slopes = np.asarray(model["slopes"], dtype=float)
     value = path + np.asarray(model["weekday"])[dates.dayofweek]
+    yearly = np.asarray(model["yearly"], dtype=float)
+    value = value + _wave(dates, len(yearly) // 2) @ yearly
     if len(slopes):
         value = value + extra @ slopes
-    error = np.sqrt(model["variance"] * np.cumsum(weights ** 2))
+    variance = np.nan if pd.isna(model["variance"]) else model["variance"]
+    error = np.sqrt(variance * np.cumsum(weights ** 2))
     return pd.DataFrame({
         "id_canal": model["id_canal"], "forecast_timestamp": dates.date, "forecast_value": value,
         "standard_error": error, "prediction_interval_lower_bound": value - z * error,
@@ -174,7 +240,7 @@ def _predict(model: pd.Series, dates: pd.DatetimeIndex, extra: np.ndarray, z: fl
 
 def forecast(models: DataFrame, horizon: int = 90, confidence: float = 0.9) -> DataFrame:
     """The next ``horizon`` days of every series fitted without regressors."""
-    z = NORMAL_QUANTILE[confidence]
+    z = half_width(confidence)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -193,7 +259,7 @@ def forecast_with(models: DataFrame, future: DataFrame, regressors: tuple[str, .
     The models are not fitted again, so ``future`` may hold a what-if plan. A
     group is one model row and its days ahead.
     """
-    z, names = NORMAL_QUANTILE[confidence], list(regressors)
+    z, names = half_width(confidence), list(regressors)
 
     def run(model: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
         if model.empty or ahead.empty:

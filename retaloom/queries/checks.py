@@ -272,10 +272,9 @@ def promotion_profile(m):
 
 @query("dq_key_set_difference", """
 SELECT id_promocion_tm FROM raw_promociones WHERE id_promocion_tm IS NOT NULL
-EXCEPT SELECT id_promocion_tm FROM raw_inversion WHERE id_promocion_sap IS NULL""")
+EXCEPT SELECT id_promocion_tm FROM raw_inversion""")
 def key_set_difference(m):
-    spend = m.raw("inversion_promocional").where(F.col("id_promocion_sap").isNull())
-    return joins.key_difference(m.raw("promociones"), spend, "id_promocion_tm")
+    return joins.key_difference(m.raw("promociones"), m.raw("inversion_promocional"), "id_promocion_tm")
 
 
 @query("dq_missing_fields_profile", f"""
@@ -520,10 +519,13 @@ SELECT COUNT(*) AS total_dias, MIN(fecha) AS fecha_minima, MAX(fecha) AS fecha_m
        {n('es_feriado = 1')} AS dias_feriado, {n('es_dia_habil = 1')} AS dias_habiles,
        {n('es_fin_semana = 1')} AS dias_fin_semana, COUNT(DISTINCT anio) AS anios_distintos,
        COUNT(DISTINCT trimestre) AS trimestres_distintos
-FROM dim_tiempo WHERE id_fecha IN (SELECT id_fecha FROM fact_ventas)""")
+FROM dim_tiempo WHERE fecha BETWEEN (SELECT MIN(fecha_emision) FROM tru_ventas)
+                               AND (SELECT MAX(fecha_emision) FROM tru_ventas)""")
 def calendar_coverage(m):
-    used = m.dim("tiempo").join(m.fact("ventas").select("id_fecha"), "id_fecha", "left_semi")
-    return reconcile.calendar_coverage(used)
+    """All days from the first sale to the last, with sales or without."""
+    sales = m.trusted("ventas").agg(F.min("fecha_emision").alias("a"), F.max("fecha_emision").alias("b"))
+    days = m.dim("tiempo").join(F.broadcast(sales), F.col("fecha").between(F.col("a"), F.col("b")))
+    return reconcile.calendar_coverage(days)
 
 
 @query("rec_trusted_vs_fact", """
@@ -552,9 +554,9 @@ def sales_measures(m):
 
 @query("rec_stock_measures", f"""
 SELECT {n('stock_disponible < 0')} AS registros_stock_negativo,
-       MIN(stock_disponible) AS stock_minimo FROM raw_inventario""")
+       MIN(stock_disponible) AS stock_minimo FROM fact_inventario""")
 def stock_measures(m):
-    return reconcile.stock_measures(m.raw("inventario"))
+    return reconcile.stock_measures(m.fact("inventario"))
 
 
 @query("rec_returns_conserved", f"""

@@ -187,6 +187,73 @@ def audit_tally(m):
     return log.tally()
 
 
+@query("ingest_replace_with_empty_file", _BY_DAY.replace(
+    "FROM events", "FROM events WHERE CAST(ts AS DATE) <> (SELECT CAST(MIN(ts) AS DATE) FROM events)"))
+def replaced_by_nothing(m):
+    """A date that is delivered again with a header alone loses its rows."""
+    root, table, log, _ = _setup(m)
+    _deliver(m, root, _events(m))
+    _load(m, root, table, log)
+    first = _events(m).agg(F.date_format(F.min("ts"), "yyyyMMdd")).first()[0]
+    _events(m).select("event_id", "user_id", "event_type", "value").limit(0).coalesce(1).write.mode(
+        "overwrite").option("header", True).csv(f"{root}/eventos/fecha={first}")
+    _load(m, root, table, log, replace=True)
+    return _by_day(m.spark, table)
+
+
+@query("audit_failed_step_keeps_table", """
+SELECT * REPLACE (CAST(margen_objetivo_pct AS DOUBLE) AS margen_objetivo_pct) FROM dim_canal""")
+def kept_table(m):
+    """A refresh that fails while it writes leaves the table as it was."""
+    work = _work(m)
+    log = audit.AuditLog(m.spark, f"{work}/etl_control")
+    table = f"{work}/curated/DIM_CANAL"
+    write = lambda df: tables.write_table(df, table)
+    audit.run_step(log, "DIM_CANAL", "FULL_REFRESH", lambda: m.dim("canal"), write)
+    audit.run_step(log, "DIM_CANAL", "FULL_REFRESH", lambda: m.dim("canal").withColumn(
+        "nombre_canal", F.raise_error(F.lit("no canal")).cast("string")), write)
+    return tables.read_table(m.spark, table)
+
+
+def _four_steps(m) -> audit.AuditLog:
+    """Three dimensions written one after another, then a step that fails."""
+    work = _work(m)
+    log = audit.AuditLog(m.spark, f"{work}/etl_control")
+    for name in ("canal", "geografia", "almacen"):
+        audit.run_step(log, name, "FULL_REFRESH", lambda: m.dim(name),
+                       lambda df: tables.write_table(df, f"{work}/curated/{name}"))
+    audit.run_step(log, "rota", "FULL_REFRESH", lambda: m.trusted("ventas").select("no_existe"),
+                   lambda df: tables.write_table(df, f"{work}/curated/rota"))
+    return log
+
+
+_DIM_COUNTS = "\nUNION ALL\n".join(
+    f"SELECT '{name}' AS tabla_destino, 'EXITOSO' AS estado, COUNT(*) AS registros_cargados"
+    f" FROM dim_{name}" for name in ("canal", "geografia", "almacen"))
+
+
+@query("audit_errors", """
+SELECT 'rota' AS tabla_destino, 'ERROR' AS estado, TRUE AS con_mensaje, COUNT(*) >= 0 AS leido
+FROM dim_canal""")
+def audit_errors(m):
+    return _four_steps(m).errors().select(
+        "tabla_destino", "estado", (F.length("mensaje_error") > 0).alias("con_mensaje"),
+        F.lit(True).alias("leido"))
+
+
+@query("audit_loads", _DIM_COUNTS)
+def audit_loads(m):
+    return _four_steps(m).loads().select("tabla_destino", "estado", "registros_cargados")
+
+
+@query("audit_latest", f"""
+SELECT * FROM ({_DIM_COUNTS}) AS x WHERE tabla_destino = 'almacen'
+UNION ALL SELECT 'rota', 'ERROR', CAST(NULL AS BIGINT)""")
+def audit_latest(m):
+    """The two rows written last."""
+    return _four_steps(m).latest(2).select("tabla_destino", "estado", "registros_cargados")
+
+
 _CUBE = f"""
 SELECT periodo, nombre_canal, {d('SUM(ventas_netas)')} AS ventas_netas,
        CAST(SUM(num_facturas) AS BIGINT) AS num_facturas, COUNT(*) AS celdas

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from retaloom.plans import forecast, panel, segment, series
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio
+from retaloom.session import as_table
 
 HOLDOUT = "2000-01-01"
 XREGS = ("inversion_promo", "es_feriado")
@@ -162,21 +163,21 @@ def classifier_metrics(m):
 
 @query("stockout_gbt_scores")
 def gbt_scores(m):
-    rows = _panel(m)
-    return panel.predict(panel.train(rows, iterations=10, depth=4), rows)
+    rows = as_table(_panel(m), "panel")
+    return panel.predict(panel.train(rows), rows)
 
 
 @query("stockout_gbt_holdout_metrics")
 def gbt_metrics(m):
-    rows = _panel(m)
-    scored = panel.predict(panel.train(rows, iterations=5, depth=3), rows)
+    rows = as_table(_panel(m), "panel")
+    scored = panel.predict(panel.train(rows), rows)
     return panel.metrics(scored.where("split"), "flag_quiebre", "probabilidad")
 
 
 @query("stockout_gbt_importances")
 def gbt_importances(m):
-    rows = _panel(m)
-    return panel.importances(panel.train(rows, iterations=5, depth=3), rows)
+    rows = as_table(_panel(m), "panel")
+    return panel.importances(panel.train(rows), rows)
 
 
 # -- segments -------------------------------------------------------------------------
@@ -272,8 +273,13 @@ def kmeans_quality(m):
 # -- forecasts --------------------------------------------------------------------------
 
 
-def _models(m):
-    return forecast.fit(_series(m), regressors=XREGS)
+def _daily(m):
+    """Days x channels rows, written once for everything a forecast takes from them."""
+    return as_table(_series(m), "series")
+
+
+def _models(daily):
+    return forecast.fit(daily, regressors=XREGS)
 
 
 @query("forecast_fit_eval_plain")
@@ -288,26 +294,28 @@ def forecast_plain(m):
 
 @query("forecast_explain")
 def forecast_explain(m):
-    models = forecast.fit(series.sales_only(_series(m)))
-    return forecast.explain(series.decompose(_series(m)), models, forecast.forecast(models))
+    daily = _daily(m)
+    models = as_table(forecast.fit(series.sales_only(daily)), "models")  # one row per series
+    return forecast.explain(series.decompose(daily), models, forecast.forecast(models))
 
 
 @query("forecast_fit_eval")
 def fit_eval(m):
-    return forecast.evaluate(_models(m))
+    return forecast.evaluate(_models(_series(m)))
 
 
 @query("forecast_90d")
 def forecast_90(m):
-    ahead = series.future_regressors(_series(m))
-    return forecast.forecast_with(_models(m), ahead, XREGS)
+    daily = _daily(m)
+    return forecast.forecast_with(_models(daily), series.future_regressors(daily), XREGS)
 
 
 @query("forecast_what_if")
 def what_if(m):
-    plan = series.future_regressors(_series(m)).withColumn(
+    daily = _daily(m)
+    plan = series.future_regressors(daily).withColumn(
         "inversion_promo", F.col("inversion_promo") * 2)
-    return forecast.forecast_with(_models(m), plan, XREGS)
+    return forecast.forecast_with(_models(daily), plan, XREGS)
 
 
 def _named(m):

@@ -258,8 +258,9 @@ class StandIns:
         )
 
     def inversion_promocional(self) -> DataFrame:
-        shifted = F.when(F.col("l_linenumber") == 7, F.col("l_partkey") + 1000000000).otherwise(
-            F.col("l_partkey"))
+        # Codes that no promotion has; products of every 17th key have no spend of their own.
+        foreign = (F.col("l_linenumber") == 7) | (F.col("l_partkey") % 17 == 0)
+        shifted = F.when(foreign, F.col("l_partkey") + 1000000000).otherwise(F.col("l_partkey"))
         return self.lines().select(
             F.when(F.col("l_linenumber") != 6, F.concat(F.lit("TM-"), shifted))
             .alias("id_promocion_tm"),

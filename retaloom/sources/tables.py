@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,6 +13,31 @@ from retaloom.functions.dates import period_key
 MONTH = "periodo_particion"
 
 
+def _files(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Write beside the table, then put the new folder in its place.
+
+    If the write fails, the table stays as it was and what was written goes away. Between
+    the two renames the table is absent for a moment; its rows are never half there.
+    """
+    new, old = f"{path}.new-{uuid4().hex}", f"{path}.old-{uuid4().hex}"
+    files, target = _files(spark, path)
+    fresh, before = _files(spark, new)[1], _files(spark, old)[1]
+    try:
+        write(new)
+    except Exception:
+        files.delete(fresh, True)
+        raise
+    if files.exists(target):
+        files.rename(target, before)
+    files.rename(fresh, target)
+    files.delete(before, True)
+
+
 def write_table(df: DataFrame, path: str, by_date: str | None = None) -> None:
     """Replace a table. ``by_date`` lays it out in one folder per month of that date.
 
@@ -18,15 +46,16 @@ def write_table(df: DataFrame, path: str, by_date: str | None = None) -> None:
     month is split over tasks, small months share one.
     """
     if by_date:
-        laid = df.withColumn(MONTH, period_key(F.col(by_date))).hint("rebalance", MONTH)
-        laid.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+        df = df.withColumn(MONTH, period_key(F.col(by_date)))
+        write_table_by(df, path, MONTH)
     else:
-        df.write.mode("overwrite").parquet(path)
+        _replace(df.sparkSession, path, df.write.parquet)
 
 
 def write_table_by(df: DataFrame, path: str, by: str) -> None:
     """Replace a table, one folder per value of a column it has already."""
-    df.hint("rebalance", by).write.mode("overwrite").partitionBy(by).parquet(path)
+    laid = df.hint("rebalance", by).write.partitionBy(by)
+    _replace(df.sparkSession, path, laid.parquet)
 
 
 def replace_partitions(df: DataFrame, path: str, by: str) -> None:
@@ -37,9 +66,8 @@ def replace_partitions(df: DataFrame, path: str, by: str) -> None:
     )
 
 
-def drop_partition(spark: SparkSession, path: str, by: str, value: int) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={value}")
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+def drop_partition(spark: SparkSession, path: str, by: str, value: object) -> None:
+    files, folder = _files(spark, f"{path}/{by}={value}")
     if files.exists(folder):
         files.delete(folder, True)
 

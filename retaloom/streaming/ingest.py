@@ -12,7 +12,7 @@ import re
 from datetime import date
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retaloom.plans.audit import ERROR, OK, AuditLog
@@ -29,11 +29,16 @@ def _same(path: str) -> str:
 def _load(spark: SparkSession, source: str, files: list[tuple[date, str]], schema: str,
           table: str, log: AuditLog) -> None:
     dates = sorted({d for d, _ in files})
+    seen = Observation()
     rows = landing.read_files(spark, [f for _, f in files], schema)
-    tables.replace_partitions(rows, table, PARTITION)
+    tables.replace_partitions(
+        rows.observe(seen, F.collect_set(PARTITION).alias("dates")), table, PARTITION)
+    # A date delivered without rows replaces what it had before by nothing.
+    for day in set(dates) - set(seen.get["dates"] or []):
+        tables.drop_partition(spark, table, PARTITION, day.isoformat())
     # counted from the committed partitions of these dates only
     counts = (
-        spark.read.parquet(table).where(F.col(PARTITION).isin(dates))
+        spark.read.schema(rows.schema).parquet(table).where(F.col(PARTITION).isin(dates))
         .groupBy(PARTITION, "archivo_origen").agg(F.count(F.lit(1)).alias("n")).collect()
     )
     loaded = {_same(row["archivo_origen"]): row["n"] for row in counts}

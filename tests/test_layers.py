@@ -268,3 +268,28 @@ def test_cube_follows_a_stream_of_changes(spark, tmp_path):
     follow()
     assert sorted((r.periodo, r.v) for r in spark.read.parquet(where).collect()) == [
         (202401, 1), (202402, 12)]
+
+
+def test_a_failing_write_keeps_the_table(spark, tmp_path):
+    where = str(tmp_path / "t")
+    tables.write_table(spark.range(5), where)
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(
+        F.raise_error(F.lit("no"))).alias("id"))
+    with pytest.raises(Exception, match="no"):
+        tables.write_table(broken, where)
+    assert spark.read.parquet(where).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]
+
+
+def test_a_date_delivered_empty_loses_its_rows(spark, tmp_path):
+    log = audit.AuditLog(spark, str(tmp_path / "log"), raw=True)
+    put(str(tmp_path / "in/s/20240101/a.csv"), "k,v", "1,a", "2,b")
+    put(str(tmp_path / "in/s/20240102/a.csv"), "k,v", "3,c")
+    load = lambda **kw: ingest.ingest(
+        spark, str(tmp_path / "in"), "s", "k bigint, v string", str(tmp_path / "t"), log, **kw)
+    load()
+    put(str(tmp_path / "in/s/20240101/a.csv"), "k,v")
+    load(replace=True)
+    assert [r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [3]
+    last = log.read().where("fecha_particion = '2024-01-01'").orderBy(F.desc("fecha_carga")).first()
+    assert (last.estado, last.registros_cargados) == (audit.OK, 0)

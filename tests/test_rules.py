@@ -3,12 +3,14 @@
 import datetime as dt
 from decimal import Decimal
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from retaloom.functions import dates, numbers, text
 from retaloom.operators import joins
-from retaloom.plans import calendar, curated, kpis, quality, segment, series, trusted
+from retaloom.plans import calendar, curated, forecast, kpis, quality, segment, series, trusted
 
 D = dt.date
 
@@ -248,3 +250,44 @@ def test_future_regressors_follow_plan(spark):
     assert rows[D(2026, 1, 15)].inversion_promo == 2.0  # mean of January
     assert rows[D(2026, 2, 15)].inversion_promo == 0.0  # no history
     assert [d for d, r in rows.items() if r.es_feriado] == [D(2026, 1, 1)]
+
+
+# -- forecasts -----------------------------------------------------------------------------
+
+
+def _daily(values, start="2021-01-01"):
+    days = pd.date_range(start, periods=len(values))
+    return pd.DataFrame({"id_canal": 1, "ds": days, "y": values})
+
+
+def test_a_yearly_wave_is_forecast():
+    t = np.arange(3 * 365 + 90)
+    values = 1000 + 300 * np.sin(2 * np.pi * t / 365.25)
+    model = forecast._fit(_daily(values[:-90]), "y", [], forecast.Needs()).iloc[0]
+    ahead = forecast._predict(model, pd.date_range("2021-01-01", periods=len(t))[-90:], np.zeros((90, 0)), 1.6)
+    assert np.abs(ahead["forecast_value"] - values[-90:]).mean() < 40
+    assert model["seasonal_periods"] == "WEEKLY,YEARLY"
+
+
+def test_short_series_get_mean_and_spread():
+    model = forecast._fit(_daily([10.0, 14.0, 12.0]), "y", [], forecast.Needs()).iloc[0]
+    ahead = forecast._predict(model, pd.date_range("2021-01-04", periods=5), np.zeros((5, 0)), 1.6)
+    assert ahead["forecast_value"].tolist() == [12.0] * 5 and (ahead["standard_error"] == 2.0).all()
+    assert model["non_seasonal_d"] is None and model["has_drift"] is None
+    one = forecast._fit(_daily([7.0]), "y", [], forecast.Needs()).iloc[0]
+    alone = forecast._predict(one, pd.date_range("2021-01-02", periods=2), np.zeros((2, 0)), 1.6)
+    assert alone["forecast_value"].tolist() == [7.0, 7.0] and alone["standard_error"].isna().all()
+
+
+def test_drift_is_forecast_only_where_it_is_found():
+    rng = np.random.default_rng(2)
+    walk = _daily(1000 + np.cumsum(rng.normal(0, 5, 400)))
+    flat = forecast._fit(walk, "y", [], forecast.Needs()).iloc[0]
+    assert flat["non_seasonal_d"] == 1 and not flat["has_drift"] and flat["drift"] == 0
+    rising = forecast._fit(_daily(np.cumsum(rng.normal(4, 2, 400))), "y", [], forecast.Needs()).iloc[0]
+    assert rising["has_drift"] and abs(rising["drift"] - 4) < 1
+
+
+def test_any_confidence_has_its_half_width():
+    assert abs(forecast.half_width(0.9) - 1.6448536270) < 1e-9
+    assert 0.6 < forecast.half_width(0.5) < forecast.half_width(0.7)
