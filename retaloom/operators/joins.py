@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from retaloom.session import as_table
+
 
 def stack(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
@@ -48,40 +50,23 @@ def combined(frames: Iterable[DataFrame]) -> DataFrame:
 def orphan_counts(
     fact: DataFrame, dims: Mapping[str, tuple[str, DataFrame, str]], out: str = "huerfanos"
 ) -> DataFrame:
-    """Rows of ``fact`` without a partner, per named check, in one pass over the fact.
+    """Rows of ``fact`` without a partner, per named check.
 
-    ``dims`` maps check name to (fact column, dimension, dimension key). Each
-    row is folded to (check, key) pairs that are counted before any shuffle, so a
-    hot or NULL key costs one row per task. A check on an empty fact gives 0.
+    ``dims`` maps check name to (fact column, dimension, dimension key). The foreign keys are
+    written once, by themselves; each check counts its keys before any shuffle, so a hot
+    or NULL key costs one row per task, and compares them in their own type. A NULL key has
+    no partner. A check on an empty fact gives 0.
     """
-    checks = list(dims)
-    pairs = F.array(
-        *[
-            F.struct(F.lit(name).alias("check_nombre"), F.col(col).cast("string").alias("_key"))
-            for name, (col, _, _) in dims.items()
-        ]
-    )
-    used = (
-        fact.select(F.explode(pairs).alias("_p"))
-        .select("_p.*")
-        .groupBy("check_nombre", "_key")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    known = stack(
-        d.select(F.lit(name).alias("check_nombre"), F.col(key).cast("string").alias("_key"))
-        .where(F.col("_key").isNotNull())
-        .distinct()
-        for name, (_, d, key) in dims.items()
-    ).withColumn("_known", F.lit(True))
-    counted = (
-        used.join(known, ["check_nombre", "_key"], "left")
-        .groupBy("check_nombre")
-        .agg(F.sum(F.when(F.col("_known").isNull(), F.col("_n")).otherwise(0)).alias("_n"))
-    )
-    names = fact.sparkSession.createDataFrame([(c,) for c in checks], "check_nombre string")
-    return names.join(counted, "check_nombre", "left").select(
-        "check_nombre", F.coalesce("_n", F.lit(0)).cast("bigint").alias(out)
-    )
+    columns = list(dict.fromkeys(col for col, _, _ in dims.values()))
+    keys = as_table(fact.select(*columns), "keys")
+    counted = [
+        keys.groupBy(col).agg(F.count(F.lit(1)).alias("_n"))
+        .join(d.select(F.col(key).alias(col)).distinct(), col, "left_anti")
+        .agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(out))
+        .select(F.lit(name).alias("check_nombre"), out)
+        for name, (col, d, key) in dims.items()
+    ]
+    return stack(counted)
 
 
 def keep_selected(df: DataFrame, selection: Mapping[str, Iterable] | None) -> DataFrame:

@@ -9,6 +9,15 @@ from retaloom.session import settle
 _IN_BLOCK = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within its task
 
 
+BLOCK_BYTES = 256 << 20  # of the input, for a block
+
+
+def _input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that the frame is made from, as Spark knows them."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 def number_rows(
     df: DataFrame,
     order: list[str | Column],
@@ -22,12 +31,14 @@ def number_rows(
     the later order keys; each task numbers its own sorted block, and a block's
     start is the sum of the sizes before it. The ranged rows are settled once:
     sizes and numbers must come from the same placement, also after a lost
-    executor. ``tie`` names a deterministic per-row value that spreads identical
+    executor. There are at least so many blocks that each stands for BLOCK_BYTES of the
+    input. ``tie`` names a deterministic per-row value that spreads identical
     copies over blocks; it is dropped from the result.
     """
     spark = df.sparkSession
     keys = [F.col(k) if isinstance(k, str) else k for k in order] + ([F.col(tie)] if tie else [])
-    count = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    count = blocks or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          -(-_input_bytes(df) // BLOCK_BYTES))
     placed = settle(
         df.repartitionByRange(count, *keys)
         .sortWithinPartitions(*keys)

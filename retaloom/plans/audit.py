@@ -37,6 +37,23 @@ class AuditLog:
         self.spark.createDataFrame(values, self.schema).coalesce(1).write.mode("append").parquet(
             self.path)
 
+    def append_files(self, table: str, kind: str, files: DataFrame) -> None:
+        """A row of success per loaded file, written by the executors.
+
+        ``files``: archivo_origen, fecha_particion, registros_cargados.
+        """
+        given = files.withColumns({
+            "tabla_destino": F.lit(table), "tipo": F.lit(kind), "estado": F.lit(OK),
+            "mensaje_error": F.lit(None).cast("string"), "fecha_carga": F.current_timestamp()})
+        names = [c.split()[0] for c in self.schema.split(",")]
+        given.select(*names).write.mode("append").parquet(self.path)
+
+    def loaded_files(self, table: str) -> DataFrame:
+        """archivo_origen, fecha_particion of the files recorded as loaded."""
+        return self.read().where(
+            (F.col("tabla_destino") == table) & (F.col("tipo") == "INCREMENTAL")
+            & (F.col("estado") == OK)).select("archivo_origen", "fecha_particion").distinct()
+
     def done_dates(self, table: str) -> set[date]:
         """Delivery dates already loaded: at most one per calendar day."""
         rows = self.read().where(

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from retaloom.plans import cubes, kpis
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio
+from retaloom.session import as_table
 
 _TOTALS = f"""
 SELECT {d('SUM(ventas_netas)')} AS ventas_netas, {d('SUM(margen_bruto)')} AS margen_bruto,
@@ -106,13 +107,14 @@ SELECT * FROM (
              CROSS JOIN ({_TARGETS}) g)
   {' UNION ALL '.join(_status_row(*row) for row in kpis.COMMERCIAL_KPIS)}) AS s""")
 def target_status(m):
+    cube = as_table(m.commercial, "cube")  # three measures read it
     values = [
-        kpis.commercial_totals(m.commercial),
-        kpis.average_ticket(m.commercial, m.invoices).select("ticket_promedio"),
+        kpis.commercial_totals(cube),
+        kpis.average_ticket(cube, m.invoices).select("ticket_promedio"),
         kpis.purchase_frequency(m.fact("ventas"), m.dim("tiempo"), m.dim("canal"))
         .select("frecuencia_compra"),
     ]
-    return kpis.target_status(values, kpis.target_rollup(m.commercial))
+    return kpis.target_status(values, kpis.target_rollup(cube))
 
 
 @query("kpi_attainment", f"""

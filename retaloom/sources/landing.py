@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date
+import re
+from collections.abc import Collection
+from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from retaloom.functions.text import folder_date
+from retaloom.functions.text import FOLDER_DATE, folder_date
 
 LISTING = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -19,38 +20,69 @@ def listed(paths: DataFrame) -> DataFrame:
     ).where(F.col("fecha_particion").isNotNull())
 
 
-def deliveries(spark: SparkSession, root: str, source: str) -> DataFrame:
-    """Files delivered so far. Only names are read: the content column is pruned."""
-    try:
-        found = (
-            spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
-            .load(f"{root}/{source}/*")
-        )
-    except AnalysisException:  # nothing delivered yet
+def date_folders(spark: SparkSession, root: str, source: str) -> dict[date, list[str]]:
+    """Folders by delivery date. Only names are listed: one entry per date, no files."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{source}")
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[date, list[str]] = {}
+    for entry in files.listStatus(where) if files.exists(where) else ():
+        digits = re.search(FOLDER_DATE, f"/{entry.getPath().getName()}/")
+        try:
+            day = datetime.strptime(digits[1], "%Y%m%d").date() if digits else None
+        except ValueError:
+            day = None
+        if day and entry.isDirectory():
+            found.setdefault(day, []).append(entry.getPath().toString())
+    return found
+
+
+def deliveries(spark: SparkSession, root: str, source: str,
+               days: Collection[date] | None = None) -> DataFrame:
+    """Files delivered so far, or for some dates. Only names are read: the content is pruned."""
+    folders = [f for day, own in date_folders(spark, root, source).items()
+               if days is None or day in days for f in own]
+    if not folders:
         return spark.createDataFrame([], "fecha_particion date, archivo_origen string")
-    return listed(found)
+    return listed(spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(folders))
 
 
-def new_files(spark: SparkSession, root: str, source: str, done: set[date],
-              last_file_only: bool = False) -> list[tuple[date, str]]:
-    """Files of dates not loaded yet; their number is bounded by the new deliveries."""
-    found = deliveries(spark, root, source)
-    if done:
-        found = found.where(~F.col("fecha_particion").isin(sorted(done)))
-    if last_file_only:
-        found = found.groupBy("fecha_particion").agg(F.max("archivo_origen").alias("archivo_origen"))
-    return [tuple(row) for row in found.orderBy("fecha_particion", "archivo_origen").collect()]
+def last_files(files: DataFrame) -> dict[date, str]:
+    """The file of each date whose name comes last."""
+    last = files.groupBy("fecha_particion").agg(F.max("archivo_origen").alias("f"))
+    return {row["fecha_particion"]: row["f"] for row in last.collect()}
 
 
-def read_files(spark: SparkSession, files: list[str], schema: str) -> DataFrame:
-    """Rows with their delivery date and file. Header names are checked against the schema."""
+def read_files(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
+    """Rows of files or folders with their delivery date and file. Header names are checked
+    against the schema."""
     rows = spark.read.csv(
-        files, schema=schema, header=True, enforceSchema=False, mode="FAILFAST",
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        paths, schema=schema, header=True, enforceSchema=False, mode="FAILFAST",
+        pathGlobFilter="*.csv", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     path = F.col("_metadata.file_path")
     return rows.select("*", folder_date(path).alias("fecha_carga"), path.alias("archivo_origen"))
 
 
+def bad_dates(spark: SparkSession, paths: list[str], schema: str) -> dict[date, str]:
+    """Dates with a file that lacks its header or has a row that does not parse, and an example.
+
+    One pass over all files: rows that do not parse are kept as text, among them the headers.
+    """
+    names = [f.name for f in T.StructType.fromDDL(schema).fields]
+    rows = spark.read.csv(
+        paths, schema=f"{schema}, _line string", header=False, mode="PERMISSIVE",
+        columnNameOfCorruptRecord="_line", pathGlobFilter="*.csv",
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    line = F.coalesce("_line", F.concat_ws(",", *[F.col(n).cast("string") for n in names]))
+    header = F.lower(F.regexp_replace(line, '"', "")) == ",".join(names).lower()
+    path = F.col("_metadata.file_path")
+    files = rows.select(path.alias("f"), header.alias("h"), F.col("_line").alias("l")).groupBy("f").agg(
+        F.max("h").alias("headed"), F.max(F.when(~F.col("h"), F.col("l"))).alias("example"))
+    wrong = files.where(~F.col("headed") | F.col("example").isNotNull()).select(
+        folder_date(F.col("f")).alias("d"), F.concat(
+            F.lit("file "), "f", F.lit(": "), F.coalesce("example", F.lit("no header"))).alias("m"))
+    return {row["d"]: row["m"] for row in wrong.groupBy("d").agg(F.max("m").alias("m")).collect()}
+
+
 def read_master(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A master file with the time of its load."""
     return spark.read.csv(path, schema=schema, header=True, enforceSchema=False).withColumn(

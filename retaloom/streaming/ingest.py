@@ -8,11 +8,9 @@ second audit row for a date that was recorded.
 
 from __future__ import annotations
 
-import re
 from datetime import date
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retaloom.plans.audit import ERROR, OK, AuditLog
@@ -21,16 +19,16 @@ from retaloom.sources import landing, tables
 PARTITION = "fecha_carga"
 
 
-def _same(path: str) -> str:
+def _same(path: Column) -> Column:
     """One spelling per file: listings and file metadata differ in slashes and escapes."""
-    return re.sub(r"^(\w+):/+", r"\1:/", unquote(path))
+    plus = F.regexp_replace(path, r"\+", "%2B")
+    return F.regexp_replace(F.coalesce(F.try_url_decode(plus), path), r"^(\w+):/+", r"$1:/")
 
 
-def _load(spark: SparkSession, source: str, files: list[tuple[date, str]], schema: str,
-          table: str, log: AuditLog) -> None:
-    dates = sorted({d for d, _ in files})
+def _load(spark: SparkSession, source: str, files: DataFrame, paths: list[str], dates: list[date],
+          schema: str, table: str, log: AuditLog) -> None:
     seen = Observation()
-    rows = landing.read_files(spark, [f for _, f in files], schema)
+    rows = landing.read_files(spark, paths, schema)
     tables.replace_partitions(
         rows.observe(seen, F.collect_set(PARTITION).alias("dates")), table, PARTITION)
     # A date delivered without rows replaces what it had before by nothing.
@@ -39,55 +37,78 @@ def _load(spark: SparkSession, source: str, files: list[tuple[date, str]], schem
     # counted from the committed partitions of these dates only
     counts = (
         spark.read.schema(rows.schema).parquet(table).where(F.col(PARTITION).isin(dates))
-        .groupBy(PARTITION, "archivo_origen").agg(F.count(F.lit(1)).alias("n")).collect()
+        .groupBy(_same(F.col("archivo_origen")).alias("_file"))
+        .agg(F.count(F.lit(1)).alias("registros_cargados"))
     )
-    loaded = {_same(row["archivo_origen"]): row["n"] for row in counts}
-    log.append([{
-        "tabla_destino": source, "archivo_origen": f, "fecha_particion": d,
-        "tipo": "INCREMENTAL", "estado": OK,
-        "registros_cargados": loaded.get(_same(f), 0),
-    } for d, f in files])
+    mine = files.where(F.col("fecha_particion").isin(dates))
+    log.append_files(source, "INCREMENTAL", mine.join(
+        counts, _same(F.col("archivo_origen")) == F.col("_file"), "left").select(
+        "archivo_origen", "fecha_particion",
+        F.coalesce("registros_cargados", F.lit(0)).cast("bigint").alias("registros_cargados")))
 
 
-def load_files(spark: SparkSession, source: str, files: list[tuple[date, str]], schema: str,
-               table: str, log: AuditLog) -> int:
-    """Load all dates in one job; if that fails, date by date, so one bad date stands alone.
+def load_dates(spark: SparkSession, source: str, files: DataFrame, paths: dict[date, list[str]],
+               schema: str, table: str, log: AuditLog) -> set[date]:
+    """Load all dates in one job, from all files or the given ones; gives the dates that failed.
 
-    Gives the number of files that failed to load.
+    If the job fails, one pass finds the dates with bad files; these are recorded as
+    errors and the others loaded together. If no file is to blame, all dates are errors.
     """
-    if not files:
-        return 0
+    def load(days: list[date]) -> None:
+        chosen = [p for d in days for p in paths[d]]
+        _load(spark, source, files, chosen, days, schema, table, log)
+
+    days = sorted(paths)
+    if not days:
+        return set()
     try:
-        _load(spark, source, files, schema, table, log)
-        return 0
-    except Exception:
-        pass
-    failed = 0
-    for day in sorted({d for d, _ in files}):
-        mine = [f for f in files if f[0] == day]
+        load(days)
+        return set()
+    except Exception as error:
+        reasons = landing.bad_dates(spark, [p for d in days for p in paths[d]], schema)
+        first = str(error)
+    good = [d for d in days if d not in reasons]
+    if not reasons:
+        reasons = dict.fromkeys(days, first)
+    elif good:
         try:
-            _load(spark, source, mine, schema, table, log)
+            load(good)
         except Exception as error:
-            log.append([{
-                "tabla_destino": source, "archivo_origen": mine[0][1], "fecha_particion": day,
-                "tipo": "INCREMENTAL", "estado": ERROR, "mensaje_error": str(error),
-            }])
-            failed += len(mine)
-    return failed
+            reasons |= dict.fromkeys(good, str(error))
+    log.append([{
+        "tabla_destino": source, "archivo_origen": paths[d][0], "fecha_particion": d,
+        "tipo": "INCREMENTAL", "estado": ERROR, "mensaje_error": reasons[d],
+    } for d in sorted(reasons)])
+    return set(reasons)
 
 
 def ingest(spark: SparkSession, root: str, source: str, schema: str, table: str, log: AuditLog,
-           replace: bool = False, last_file_only: bool = False) -> dict[str, int]:
-    """Load the dates not recorded as done (all dates with ``replace``).
+           replace: bool = False, last_file_only: bool = False,
+           only: set[date] | None = None) -> dict[str, int]:
+    """Load the dates not recorded as done (all dates with ``replace``), or those among ``only``.
 
-    A file that arrives late for a recorded date is ignored unless ``replace``.
-    Gives the number of files loaded, failed and passed over.
+    Folder names are listed, files only below the dates to load. A file that arrives late
+    for a recorded date is ignored unless ``replace``. Gives the number of files
+    loaded, failed, and passed over because they were loaded before.
     """
+    folders = landing.date_folders(spark, root, source)
     done = set() if replace else log.done_dates(source)
-    files = landing.new_files(spark, root, source, done, last_file_only)
-    failed = load_files(spark, source, files, schema, table, log)
-    skipped = landing.deliveries(spark, root, source).count() - len(files)
-    return {"exitosos": len(files) - failed, "errores": failed, "omitidos": skipped}
+    paths = {d: own for d, own in folders.items() if d not in done and (only is None or d in only)}
+    files = landing.deliveries(spark, root, source, set(paths))
+    if last_file_only:
+        paths = {d: [f] for d, f in landing.last_files(files).items()}
+        files = files.groupBy("fecha_particion").agg(F.max("archivo_origen").alias("archivo_origen"))
+    else:  # a dated folder may be without files
+        have = {row[0] for row in files.select("fecha_particion").distinct().collect()}
+        paths = {d: own for d, own in paths.items() if d in have}
+    failed = load_dates(spark, source, files, paths, schema, table, log)
+    total = files.count()
+    bad = files.where(F.col("fecha_particion").isin(failed)).count() if failed else 0
+    skipped = 0
+    if done & set(folders):
+        skipped = log.loaded_files(source).where(
+            F.col("fecha_particion").isin(done & set(folders))).count()
+    return {"exitosos": total - bad, "errores": bad, "omitidos": skipped}
 
 
 def watch(spark: SparkSession, root: str, source: str, schema: str, table: str, log: AuditLog,
@@ -101,10 +122,7 @@ def watch(spark: SparkSession, root: str, source: str, schema: str, table: str,
 
     def on_batch(batch: DataFrame, _: int) -> None:
         days = {row[0] for row in landing.listed(batch).select("fecha_particion").distinct().collect()}
-        if not replace:
-            days -= log.done_dates(source)
-        files = [f for f in landing.new_files(spark, root, source, set()) if f[0] in days]
-        load_files(spark, source, files, schema, table, log)
+        ingest(spark, root, source, schema, table, log, replace, only=days)
 
     names = (
         spark.readStream.format("binaryFile").schema(landing.LISTING)

@@ -178,7 +178,7 @@ def test_replay_and_late_files(box):
 def test_crash_between_data_and_audit_leaves_no_duplicates(box, monkeypatch):
     box.put("20240101", "a.csv", "1,1.0")
     with monkeypatch.context() as m:
-        m.setattr(box.log, "append", lambda rows: (_ for _ in ()).throw(SystemExit()))
+        m.setattr(box.log, "append_files", lambda *rows: (_ for _ in ()).throw(SystemExit()))
         with pytest.raises(SystemExit):
             box.load()
     assert box.rows() == [(1, D(2024, 1, 1))] and box.audit() == []
