@@ -18,6 +18,7 @@ _B = np.uint64(0xBF58476D1CE4E5B9)
 _R = np.uint64(31)
 
 GROUP_MEMBERS = 256  # members of a group in the matrix, about
+MATRIX_CELLS = 8_000_000  # cells of a group's matrix that are in memory at a time
 FILTER_BITS = 24  # log2 of the bits in the filter over texts that are needed
 
 
@@ -51,15 +52,16 @@ def node_of(s: np.ndarray) -> int:
 
 
 class Segments:
-    """Signatures such that linked sets share at least one.
+    """Signatures of which linked sets share some.
 
     Hash space is cut into m equal ranges. Linked sets differ in at most k shingles, so at
-    least m - k of their ranges hold the very same shingles; a signature is the content of one
-    range. m = k + slack: sets of which fewer than ``slack`` ranges are empty so share a
-    non-empty one, and the rare others also carry a signature that says so. Sizes fall
-    into bands that grow at least as 1 / threshold, so linked sets are in one band
-    or in neighbours; each band has its own m, and a set that can be linked into the
-    band below carries that band's signatures too.
+    least m - k = slack of their ranges hold the very same shingles; a signature is the
+    content of one range. Of those ranges some may be empty: linked sets share at least
+    slack less the number of a set's empty ranges, which is what the set ``needs``. The
+    rare set with as many empty ranges as that also carries a signature that says so.
+    Sizes fall into bands that grow at least as 1 / threshold, so linked sets are in one
+    band or in neighbours; each band has its own m, and a set that can be linked into
+    the band below carries that band's signatures too.
     """
 
     def __init__(self, num: int, den: int):
@@ -74,30 +76,34 @@ class Segments:
         """m and slack of a band; m = 0 where only equal sets can be linked."""
         top = self.bounds[band + 1] - 1
         k = (top + top * self.den // self.num) * (self.den - self.num) // (self.den + self.num)
-        slack = 3 + k // 100
+        slack = 3 + k // 8
         return (k + slack, slack) if k else (0, slack)
 
-    def signatures(self, s: np.ndarray) -> np.ndarray:
+    def signatures(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Signatures, and for each how many of its band a linked set shares at least."""
         band = int(np.searchsorted(self.edges, len(s), side="right")) - 1
-        out = []
+        out, needs = [np.empty(0, np.uint64)], [np.empty(0, np.int32)]
         for b in (band, band - 1):
             if b < 0 or b < band and -(-self.num * len(s) // self.den) >= self.bounds[band]:
                 continue
             m, slack = self.ranges(b)
             if m:
-                out.append(self._of_band(s, b, m, slack))
-        return np.concatenate(out) if out else np.empty(0, np.uint64)
+                made, need = self._of_band(s, b, m, slack)
+                out.append(made)
+                needs.append(np.full(len(made), need, np.int32))
+        return np.concatenate(out), np.concatenate(needs)
 
     @staticmethod
-    def _of_band(s: np.ndarray, band: int, m: int, slack: int) -> np.ndarray:
+    def _of_band(s: np.ndarray, band: int, m: int, slack: int) -> tuple[np.ndarray, int]:
         place = ((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)  # grows with s
         starts = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
         total = np.add.reduceat(_mix(s * _A), starts)
         tag = place[starts] * np.uint64(4096) + np.uint64(band + 1)
         made = _mix(total + tag * _A)
-        if m - len(starts) >= slack:
+        need = slack - (m - len(starts))
+        if need <= 0:
             made = np.append(made, _mix(np.array([band + 1], np.uint64) * _B))
-        return made
+        return made, max(1, need)
 
 
 def _batches(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.RecordBatch:
@@ -122,23 +128,45 @@ def set_names(docs: DataFrame, n: int) -> DataFrame:
 
 
 def signature_rows(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
-    """sig, node; a set that a task has met before is not listed again."""
+    """sig, node, need; a set that a task has met before is not listed again."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache, plan, met = HashCache(), Segments(num, den), set()
         for batch in batches:
-            sigs, nodes = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+            sigs, nodes, needs = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for text in texts(batch):
                 s = shingle_set(text, n, cache)
                 if len(s) and (node := node_of(s)) not in met:
                     met.add(node)
-                    made = plan.signatures(s)
+                    made, need = plan.signatures(s)
                     sigs.append(made)
+                    needs.append(need)
                     nodes.append(np.full(len(made), node))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes))],
-                names=["sig", "node"])
+                [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(nodes)),
+                 pa.array(np.concatenate(needs))], names=["sig", "node", "need"])
 
-    return docs.select("text").mapInArrow(run, "sig bigint, node bigint")
+    return docs.select("text").mapInArrow(run, "sig bigint, node bigint, need int")
+
+
+def _meeting(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """sig, node, need, degree of the nodes that share as many signatures as a link takes.
+
+    A node needs that many with one other node, so with all others together; most nodes,
+    which share a passage or a few phrases only, end here. ``degree`` counts whom it meets.
+    """
+    at = Window.partitionBy("sig")
+    shared = stored(
+        signature_rows(docs, n, num, den)
+        .select("sig", "node", "need", F.min("node").over(at).alias("low"),
+                F.max("node").over(at).alias("high"), F.count(F.lit(1)).over(at).alias("met"))
+        .where("low <> high").select("sig", "node", "need", "met"), "shared").distinct()
+    able = shared.groupBy("node").agg(
+        F.count_distinct("sig").alias("sigs"), F.min("need").alias("least"),
+        F.sum("met").alias("degree")).where("sigs >= least").select("node", "degree")
+    kept = shared.select("sig", "node", "need").distinct().join(able, "node")
+    return stored(
+        kept.withColumn("low", F.min("node").over(at)).withColumn("high", F.max("node").over(at))
+        .where("low <> high").select("sig", "node", "need", "degree"), "meeting")
 
 
 def _needed(nodes: DataFrame) -> np.ndarray:
@@ -177,73 +205,178 @@ def sets_of(docs: DataFrame, nodes: DataFrame, n: int) -> DataFrame:
     return kept.groupBy("node").agg(F.first("size").alias("size"), F.first("members").alias("members"))
 
 
-def _overlaps(pairs: DataFrame, num: int, den: int, keep: str) -> DataFrame:
-    """The (a, b) of rows a, b, left, right (sets as bytes) that pass.
+def _linked(x: np.ndarray, y: np.ndarray, num: int, den: int) -> bool:
+    if min(len(x), len(y)) * den < num * max(len(x), len(y)):
+        return False
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common * den >= num * (len(x) + len(y) - common)
 
-    ``keep`` is "link" for the Jaccard test, or "bound": as many of left's members are in
-    right, a union of sets, as any link with one of them takes.
-    """
+
+def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that are linked, by their whole sets; sizes are compared first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b, left, right = (c.to_pylist() for c in batch.columns)
-            passed = []
-            for i in range(len(a)):
-                x, y = np.frombuffer(left[i], np.uint64), np.frombuffer(right[i], np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                whole = len(x) + len(y) - common if keep == "link" else len(x)
-                if common * den >= num * whole:
-                    passed.append(i)
+            left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            passed = [i for i, (x, y) in enumerate(zip(left, right)) if _linked(
+                np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), num, den)]
             yield batch.select(["a", "b"]).take(pa.array(passed, pa.int64()))
 
-    kind = pairs.schema["b"].dataType.simpleString()
-    return pairs.select("a", "b", "left", "right").mapInArrow(run, f"a bigint, b {kind}")
-
-
-def _links(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) that are linked, by their whole sets; sizes are compared first."""
     left = sets.select(F.col("node").alias("a"), F.col("size").alias("n"), F.col("members").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("size").alias("m"), F.col("members").alias("right"))
     sizes = pairs.join(left.select("a", "n"), "a").join(right.select("b", "m"), "b")
     fit = sizes.where(F.least("n", "m") * den >= F.greatest("n", "m") * num).select("a", "b")
-    return _overlaps(fit.join(left, "a").join(right, "b"), num, den, "link")
+    return fit.join(left, "a").join(right, "b").select("a", "b", "left", "right").mapInArrow(
+        run, "a bigint, b bigint")
+
+
+def _positions(sets: list[np.ndarray], union: np.ndarray) -> list[np.ndarray]:
+    """Places in the union of each set's members that are in it."""
+    out = []
+    for x in sets:
+        at = np.searchsorted(union, x)
+        at[at == len(union)] = 0
+        out.append(at[union[at] == x] if len(union) else at[:0])
+    return out
+
+
+def _common(left: list[np.ndarray], right: list[np.ndarray], width: int) -> np.ndarray:
+    """Numbers of common places of all pairs, as a product of 0-1 matrices, in column blocks."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    step = max(256, MATRIX_CELLS // (len(left) + len(right) + 1))
+    for start in range(0, width, step):
+        size = min(step, width - start)
+        blocks = []
+        for rows in (left, right):
+            block = np.zeros((len(rows), size), np.float32)
+            for k, at in enumerate(rows):
+                low, high = np.searchsorted(at, (start, start + size))
+                block[k, at[low:high] - start] = 1
+            blocks.append(block)
+        out += blocks[0] @ blocks[1].T
+    return out.astype(np.int64)
+
+
+def _open_groups(queries: DataFrame, members: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) between queries and members of the groups they can be linked to.
+
+    ``queries``: grp, part, q, q_component, q_set; ``members``: grp, part, node, component, set.
+    The group's row of the matrix is the union of its members' shingles. A query with fewer
+    shingles in it than a link takes has no link there; for the others the group is
+    opened: their numbers of common shingles with all members are one matrix product.
+    Of the links between components only as many are given as it takes to join them.
+    """
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        read = lambda t, c: [np.frombuffer(b, np.uint64) for b in t.column(c).to_pylist()]
+        inside, asked = read(right, "set"), read(left, "q_set")
+        union = np.unique(np.concatenate(inside)) if inside else np.empty(0, np.uint64)
+        sizes = np.array([len(x) for x in asked], np.int64)
+        places = _positions(asked, union)
+        bound = np.array([len(at) for at in places], np.int64) * den >= num * sizes
+        open_for, edges = np.flatnonzero(bound), []
+        if len(open_for) and inside:
+            common = _common([places[k] for k in open_for], _positions(inside, union), len(union))
+            n, m = sizes[open_for][:, None], np.array([len(x) for x in inside], np.int64)[None, :]
+            a = left.column("q").to_numpy()[open_for]
+            b = right.column("node").to_numpy()
+            ca = left.column("q_component").to_numpy()[open_for]
+            cb = right.column("component").to_numpy()
+            linked = common * den >= num * (n + m - common)
+            linked &= (a[:, None] > b[None, :]) & (ca[:, None] != cb[None, :])
+            root: dict[int, int] = {}
+
+            def find(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
+            for i, k in np.argwhere(linked):
+                x, y = find(int(ca[i])), find(int(cb[k]))
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    edges.append((int(a[i]), int(b[k])))
+        columns = list(zip(*edges)) or [(), ()]
+        return pa.table({"a": pa.array(columns[0], pa.int64()), "b": pa.array(columns[1], pa.int64())})
+
+    key = ["grp", "part"]
+    return queries.groupBy(*key).cogroup(members.groupBy(*key)).applyInArrow(run, "a bigint, b bigint")
+
+
+def _mixed(meeting: DataFrame, groups: DataFrame) -> DataFrame:
+    """sig, node, need, component, degree where several components share a signature."""
+    at = Window.partitionBy("sig")
+    labelled = meeting.join(groups, "node", "left").select(
+        "sig", "node", "need", "degree", F.coalesce("component", "node").alias("component"))
+    return labelled.withColumn("low", F.min("component").over(at)).withColumn(
+        "high", F.max("component").over(at)).where("low <> high").select(
+        "sig", "node", "need", "component", "degree")
 
 
-def _unions(members: DataFrame) -> DataFrame:
-    """grp, union: one matrix row per group, the sorted union of its members' shingles.
+def _towards(mixed: DataFrame) -> DataFrame:
+    """Pairs (a, b): each node with the best-connected node of another component it meets.
 
-    ``members``: grp, members. Partitioned by group; a group has about GROUP_MEMBERS sets.
+    The best of a signature, and the best of its other components: one pair per row. Pairs
+    that share fewer signatures than a link takes are none.
     """
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [("grp", pa.string()), ("union", pa.binary())]
-        now, parts = None, []
-        for batch in batches:
-            rows = []
-            for name, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if name != now:
-                    if parts:
-                        rows.append((now, np.unique(np.concatenate(parts)).tobytes()))
-                    now, parts = name, []
-                parts.append(np.frombuffer(s, np.uint64))
-            yield _batches(rows, kinds)
-        if parts:
-            yield _batches([(now, np.unique(np.concatenate(parts)).tobytes())], kinds)
+    at = Window.partitionBy("sig")
+    first = mixed.withColumn("best", F.max(F.struct("degree", "node", "component")).over(at))
+    other = first.withColumn("next", F.max(F.when(
+        F.col("component") != F.col("best.component"), F.struct("degree", "node"))).over(at))
+    pairs = other.select(F.col("node").alias("a"), "need", F.when(
+        F.col("component") != F.col("best.component"), F.col("best.node")).otherwise(
+        F.col("next.node")).alias("b")).where("b is not null")
+    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+    return counted.where("n >= need").select("a", "b")
 
-    return members.select("grp", "members").repartition("grp").sortWithinPartitions("grp").mapInArrow(
-        run, "grp string, union binary")
 
+def _matrix_links(mixed: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """Links between components that share signatures, by the token-group matrix.
 
-def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFrame:
+    Groups are made by the best-connected node that a node meets, linked to it or not, and
+    cut into parts of about GROUP_MEMBERS.
+    """
+    at = Window.partitionBy("sig")
+    hubs = mixed.withColumn("hub", F.max(F.struct("degree", "node")).over(at)).groupBy(
+        "node", "component").agg(F.max("hub").alias("hub")).select("node", "component", F.col("hub.node").alias("hub"))
+    sizes = hubs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / GROUP_MEMBERS).alias("cuts"))
+    in_group = stored(
+        hubs.join(sizes, "hub").select("node", "component", F.concat_ws(
+            "/", "hub", F.pmod(F.xxhash64("node"), F.col("cuts"))).alias("grp")), "groups")
+    targets = mixed.select("sig", "node").join(in_group, "node").groupBy("sig", "grp").agg(
+        F.min("node").alias("lowest"), F.min("component").alias("c1"), F.max("component").alias("c2"))
+    met = (F.col("node") > F.col("lowest")) & ((F.col("c1") != F.col("c2")) | (F.col("c1") != F.col("component")))
+    candidates = stored(
+        mixed.select("sig", "node", "need", "component").join(targets, "sig").where(met)
+        .groupBy("node", "component", "grp")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
+        .where("n >= need").select("node", "component", "grp"), "queries")
+    # A group with very many queries is opened in several tasks.
+    parts = candidates.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP_MEMBERS)).alias("parts"))
+    queries = candidates.join(parts, "grp").join(sets, "node").select(
+        "grp", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.col("node").alias("q"),
+        F.col("component").alias("q_component"), F.col("members").alias("q_set"))
+    members = in_group.join(parts, "grp").join(sets, "node").select(
+        "grp", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part"),
+        "node", "component", F.col("members").alias("set"))
+    return _open_groups(queries, members, num, den)
+
+
+def join(
+    docs: DataFrame, n: int = 3, num: int = 90, den: int = 100, rounds: int = 3
+) -> DataFrame:
     """doc_id, n_shingles, component_id of every row; linked if den * common >= num * union.
 
     1. Equal sets are one node; only nodes are compared.
-    2. Partition: nodes that share a signature (see Segments) meet, and all of them are
-       tested against the smallest node there. The links found form the groups: similar
-       documents are together, also a third of all rows, and no pairs within are made.
-    3. Matrix: each group, in parts of about 256 members, stores the union of its
-       members' shingles. A query is a node that shares a signature with a group
-       other than its own. If fewer of its shingles are in the union than a link takes,
-       no member can be linked. Groups that qualify are opened: the query is tested
-       against their members of a fitting size.
+    2. Partition: nodes that share a signature (see Segments) meet, if they share as many
+       as a link takes. Each is tested against
+       the best-connected node it meets, which tends to be the text that the others are
+       copies of. Links make components; then nodes that meet other components are
+       tested against the best-connected node of those, ``rounds`` times. So similar documents
+       come to be together, also a third of all rows, and pairs within are not made.
+    3. Matrix: nodes that still meet other components are put into groups of about 256 by
+       the best-connected node they meet; a group's row is the union of its members'
+       shingles. A query is a node that meets another component in the group. If fewer of its
+       shingles are in the union than a link takes, no member can be linked; else the
+       group is opened, and the query compared with its members.
     4. Components of all links; the id is the smallest doc_id of each.
 
     Every link joins two nodes with a common signature, so either they were in one group
@@ -256,47 +389,29 @@ def join(docs: DataFrame, n: int = 3, num: int = 90, den: int = 100) -> DataFram
     """
     docs = docs.select("doc_id", "text")
     names = stored(set_names(docs, n), "names")
-    at = Window.partitionBy("sig")
-    meeting = stored(
-        signature_rows(docs, n, num, den)
-        .select("sig", "node", F.min("node").over(at).alias("first"), F.max("node").over(at).alias("last"))
-        .where("first <> last").select("sig", "node", "first"), "meeting")
+    meeting = _meeting(docs, n, num, den)
     sets = stored(sets_of(docs, meeting.select("node"), n), "sets")
 
-    pairs = meeting.where("node <> first").select(
-        F.col("node").alias("a"), F.col("first").alias("b")).distinct()
-    links = stored(_links(pairs, sets, num, den), "links")
-    groups = stored(components(links), "groups")
-
-    labelled = meeting.select("sig", "node").distinct().join(groups, "node", "left").select(
-        "sig", "node", F.coalesce("component", "node").alias("component"))
-    mixed = stored(
-        labelled.withColumn("low", F.min("component").over(at)).withColumn("high", F.max("component").over(at))
-        .where("low <> high").select("sig", "node", "component"), "mixed")
-    found = links.select("a", "b")
+    none = meeting.select("node", F.col("node").alias("component")).where("false")
+    mixed, links, groups = stored(_mixed(meeting, none), "mixed"), None, none
+    tested = None
+    for _ in range(rounds):
+        pairs = _towards(mixed)
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stored(pairs, "pairs")
+        found = stored(_links(pairs, sets, num, den), "links")
+        if links is not None and not found.take(1):
+            break
+        tested = pairs if tested is None else tested.union(pairs)
+        links = found if links is None else links.union(found)
+        groups = stored(components(links), "groups")
+        mixed = stored(_mixed(meeting, groups), "mixed")
+
     if mixed.take(1):
-        sizes = groups.groupBy("component").agg(F.count(F.lit(1)).alias("members"))
-        parts = F.ceil(F.coalesce(F.col("members"), F.lit(1)) / GROUP_MEMBERS)
-        in_group = stored(
-            mixed.select("node", "component").distinct().join(sizes, "component", "left").select(
-                "node", "component", F.concat_ws(
-                    "/", "component", F.pmod(F.xxhash64("node"), parts)).alias("grp")), "matrix")
-        unions = _unions(in_group.join(sets, "node").select("grp", "members"))
-        targets = mixed.join(in_group.select("node", "grp"), "node").select(
-            "sig", F.col("component").alias("other"), "grp").distinct()
-        candidates = mixed.join(targets, "sig").where("component > other").select(
-            F.col("node").alias("a"), F.col("grp").alias("b")).distinct()
-        loaded = candidates.join(
-            sets.select(F.col("node").alias("a"), F.col("members").alias("left")), "a").join(
-            unions.select(F.col("grp").alias("b"), F.col("union").alias("right")), "b")
-        opened = _overlaps(loaded, num, den, "bound")
-        inside = opened.join(
-            in_group.select(F.col("grp").alias("b"), F.col("node").alias("member")), "b").select(
-            "a", F.col("member").alias("b")).distinct()
-        more = stored(_links(inside, sets, num, den), "links")
+        more = stored(_matrix_links(mixed, sets, num, den), "links")
         if more.take(1):
-            found = found.union(more.select("a", "b"))
-            groups = stored(components(found), "groups")
+            groups = stored(components(links.union(more)), "groups")
 
     lowest = names.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
     nodes = lowest.join(groups, "node", "left").select(
