@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
-from retaloom.functions.numbers import rounded
+from retaloom.functions.numbers import mean, rounded, rounded_money
 
 # Ship the fitting functions with the job: executors need numpy and pandas only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -273,6 +273,21 @@ def forecast_with(models: DataFrame, future: DataFrame, regressors: tuple[str, .
     ).applyInPandas(run, FORECAST_SCHEMA)
 
 
+def same_weekday(series: DataFrame, value: str = "ventas_netas_soles", weeks: int = 4) -> DataFrame:
+    """The next seven days of every series: mean of the same weekday in its last weeks.
+
+    The yardstick for fitted models. The band is what these days have ranged over.
+    """
+    last = series.groupBy("id_canal").agg(F.max("ds").alias("_last"))
+    recent = series.join(last, "id_canal").where(F.datediff("_last", "ds") < 7 * weeks)
+    ahead = F.expr("date_add(ds, cast(7 * (datediff(_last, ds) div 7 + 1) as int))")
+    exact = F.col(value).cast("decimal(18,2)")
+    return recent.groupBy("id_canal", ahead.alias("forecast_timestamp")).agg(
+        rounded_money(mean(exact)).alias("forecast_value"),
+        F.min(exact).alias("prediction_interval_lower_bound"),
+        F.max(exact).alias("prediction_interval_upper_bound"))
+
+
 def explain(history: DataFrame, models: DataFrame, predicted: DataFrame) -> DataFrame:
     """Components of past days, and value with band of the days ahead, in one table.
 
@@ -324,7 +339,7 @@ def total_by_day(named: DataFrame) -> DataFrame:
 def summary_by_channel(named: DataFrame) -> DataFrame:
     """Mean daily forecast and half width of its band."""
     means = named.groupBy("nombre_canal").agg(
-        F.avg("venta_pronostico").alias("media"), F.avg("lim_sup").alias("_sup"))
+        mean("venta_pronostico").alias("media"), mean("lim_sup").alias("_sup"))
     return means.select(
         "nombre_canal", rounded("media", 2).alias("venta_diaria_media"),
         rounded(F.col("_sup") - F.col("media"), 2).alias("ic_90"),

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from retaloom.plans import forecast, panel, segment, series
 from retaloom.queries.registry import query
-from retaloom.queries.sqlbase import b, d, pct, r, ratio
+from retaloom.queries.sqlbase import b, d, pct, r, ratio, rm
 from retaloom.session import as_table
 
 HOLDOUT = "2000-01-01"
@@ -347,3 +347,72 @@ def history(m):
     day = F.col("fecha")
     return named.where((day >= F.lit("2000-01-01").cast("date"))
                        & (day < F.lit("2001-01-01").cast("date")))
+
+
+# A forecast any engine can compute: the same weekday in the last four weeks.
+_WEEKDAY = f"""{_SERIES},
+  fin AS (SELECT id_canal, MAX(ds) AS ultimo FROM serie GROUP BY 1),
+  cerca AS (SELECT s.id_canal, s.ds, CAST(s.y AS DECIMAL(18,2)) AS y,
+                   date_diff('day', s.ds, f.ultimo) AS hace
+            FROM serie s JOIN fin f ON s.id_canal = f.id_canal
+            WHERE date_diff('day', s.ds, f.ultimo) < 28),
+  pron AS (SELECT c.nombre_canal, CAST(p.ds + CAST(7 * (p.hace // 7 + 1) AS INTEGER) AS DATE) AS fecha,
+                  {rm(ratio('SUM(p.y)', 'COUNT(p.y)'))} AS v, MIN(p.y) AS a, MAX(p.y) AS z
+           FROM cerca p JOIN dim_canal c ON p.id_canal = c.id_canal GROUP BY p.id_canal, 1, 2)"""
+
+
+def _weekday(m):
+    return forecast.named_forecast(forecast.same_weekday(_daily(m)), m.dim("canal"))
+
+
+@query("forecast_weekday_channel_names", f"""
+SELECT * FROM (WITH {_WEEKDAY}
+  SELECT nombre_canal, fecha, {d('v')} AS venta_pronostico, {d('a')} AS lim_inf, {d('z')} AS lim_sup
+  FROM pron) AS q""")
+def weekday_names(m):
+    return _weekday(m).drop("id_canal")
+
+
+@query("forecast_weekday_total_by_day", f"""
+SELECT * FROM (WITH {_WEEKDAY}
+  SELECT fecha, {d('SUM(v)')} AS venta, {d('SUM(a)')} AS lim_inf, {d('SUM(z)')} AS lim_sup
+  FROM pron GROUP BY 1) AS q""")
+def weekday_total(m):
+    return forecast.total_by_day(_weekday(m))
+
+
+@query("forecast_weekday_channel_summary", f"""
+SELECT * FROM (WITH {_WEEKDAY},
+  k AS (SELECT nombre_canal, {ratio('SUM(v)', 'COUNT(v)')} AS media, {ratio('SUM(z)', 'COUNT(z)')} AS sup
+        FROM pron GROUP BY 1)
+  SELECT nombre_canal, {r('media', 2)} AS venta_diaria_media, {r('sup - media', 2)} AS ic_90
+  FROM k) AS q""")
+def weekday_summary(m):
+    return forecast.summary_by_channel(_weekday(m))
+
+
+@query("forecast_days_ahead", f"""
+SELECT * FROM (WITH {_SERIES}
+  SELECT id_canal, CAST(unnest(generate_series(MAX(ds) + INTERVAL 1 DAY, MAX(ds) + INTERVAL 90 DAY,
+                                               INTERVAL 1 DAY)) AS DATE) AS forecast_timestamp,
+         TRUE AS acotado FROM serie GROUP BY 1) AS q""")
+def days_ahead(m):
+    """The fitted forecast covers each series' next ninety days, each value inside its band."""
+    inside = F.col("forecast_value").between(
+        F.col("prediction_interval_lower_bound"), F.col("prediction_interval_upper_bound"))
+    return forecast_90(m).select("id_canal", "forecast_timestamp", inside.alias("acotado"))
+
+
+@query("stockout_gbt_keys", f"""
+SELECT id_producto, id_almacen, id_fecha, flag_quiebre, TRUE AS probable
+FROM ({_panel_sql('s1 - s2')}) AS p""")
+def gbt_keys(m):
+    """Every row of the panel has one score, and it is a probability."""
+    return gbt_scores(m).select(
+        *panel.KEYS, "flag_quiebre", F.col("probabilidad").between(0, 1).alias("probable"))
+
+
+@query("sku_kmeans_keys", """
+SELECT id_producto, TRUE AS con_segmento FROM dim_producto""")
+def kmeans_keys(m):
+    return kmeans(m).select("id_producto", F.col("cluster").between(1, 4).alias("con_segmento"))
