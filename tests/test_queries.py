@@ -1,4 +1,9 @@
-"""Every registered query against its SQL twin, on whole tables."""
+"""Every registered query against its SQL twin, on whole tables.
+
+The queries run a few at a time, as one pass; each test waits for its own.
+"""
+
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from compare import connect, differences
@@ -7,6 +12,17 @@ from retaloom.queries import QUERIES
 
 # May find nothing at the smallest scale.
 MAY_BE_EMPTY = {"rec_key_uniqueness"}
+AT_ONCE = 4
+
+
+class Collected:
+    """Columns and rows of a result, as the comparison takes them."""
+
+    def __init__(self, df):
+        self.columns, self._rows = df.columns, df.collect()
+
+    def collect(self):
+        return self._rows
 
 
 @pytest.fixture(scope="module")
@@ -14,10 +30,17 @@ def duck(folder):
     return connect(folder)
 
 
+@pytest.fixture(scope="module")
+def results(spark, folder, request):
+    chosen = [i.callspec.params["name"] for i in request.session.items
+              if i.nodeid.split("::")[-1].startswith("test_matches_sql[") and "test_queries" in i.nodeid]
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        yield {n: pool.submit(lambda n=n: Collected(QUERIES[n].run(spark, folder))) for n in chosen}
+
+
 @pytest.mark.parametrize("name", sorted(n for n, q in QUERIES.items() if q.sql))
-def test_matches_sql(spark, folder, duck, name):
-    query = QUERIES[name]
-    message = differences(query.run(spark, folder), duck, query.sql)
+def test_matches_sql(results, duck, name):
+    message = differences(results[name].result(), duck, QUERIES[name].sql)
     if name in MAY_BE_EMPTY and message == "both sides are empty":
         return
     assert message == ""
