@@ -17,7 +17,8 @@ _A = np.uint64(0x9E3779B97F4A7C15)  # fixed values: odd 64-bit multipliers of mi
 _B = np.uint64(0xBF58476D1CE4E5B9)
 _R = np.uint64(31)
 
-GROUP_MEMBERS = 256  # members of a group in the matrix, about
+GROUP_MEMBERS = 1024  # members of a group in the matrix, about
+GROUP_QUERIES = 512  # queries that one task compares with a group, about
 MATRIX_CELLS = 8_000_000  # cells of a group's matrix that are in memory at a time
 FILTER_BITS = 24  # log2 of the bits in the filter over texts that are needed
 
@@ -350,7 +351,7 @@ def _matrix_links(mixed: DataFrame, sets: DataFrame, num: int, den: int) -> Data
         .agg(F.count(F.lit(1)).alias("n"), F.min("need").alias("need"))
         .where("n >= need").select("node", "component", "grp"), "queries")
     # A group with very many queries is opened in several tasks.
-    parts = candidates.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP_MEMBERS)).alias("parts"))
+    parts = candidates.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / GROUP_QUERIES).alias("parts"))
     queries = candidates.join(parts, "grp").join(sets, "node").select(
         "grp", F.pmod(F.xxhash64("node"), F.col("parts")).alias("part"), F.col("node").alias("q"),
         F.col("component").alias("q_component"), F.col("members").alias("q_set"))
@@ -372,7 +373,7 @@ def join(
        copies of. Links make components; then nodes that meet other components are
        tested against the best-connected node of those, ``rounds`` times. So similar documents
        come to be together, also a third of all rows, and pairs within are not made.
-    3. Matrix: nodes that still meet other components are put into groups of about 256 by
+    3. Matrix: nodes that still meet other components are put into groups of about 1024 by
        the best-connected node they meet; a group's row is the union of its members'
        shingles. A query is a node that meets another component in the group. If fewer of its
        shingles are in the union than a link takes, no member can be linked; else the
