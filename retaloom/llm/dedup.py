@@ -73,12 +73,13 @@ def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
     them stays; so does one of a group in which all ids are NULL.
     """
     text = normalised(F.col("`text`"))
+    # The id as two plain columns, so that join and window need the rows in one and the same order.
+    known = lambda c: (F.coalesce(c, F.lit(0)).alias("id"), c.isNull().alias("no_id"))
+    keys = ["digest", "n_bytes", "id", "no_id"]
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
-        F.col("`doc_id`").alias("id"), F.sha2(text, 256).alias("digest"),
+        *known(F.col("`doc_id`")), F.sha2(text, 256).alias("digest"),
         F.octet_length(text).alias("n_bytes"))
-    won = winners(docs, salts=salts).select(
-        F.col("digest").alias("d"), F.col("n_bytes").alias("b"), "keep_id")
-    same = (rows.digest == won.d) & (rows.n_bytes == won.b) & rows.id.eqNullSafe(won.keep_id)
-    one = Window.partitionBy("digest", "n_bytes", "id").orderBy("digest")
-    return rows.join(won, same).withColumn("r", F.row_number().over(one)).where("r = 1").select("whole.*")
+    won = winners(docs, salts=salts).select("digest", "n_bytes", *known(F.col("keep_id")))
+    one = Window.partitionBy(*keys).orderBy("digest")
+    return rows.join(won, keys).withColumn("r", F.row_number().over(one)).where("r = 1").select("whole.*")
