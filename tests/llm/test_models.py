@@ -124,3 +124,17 @@ def test_mixture_is_a_distribution():
     for before in range(brown.CLASSES):
         known = (emission * 10 ** model.ratio[before, classes[:40]]).sum()
         assert 0.8 < known < 1
+
+
+def test_rare_words_have_classes_of_their_own(spark, monkeypatch):
+    # Eight cells for 1,200 words of two vocabularies: by cell no rare word tells its side.
+    for name, value in (("FREQUENT", 64), ("CELLS", 8), ("UNITS", 73)):
+        monkeypatch.setattr(brown, name, value)
+    rows, rng = [], np.random.default_rng(4)
+    for i in range(800):
+        side = "ab"[i % 2]
+        rows.append((i, " ".join(f"{side}{k % 8}" if k % 2 else f"{side}rare{rng.integers(600)}" for k in range(80))))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    held = [r for r in brown.score(docs, crc_mod("doc_id", 5) != 1).collect() if not r.train]
+    gain = sum(r.score - r.base_score for r in held) / sum(r.n_tokens for r in held)
+    assert gain > 0.45
