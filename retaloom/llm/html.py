@@ -143,6 +143,59 @@ class Page(HTMLParser):
                 value /= 2
         return {p: s for p, s in found.items() if s > 0 and not p.startswith("!")}
 
+    def best(self) -> str | None:
+        """The path with the highest score, raised to the container that holds the whole text.
+
+        That is the next one out if it is an article or main, or has blocks with text without
+        links of its own, or holds several containers of the path (sections, cells of a
+        table). From an article it is only a main with such blocks. The body is taken if
+        its own blocks have at least half as much text.
+        """
+        scores = self.scores()
+        if not scores:
+            return None
+        path = min(scores, key=lambda p: (-scores[p], p))
+        while (outer := self._outer(path)) is not None:
+            path = outer
+        return path
+
+    def _outer(self, path: str) -> str | None:
+        tag = lambda p: p.rsplit("/", 1)[-1].split(".")[0]
+        if tag(path) in ("main", "body"):
+            return None
+        held: dict[int, set[int]] = {}  # outer container: those of the path in it
+        own: dict[int, float] = {}
+        for inside, text, linked in self.blocks:
+            at = next((k for k, n in enumerate(inside) if self.containers[n] == path), None)
+            if at:
+                held.setdefault(inside[at - 1], set()).add(inside[at])
+            if inside:
+                own[inside[-1]] = own.get(inside[-1], 0.0) + max(0.0, len(text) - 2.0 * linked)
+        for number, parts in held.items():
+            outer, more = self.containers[number], own.get(number, 0.0)
+            if tag(outer) == "body":
+                raised = 2 * more >= self.unlinked(path) and tag(path) != "article"
+            elif tag(path) == "article":
+                raised = tag(outer) == "main" and more > 0
+            else:
+                raised = tag(outer) in ("article", "main") or more > 0 or len(parts) > 1
+            if raised:
+                return outer
+        return None
+
+    def unlinked(self, path: str) -> float:
+        """Text without links under the containers of that path."""
+        wanted = {k for k, p in enumerate(self.containers) if p == path}
+        return sum(max(0.0, len(text) - 2.0 * linked) for inside, text, linked in self.blocks
+                   if wanted.intersection(inside))
+
+    def article(self, voted: str | None) -> str:
+        """The text by the voted path, or by the page's own best one if that has clearly more."""
+        own = self.best()
+        if own is None or voted and 2 * self.unlinked(voted) >= self.unlinked(own):
+            return (self.text(voted) if voted else None) or ""
+        return self.text(own) or ""
+
     def text(self, path: str) -> str | None:
         """The blocks under the containers of that path; None if the page has none."""
         wanted = {k for k, p in enumerate(self.containers) if p == path}
@@ -158,17 +211,17 @@ def _rows(batch: pa.RecordBatch, column: str) -> list[str]:
 def host_paths(pages: DataFrame) -> DataFrame:
     """host, path: the container path that its pages vote for.
 
-    Every page gives its best path one vote, and its score as the weight among equal
+    Every page gives its best path one vote, and its text there as the weight among equal
     votes; votes are summed before the shuffle, so a hot host is a few rows per task.
     """
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for host, html in zip(batch.column(0).to_pylist(), _rows(batch, "html")):
-                scores = Page.read(html).scores()
-                if scores:
-                    path = min(scores, key=lambda p: (-scores[p], p))
-                    out.append((host, path, scores[path]))
+                page = Page.read(html)
+                path = page.best()
+                if path is not None:
+                    out.append((host, path, page.unlinked(path)))
             columns = list(zip(*out)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.string(), pa.float64()))],
@@ -184,7 +237,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every page, by its host's path.
 
-    A page without a container of that path uses its own best one. The host is taken from
+    A page with no text there, or less than half of that of its own best path, uses its own. The host is taken from
     the url, in lower case, without port or user. The voted paths are stored first, so
     Spark knows their size when it plans the join.
 
@@ -200,12 +253,7 @@ def extract(pages: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for html, path in zip(_rows(batch, "html"), batch.column(3).to_pylist()):
-                page = Page.read(html)
-                text = page.text(path) if path else None
-                if text is None:
-                    scores = page.scores()
-                    text = page.text(min(scores, key=lambda p: (-scores[p], p))) if scores else ""
-                out.append(text or "")
+                out.append(Page.read(html).article(path))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.string()),
                  pa.array([len(t) for t in out], pa.int64())],

@@ -173,3 +173,22 @@ def test_noise_is_left_out_and_hosts_agree(spark):
     assert {r.path for r in html.host_paths(pages.selectExpr("'h' as host", "html")).collect()} == {
         "html/body/div.wrap-#/main.#.post"}
     assert alnum_words("Ab-c é9".encode()) == [b"ab", b"c", "é9".encode()]
+
+
+def test_nested_containers_do_not_beat_the_article():
+    part = "<section><p>" + "text of a section " * 60 + "</p></section>"
+    page = html.Page.read(f"<body><article><h1>Title</h1><p>Intro here</p>{part * 3}</article><div>More</div></body>")
+    assert page.best() == "body/article"
+    assert page.article(None).startswith("Title\n\nIntro here\n\ntext of") and "More" not in page.article(None)
+    table = "<table>" + "<tr><td>a long cell of it</td><td>and one more</td></tr>" * 40 + "</table>"
+    page = html.Page.read(f"<body><div class=text><p>Before it.</p>{table}<p>After it.</p></div></body>")
+    found = page.article("body/div.text/table/tr/td").split("\n\n")
+    assert html.Page.read(f"<body><div class=text><p>Before it.</p>{table}</div></body>").best() == "body/div.text"
+    assert len(found) >= 80
+
+
+def test_a_voted_path_with_little_text_gives_way():
+    page = html.Page.read("<body><div class=a></div><main>" + "<p>words of the page</p>" * 20 + "</main></body>")
+    assert page.article("body/div.a") == page.article(None) != ""
+    page = html.Page.read("<body><div class=a>teaser</div><main>" + "<p>words of the page</p>" * 20 + "</main></body>")
+    assert page.article("body/div.a") == page.article("body/main")
