@@ -25,19 +25,38 @@ NEVER = frozenset(
     "aside button canvas dialog embed footer form head header iframe input math menu nav noscript "
     "object script select style svg template textarea title".split())
 ROLES = frozenset("alert banner complementary contentinfo dialog form navigation search".split())
-# Words of a class or id that mark what is not the article.
-NOISE = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|"
+# Words that mark what is not the article, where a class or id begins or ends with them.
+NOISE_WORD = (
+    r"(?:ads?|advert\w*|banner|breadcrumbs?|comments?|comment-?list|consent|cookies?|disqus|"
     r"footer|gdpr|header|menu|nav|navbar|navigation|newsletter|notices?|pagination|popup|promo\w*|"
     r"related|replies|reply|respond|share|sharing|sidebar|side|social|sponsor\w*|subscribe|tags|"
-    r"toolbar|widget)(?:$|[-_ \d])", re.IGNORECASE)
+    r"toolbar|widget)\d*")
+NOISE = re.compile(rf"{NOISE_WORD}(?:[-_].*)?|.*[-_]{NOISE_WORD}(?:[-_]?\d+)?", re.IGNORECASE | re.DOTALL)
+# Names that tell how something is laid out or in which state, or the head of an article.
+STATE = re.compile(
+    r"(?:.*[-_])?(?:no|not|has|have|with|without|is|layout)[-_].*|"
+    r".*[-_](?:open|opened|closed|enabled|disabled|active|visible|hidden|on|off|left|right|none)|"
+    r"(?:entry|post|article|story|title|content|section)[-_]+header", re.IGNORECASE | re.DOTALL)
+
+
+def is_noise(label: str) -> bool:
+    """Whether one of the names in a class or id says that the element is not the article."""
+    return any(NOISE.fullmatch(name) and not STATE.fullmatch(name) for name in label.split())
 
 
 class Page(HTMLParser):
     """Blocks of a page in order, each with the paths of the containers it is in."""
 
-    def __init__(self) -> None:
+    def __init__(self, spared: frozenset[int] | None = frozenset()) -> None:
         super().__init__(convert_charrefs=True)
+        self.spared = spared  # start tags, by number, whose names do not count; None: all
+        self.tags = 0
+        self.named: list[tuple[int, int]] = []  # open elements left out by name: depth, number
+        self.hard = 0  # open elements left out for another reason
+        self.left_out: dict[int, int] = {}  # start tag left out by name: its unlinked text
+        self.holding: set[int] = set()  # those of them that hold an article or main
+        self.plain = 0  # unlinked text that is not left out
+        self.has_article = False
         self.open: list[tuple[str, str, bool]] = []  # tag, path step, unwanted
         self.unwanted = 0
         self.words: list[str] = []
@@ -57,6 +76,10 @@ class Page(HTMLParser):
         while len(self.open) > depth:
             tag, _, unwanted = self.open.pop()
             self.unwanted -= unwanted
+            if self.named and self.named[-1][0] == len(self.open):
+                self.named.pop()
+            elif unwanted:
+                self.hard -= 1
             if tag in BLOCKS:
                 self._flush()
             if tag in CONTAINERS:
@@ -87,11 +110,22 @@ class Page(HTMLParser):
             if self.open[k][0] in BLOCKS:
                 break
         label = f"{names.get('class') or ''} {names.get('id') or ''}".strip()
-        unwanted = (
+        hard = (
             tag in NEVER and not (tag == "header" and self.inside_article())
             or (names.get("role") or "").lower() in ROLES
-            or "hidden" in names or names.get("aria-hidden") == "true"
-            or bool(label and tag not in ("html", "body") and NOISE.search(label)))
+            or "hidden" in names or names.get("aria-hidden") == "true")
+        self.tags += 1
+        by_name = bool(
+            not hard and label and tag not in ("html", "body") and self.spared is not None
+            and self.tags not in self.spared and is_noise(label))
+        unwanted = hard or by_name
+        if tag in ("article", "main") and not unwanted and not self.hard:
+            self.has_article = True
+            self.holding.update(number for _, number in self.named)
+        if by_name:
+            self.named.append((len(self.open), self.tags))
+            self.left_out[self.tags] = 0
+        self.hard += hard
         kind = re.sub(r"\d+", "#", ".".join(sorted((names.get("class") or "").lower().split())))
         self.open.append((tag, f"{tag}.{kind}" if kind else tag, unwanted))
         self.unwanted += unwanted
@@ -117,12 +151,34 @@ class Page(HTMLParser):
             self.words.append(data)
             if self.in_link:
                 self.linked += len(data)
+            else:
+                self.plain += len(data)
+        elif self.named and not self.hard and not self.in_link:
+            for _, number in self.named:
+                self.left_out[number] += len(data)
 
     @classmethod
     def read(cls, html: str) -> Page:
-        page = cls()
+        """The page, with an element kept in spite of its name if it holds an article or main or,
+        where the page has none, most of the text; without any regard to names if nothing
+        would be left."""
         # A tag that the page's end cuts off is no text.
-        page.feed(re.sub(r"<[A-Za-z/!][^<>]*\Z", "", html))
+        html = re.sub(r"<[A-Za-z/!][^<>]*\Z", "", html)
+        page = cls._parsed(html, frozenset())
+        spared = set(page.holding)
+        if not page.has_article and page.left_out:
+            outer = page.plain + max(page.left_out.values())
+            spared |= {k for k, size in page.left_out.items() if 2 * size > outer}
+        if spared:
+            page = cls._parsed(html, frozenset(spared))
+        if not page.blocks and page.left_out:
+            page = cls._parsed(html, None)
+        return page
+
+    @classmethod
+    def _parsed(cls, html: str, spared: frozenset[int] | None) -> Page:
+        page = cls(spared)
+        page.feed(html)
         page.close()
         page._pop_to(0)
         page._flush()

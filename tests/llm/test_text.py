@@ -192,3 +192,22 @@ def test_a_voted_path_with_little_text_gives_way():
     assert page.article("body/div.a") == page.article(None) != ""
     page = html.Page.read("<body><div class=a>teaser</div><main>" + "<p>words of the page</p>" * 20 + "</main></body>")
     assert page.article("body/div.a") == page.article("body/main")
+
+
+@pytest.mark.parametrize("name", [
+    "site no-sidebar", "layout-has-sidebar", "content with-sidebar", "single-post comments-open",
+    "elementor-widget-text", "sidebar"])
+def test_names_of_wrappers_do_not_drop_the_article(name):
+    inner = "<h1>T</h1><p>" + "words of it " * 30 + "</p>"
+    for page in (f"<div class='{name}'><article>{inner}</article></div>", f"<div class='{name}'>{inner}</div>",
+                 f"<article class='{name}'>{inner}</article>"):
+        assert html.Page.read(f"<body>{page}</body>").article(None).startswith("T\n\nwords of it")
+
+
+def test_an_entry_header_holds_the_title():
+    read = lambda page: html.Page.read(page).article(None)
+    assert read("<article><div class=entry-header><h1>T</h1></div><p>text of it</p></article>") == "T\n\ntext of it"
+    assert read("<article><p>text</p></article><section class=comments><article class=comment><p>"
+                + "I disagree " * 90 + "</p></article></section>") == "text"
+    for noise in ("cookie-notice", "ad-box", "site-header", "post-comments", "sidebar-2", "share-buttons", "ad"):
+        assert html.is_noise(noise)
