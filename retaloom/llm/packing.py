@@ -75,9 +75,9 @@ class ChunkTokens:
         """The chunk without the ASCII marks at its end, if what is left ends in a letter or
         digit: only there the tokenizer always parts them."""
         core = chunk.rstrip(_PUNCTUATION)
-        if len(core) == len(chunk) or not core or core[-1] < 0x80:
+        if len(core) == len(chunk) or not core or core[-1:].isalnum():
             return core
-        return core if core.decode()[-1].lower()[-1].isalpha() else chunk
+        return core if core[-1] >= 0x80 and core.decode()[-1].lower()[-1].isalpha() else chunk
 
     def _learn(self, new: list[bytes]) -> None:
         cores = list(map(self._core, new))

@@ -93,3 +93,10 @@ def test_pieces_round_trip_and_fill_sequences(odd, none):
         assert at <= 4096
     assert len(by_bin) == plain_best_fit([r.length for r in rows], 4096)
     assert packing.pack(packing.pieces(none, PATH)).count() == 0
+
+
+def test_marks_after_control_characters_stay_with_them():
+    texts = ["abc\x01!", "abc\x7f!? x", "a\x02", "abc!", "9?", "\x01!!", "é\x01."]
+    plain = Tokenizer.from_file(PATH)
+    for text, ids in zip(texts, packing.ChunkTokens(PATH)([t.encode() for t in texts])):
+        assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
