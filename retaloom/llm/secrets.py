@@ -23,10 +23,11 @@ HEX = re.compile(r"[0-9a-f]{16,}")  # a maximal run, so the same as + with a len
 KINDS = ("assign", "access", "hex", "der", "jwt", "pem", "ssh")
 
 ENCODED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}")
-HEXED = re.compile(r"(?:[0-9A-Fa-f]{2}){24,}")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{40,}={0,2}(?:(?:[ \t]*\r?\n[ \t]*|(?:\\r)?\\n)[A-Za-z0-9+/_-]+={0,2})+")
+HEXED = re.compile(r"[0-9A-Fa-f]{48,}")
 JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 PEM = re.compile(
-    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s,:-]*?)-----END \1-----")
+    r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s,:-]|\\[rnt])*?)-----END \1-----")
 SSH_MAGIC = b"openssh-key-v1\0"
 
 
@@ -94,6 +95,8 @@ def is_private_der(data: bytes) -> bool:
     if tags[:1] == [0x02] and value(parts[0]) in (0, 1):
         if len(tags) >= 9 and set(tags[:9]) == {0x02}:  # RSA: version and eight numbers
             return True
+        if value(parts[0]) == 0 and tags == [0x02] * 6:  # DSA: version and five numbers
+            return True
         if value(parts[0]) == 1 and tags[1:2] == [0x04] and all(t in (0xA0, 0xA1) for t in tags[2:]):
             return True  # EC
         if tags[1:3] == [0x30, 0x04] and algorithm(parts[1]):
@@ -158,7 +161,8 @@ def structural_spans(text: str, depth: int = 1) -> list[tuple[str, int, int]]:
     free = lambda start, end: all(end <= s or e <= start for _, s, e in found)
     if "-----BEGIN" in text:
         for m in PEM.finditer(text):
-            body = "".join(x for x in m[2].splitlines() if ":" not in x)
+            lines = re.sub(r"\\[rnt]", "\n", m[2]).splitlines()  # also line ends as in JSON
+            body = "".join(x for x in lines if ":" not in x)
             data = _decoded("".join(body.split()))
             encrypted = "ENCRYPTED" in m[2]  # the old form: only its base64 can be checked
             if data and (is_private_der(data) or is_ssh_key(data) or encrypted):
@@ -167,12 +171,29 @@ def structural_spans(text: str, depth: int = 1) -> list[tuple[str, int, int]]:
         for m in JWT.finditer(text):
             if free(*m.span()) and is_signed_token(m[0]):
                 found.append(("jwt", *m.span()))
+    for m in WRAPPED.finditer(text):
+        # Lines of one length and a shorter last one, as encoders wrap them, are one candidate.
+        lines = [x for x in re.split(r"\s+|(?:\\r)?\\n", m[0]) if x]
+        size = next((k for k in range(1, len(lines)) if len(lines[k]) != len(lines[0])), len(lines))
+        size += size < len(lines) and len(lines[size]) < len(lines[0])
+        ends, at = [], m.start()
+        for line in lines[:size]:
+            at = text.index(line, at) + len(line)
+            ends.append(at)
+        for k in (size, size - 1):  # the shorter line may be the next text already
+            if k > 1 and free(m.start(), ends[k - 1]) and (
+                    kind := _key_kind(_decoded("".join(lines[:k])), depth)):
+                found.append((kind, m.start(), ends[k - 1]))
+                break
     for m in ENCODED.finditer(text):
         if free(*m.span()) and (kind := _key_kind(_decoded(m[0]), depth)):
             found.append((kind, *m.span()))
     for m in HEXED.finditer(text):
-        if free(*m.span()) and (kind := _key_kind(bytes.fromhex(m[0]), depth)):
-            found.append((kind, *m.span()))
+        for start in (m.start(), m.start() + 1):  # the run may have a digit too many on either side
+            end = m.end() - (m.end() - start) % 2
+            if free(start, end) and (kind := _key_kind(bytes.fromhex(text[start:end]), depth)):
+                found.append((kind, start, end))
+                break
     return found
 
 

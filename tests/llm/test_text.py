@@ -211,3 +211,19 @@ def test_an_entry_header_holds_the_title():
                 + "I disagree " * 90 + "</p></article></section>") == "text"
     for noise in ("cookie-notice", "ad-box", "site-header", "post-comments", "sidebar-2", "share-buttons", "ad"):
         assert html.is_noise(noise)
+
+
+def test_further_encodings_of_keys():
+    kinds = lambda t: [s[0] for s in secrets.structural_spans(t)]
+    b64 = base64.b64encode(PKCS8).decode()
+    lines = [b64[k:k + 64] for k in range(0, len(b64), 64)]
+    body = "\\n".join(lines)
+    assert kinds(f'{{"key": "-----BEGIN PRIVATE KEY-----\\n{body}\\n-----END PRIVATE KEY-----\\n"}}') == ["pem"]
+    for end in ("\n", "\r\n", "\\n"):
+        wrapped = end.join(lines)
+        assert secrets.structural_spans(f"key: {wrapped} and") == [("der", 5, 5 + len(wrapped))]
+    assert secrets.structural_spans(f"x a{EC.hex()} y") == [("der", 3, 3 + 2 * len(EC))]
+    assert secrets.structural_spans(f"x {EC.hex()}a y") == [("der", 2, 2 + 2 * len(EC))]
+    assert secrets.is_private_der(_der(0x30, _der(2, b"\0"), *[_der(2, bytes([1 + k]) * 20) for k in range(5)]))
+    full = [b64[k:k + len(b64) // 4] for k in range(0, len(b64), len(b64) // 4)]
+    assert kinds("\n".join(full) + "\nand") == ["der"]
