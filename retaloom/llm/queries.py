@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from retaloom.llm import brown, decontaminate, dedup, html, jaccard, langid, packing, quality, secrets, sharding
+from retaloom.llm import (
+    brown, centroids, decontaminate, dedup, html, jaccard, langid, merkle, packing, quality, secrets,
+    sharding, warc)
 from retaloom.llm.common import crc_mod
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +145,128 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op10_host_paths")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages"))
+
+
+def _rounds_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds of op11, one after the other."""
+    near = """
+a{i} AS MATERIALIZED (
+  SELECT rid, any_value(vec_id) AS vec_id, any_value(w) AS w, min(near) AS near
+  FROM (SELECT v.rid, v.vec_id, v.w, {{'d': CAST(list_sum(list_transform(
+          list_zip(v.w, c.w), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT), 'c': c.c}} AS near
+        FROM v, c{i} c)
+  GROUP BY rid)"""
+    moved = """
+m{i} AS (
+  SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY d) AS w
+  FROM (SELECT near.c AS c, d, sum(w[d]) AS s, count(*) AS n FROM a{i}, range(1, 65) t(d) GROUP BY near.c, d)
+  GROUP BY c),
+c{j} AS MATERIALIZED (
+  SELECT c{i}.c, coalesce(m{i}.w, c{i}.w) AS w FROM c{i} LEFT JOIN m{i} ON c{i}.c = m{i}.c)"""
+    steps = []
+    for i in range(rounds):
+        steps += [near.format(i=i), moved.format(i=i, j=i + 1)]
+    return f"""
+WITH v AS MATERIALIZED (
+  SELECT vec_id, row_number() OVER () AS rid, list_transform(
+           embedding, lambda x: TRY_CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS w
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, w) - 1 AS c, w
+  FROM (SELECT w, sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')) AS h FROM v ORDER BY h, w LIMIT {k})),
+{",".join([*steps, near.format(i=rounds)])}
+SELECT vec_id, CAST(near.c AS INTEGER) AS cluster, near.d AS distance,
+       CAST(sum(near.d) OVER (PARTITION BY near.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(near.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.w, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON near.c = c{rounds}.c"""
+
+
+@registered("op11_threshold_centroids", _rounds_sql())
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings").select("vec_id", "embedding"), k=8, rounds=10).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@registered("op12_chunked_warc", """
+WITH p AS (
+  SELECT page_id, sha256(coalesce(html, '')) AS d, CAST(strlen(coalesce(html, '')) AS BIGINT) AS n FROM pages),
+g AS (SELECT d, n, min(page_id) AS kept FROM p WHERE n >= 100 GROUP BY d, n)
+SELECT page_id, p.n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN kept IS NULL OR kept IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN kept IS DISTINCT FROM page_id THEN kept END AS refers_to
+FROM p LEFT JOIN g ON p.d = g.d AND p.n = g.n""")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Writes the archives below the shared folder and returns what reading them gives."""
+    pages = table(spark, folder, "pages")
+    read = warc.records(warc.chunks(warc.write(pages), data=False)).where("record_type != 'warcinfo'")
+    as_id = lambda c: warc.key_of(c).cast(pages.schema["page_id"].dataType)
+    return read.select(
+        as_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        as_id("refers_to").alias("refers_to"))
+
+
+def _merkle_sql(levels: int = 10) -> str:
+    """op13 by levels of ranks; groups of up to 8^levels leaves."""
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+    leaf = lambda text: "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    height = lambda n: "CASE " + " ".join(f"WHEN {n} <= {8 ** j} THEN {j}" for j in range(levels + 1)) + " END"
+
+    def tree(t: str) -> str:
+        """Nodes of each level (g, i, h), the top ones, and what stands beside each node."""
+        parts = [f"""
+{t}{j} AS MATERIALIZED (
+  SELECT g, i >> 3 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h
+  FROM {t}{j - 1} JOIN {t}size USING (g) WHERE height >= {j} GROUP BY g, i >> 3)""" for j in range(1, levels + 1)]
+        tops = " UNION ALL ".join(
+            f"SELECT g, h FROM {t}{j} JOIN {t}size USING (g) WHERE height = {j}" for j in range(levels + 1))
+        parts.append(f"\n{t}top AS MATERIALIZED ({tops})")
+        parts += [f"""
+{t}beside{j} AS MATERIALIZED (
+  SELECT a.g, a.i, coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i < a.i), '') AS l,
+         coalesce(string_agg(b.h, '' ORDER BY b.i) FILTER (b.i > a.i), '') AS r
+  FROM {t}{j} a JOIN {t}{j} b ON a.g = b.g AND a.i >> 3 = b.i >> 3
+  JOIN {t}size ON a.g = {t}size.g WHERE height > {j} GROUP BY a.g, a.i)""" for j in range(levels)]
+        return ",".join(parts)
+
+    way = []
+    for t, g, rank in (("a", "q.g", "q.i"), ("b", "0", "q.g")):
+        for j in range(levels):
+            way.append(f"""
+w{len(way) + 1} AS MATERIALIZED (
+  SELECT q.* REPLACE (CASE WHEN x.g IS NULL THEN q.seen ELSE sha256(x.l || q.seen || x.r) END AS seen,
+                      CASE WHEN x.g IS NULL THEN q.proof ELSE q.proof || x.l || x.r END AS proof)
+  FROM w{len(way)} q LEFT JOIN {t}beside{j} x ON x.g = {g} AND x.i = ({rank} >> {3 * j}))""")
+    return f"""
+WITH crc AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)), lambda c, b:
+           xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY n) AS t
+  FROM range(256) r(n)),
+d AS (
+  SELECT doc_id, lang, {leaf("text")} AS leaf, {leaf(lowered)} AS low,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+           lambda s: CAST(ord(s) AS BIGINT))), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)),
+           4294967295) % 3 = 0 AS tampered
+  FROM documents, crc),
+w0 AS MATERIALIZED (
+  SELECT doc_id, leaf, CASE WHEN tampered THEN low ELSE leaf END AS seen, '' AS proof,
+         dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i
+  FROM d),
+asize AS MATERIALIZED (SELECT g, {height("count(*)")} AS height FROM w0 GROUP BY g),
+a0 AS MATERIALIZED (SELECT g, i, leaf AS h FROM w0),{tree("a")},
+bsize AS MATERIALIZED (SELECT 0 AS g, {height("count(*)")} AS height FROM asize),
+b0 AS MATERIALIZED (SELECT 0 AS g, g AS i, h FROM atop),{tree("b")},{",".join(way)}
+SELECT doc_id, leaf, atop.h AS subroot, btop.h AS root, sha256(proof) AS proof_sha256,
+       seen AS folded_root, seen = btop.h AS verified
+FROM w{len(way)} q JOIN atop ON q.g = atop.g CROSS JOIN btop"""
+
+
+@registered("op13_merkle_descent", _merkle_sql())
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows whose id has a crc32 divisible by three are checked with A-Z of the text lowered."""
+    tampered = crc_mod("doc_id", 3) == 0
+    text = F.when(F.col("doc_id").isNotNull() & tampered, merkle.lower_az(F.col("text"))).otherwise(F.col("text"))
+    return merkle.verify(table(spark, folder, "documents"), changed={"text": text})
