@@ -148,16 +148,18 @@ class Manifest:
             return rows.join(asked.select(*keys).distinct(), ["grp", "idx"], "left_semi")
 
         for records in reversed(self.records_above):
-            frontier = _step(frontier, records)
+            frontier = _step(frontier, records)  # read once a level
         frontier = only(
             frontier.withColumnRenamed("idx", "grp").withColumn("idx", F.lit(0).cast("bigint")),
             ["grp", F.lit(0).cast("bigint").alias("idx")],
         ).join(self.groups.select("grp", "height"), "grp").withColumn("subroot", F.col("digest"))
+        frontier = stored(frontier, "merkle-frontier")
         for level in range(self.most, 1, -1):
             ready = F.col("height") >= level
             down = _step(frontier.where(ready), self.records[level - 1])
             kept = only(down, ["grp", F.shiftright("rank", BITS * (level - 1)).alias("idx")])
-            frontier = kept.unionByName(frontier.where(~ready))
+            # Written, as it is read twice a level: a plan would double with every level.
+            frontier = stored(kept.unionByName(frontier.where(~ready)), f"merkle-frontier-{level}")
         last = frontier.where("height = 0").withColumn("children", F.lit(None).cast("array<binary>"))
         if self.most:
             last = last.unionByName(_looked_up(frontier.where("height > 0"), self.records[0]))
