@@ -188,11 +188,11 @@ def prepared(df: DataFrame, vector: str, dims: int, scale: int, label: str = "ve
     return stored(source.mapInArrow(run, schema), label)
 
 
-def first_centroids(vectors: DataFrame, key: str, k: int, seed: int) -> np.ndarray:
+def first_centroids(vectors: DataFrame, key: str, dims: int, k: int, seed: int) -> np.ndarray:
     """The k vectors with the smallest sha256 of ``seed:id``, equal ones by their components."""
     mark = F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))), 256)
     chosen = vectors.orderBy(mark, "__whole__").select("__whole__").limit(k).collect()
-    return np.array([r[0] for r in chosen], dtype=np.int64)
+    return np.array([r[0] for r in chosen], dtype=np.int64).reshape(-1, dims)
 
 
 def fit(vectors: DataFrame, centroids: np.ndarray, rounds: int) -> np.ndarray:
@@ -214,7 +214,7 @@ def cluster(
     """The rows of usable vectors with ``cluster``, ``distance``, ``cluster_inertia``,
     ``inertia``, ``centroid_sha256`` and ``probes`` (exact distances worked out)."""
     vectors = prepared(df, vector, dims, scale)
-    centroids = fit(vectors, first_centroids(vectors, key, k, seed), rounds)
+    centroids = fit(vectors, first_centroids(vectors, key, dims, k, seed), rounds)
     new = T.StructType([
         T.StructField("cluster", T.IntegerType()), T.StructField("distance", T.LongType()),
         T.StructField("probes", T.IntegerType())])
