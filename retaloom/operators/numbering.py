@@ -10,12 +10,14 @@ _IN_BLOCK = (1 << 33) - 1  # low bits of monotonically_increasing_id: row within
 
 
 BLOCK_BYTES = 256 << 20  # of the input, for a block
+UNKNOWN = 1 << 60  # sizes from here on stand for none known, as of rows handed over by the driver
 
 
 def _input_bytes(df: DataFrame) -> int:
-    """Bytes of the tables that the frame is made from, as Spark knows them."""
+    """Bytes of the tables that the frame is made from, as far as Spark knows them."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    return sum(s for s in sizes if s < UNKNOWN)
 
 
 def number_rows(
