@@ -76,14 +76,19 @@ class Medallion:
         sales = trusted.RULES["ventas"](self._raw("ventas", True))
         return curated.fact_ventas(sales, self.trusted("devoluciones"), once)
 
-    def with_fact(self, name: str, frame: DataFrame) -> Medallion:
-        """The same star over another fact frame, such as some months of it."""
+    def with_table(self, layer: str, name: str, frame: DataFrame) -> Medallion:
+        """The same star with another frame for one of its tables."""
         other = copy(self)
         for cube in ("commercial", "invoices", "inventory"):
             other.__dict__.pop(cube, None)
-        other._made = {**self._made, ("fact", name): frame}
+        made = {key: df for key, df in self._made.items() if key != ("small", name)}
+        other._made = {**made, (layer, name): frame}
         return other
 
+    def with_fact(self, name: str, frame: DataFrame) -> Medallion:
+        """The same star over another fact frame, such as some months of it."""
+        return self.with_table("fact", name, frame)
+
     def between(self, first: str, last: str) -> Medallion:
         """The same star for a range of days, cut at the facts.
 

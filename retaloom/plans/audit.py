@@ -8,6 +8,7 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from retaloom.schemas import LAYER_AUDIT, RAW_AUDIT
+from retaloom.sources import commits
 from retaloom.sources.tables import create_empty
 
 OK, ERROR = "EXITOSO", "ERROR"
@@ -15,15 +16,22 @@ MESSAGE_LENGTH = 1024
 
 
 class AuditLog:
-    """An append-only table with one row per loaded file or refreshed table."""
+    """An append-only table with one row per loaded file or refreshed table.
+
+    It is laid out by the table that a row is about, so a question about one table reads its rows
+    only, and folds small files: any number of loads leaves a bounded number of them.
+    """
+
+    BY = "tabla_destino"
 
     def __init__(self, spark: SparkSession, path: str, raw: bool = False):
         self.spark, self.path, self.raw = spark, path, raw
         self.schema = RAW_AUDIT if raw else LAYER_AUDIT
-        create_empty(spark, path, self.schema)
+        create_empty(spark, path, self.schema, self.BY)
 
     def read(self) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(self.path)
+        names = [c.split()[0] for c in self.schema.split(",")]
+        return commits.read(self.spark, self.path).select(*names)
 
     def append(self, rows: list[dict]) -> None:
         now = datetime.now(timezone.utc)
@@ -34,8 +42,7 @@ class AuditLog:
         } for row in rows]
         names = [c.split()[0] for c in self.schema.split(",")]
         values = [tuple(row[n] for n in names) for row in full]
-        self.spark.createDataFrame(values, self.schema).coalesce(1).write.mode("append").parquet(
-            self.path)
+        commits.append(self.spark.createDataFrame(values, self.schema).coalesce(1), self.path, self.BY)
 
     def append_files(self, table: str, kind: str, files: DataFrame) -> None:
         """A row of success per loaded file, written by the executors.
@@ -46,7 +53,7 @@ class AuditLog:
             "tabla_destino": F.lit(table), "tipo": F.lit(kind), "estado": F.lit(OK),
             "mensaje_error": F.lit(None).cast("string"), "fecha_carga": F.current_timestamp()})
         names = [c.split()[0] for c in self.schema.split(",")]
-        given.select(*names).write.mode("append").parquet(self.path)
+        commits.append(given.select(*names), self.path, self.BY)
 
     def loaded_files(self, table: str) -> DataFrame:
         """archivo_origen, fecha_particion of the files recorded as loaded."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from retaloom.functions.numbers import percent, ratio, rounded
@@ -60,7 +62,8 @@ def with_targets(fact: DataFrame, targets: DataFrame, key: str, how: str = "inne
     ).drop("periodo")
 
 
-def commercial(star, how: str = "inner") -> DataFrame:
+def commercial(star, how: str = "inner", levels: Collection[str] | None = None) -> DataFrame:
+    """Sales measures and targets by all attributes, or by those named in ``levels``."""
     fact = with_targets(star.fact("ventas"), star.small("metas_comercial"), "id_canal", how)
     net, cost = F.col("ventas_netas_soles"), F.col("costo_ventas_soles")
     measures = [
@@ -80,10 +83,10 @@ def commercial(star, how: str = "inner") -> DataFrame:
         _product(star),
         Dim(star.dim("vendedor"), "id_vendedor", _seller()),
     ]
-    return star_cube(fact, dims, measures)
+    return star_cube(fact, dims, measures, levels)
 
 
-def _invoice_dims(star) -> list[Dim]:
+def invoice_dims(star) -> list[Dim]:
     return [
         _time(star, TIME),
         Dim(star.small("canal"), "id_canal", CHANNEL),
@@ -99,7 +102,13 @@ def invoices(star) -> DataFrame:
         F.count_distinct("num_factura").alias("num_facturas"),
         F.count_distinct("id_cliente").alias("num_clientes_activos"),
     ]
-    return star_cube(star.fact("ventas"), _invoice_dims(star), measures)
+    return star_cube(star.fact("ventas"), invoice_dims(star), measures)
+
+
+def invoices_net(star, levels: Collection[str]) -> DataFrame:
+    """Net sales by levels of the invoice cube."""
+    net = F.sum("ventas_netas_soles").alias("ventas_netas")
+    return star_cube(star.fact("ventas"), invoice_dims(star), [net], levels)
 
 
 def invoices_deduplicated(star) -> DataFrame:
@@ -107,7 +116,7 @@ def invoices_deduplicated(star) -> DataFrame:
     keys = ["num_factura", "id_fecha", "id_canal", "id_geografia", "id_vendedor"]
     once = star.fact("ventas").groupBy(*keys).agg(F.sum("ventas_netas_soles").alias("_net"))
     measures = [F.sum("_net").alias("ventas_netas"), F.count(F.lit(1)).alias("num_facturas")]
-    return star_cube(once, _invoice_dims(star), measures)
+    return star_cube(once, invoice_dims(star), measures)
 
 
 def _inventory(star, measures: list[Column], how: str) -> DataFrame:
@@ -120,13 +129,14 @@ def _inventory(star, measures: list[Column], how: str) -> DataFrame:
     return star_cube(fact, dims, measures)
 
 
-def _inventory_measures() -> list[Column]:
-    out = F.col("stock_disponible") <= 0
+def _inventory_measures(of_cells: bool = False) -> list[Column]:
+    """Measures of snapshot rows, or of cells, which carry their number of rows."""
+    out = F.col("sin_stock") if of_cells else F.when(F.col("stock_disponible") <= 0, 1).otherwise(0)
     return [
         F.sum("stock_disponible").alias("stock_disponible"),
         F.sum("stock_reservado").alias("stock_reservado"),
-        F.sum(F.when(out, 1).otherwise(0)).alias("skus_en_quiebre"),
-        F.count(F.lit(1)).alias("total_skus"),
+        F.sum(out).alias("skus_en_quiebre"),
+        (F.sum("filas") if of_cells else F.count(F.lit(1))).alias("total_skus"),
         F.sum("demanda_diaria_prom").alias("demanda_diaria_total"),
         *[F.max(t).alias(t) for t in OPERATIONAL_TARGETS],
     ]
@@ -146,6 +156,6 @@ def inventory(star, how: str = "inner") -> DataFrame:
     return cube.select(*columns)
 
 
-def inventory_additive(star, how: str = "inner") -> DataFrame:
-    """Additive measures only; rates are derived when read."""
-    return _inventory(star, _inventory_measures(), how)
+def inventory_additive(star, how: str = "inner", of_cells: bool = False) -> DataFrame:
+    """Additive measures only; rates are derived when read. ``of_cells``: the fact is cells."""
+    return _inventory(star, _inventory_measures(of_cells), how)

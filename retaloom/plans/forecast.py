@@ -19,6 +19,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from retaloom.functions.numbers import mean, rounded, rounded_money
+from retaloom.plans import regress
+from retaloom.plans.regress import EPOCH, YEAR
+from retaloom.session import as_table
 
 # Ship the fitting functions with the job: executors need numpy and pandas only.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -36,8 +39,6 @@ FORECAST_SCHEMA = """
 """
 ORDERS = [(p, q) for p in range(3) for q in range(3)]
 KPSS_LIMIT = 0.463  # 5 % critical value of the level-stationarity test
-YEAR = 365.25
-
 
 @dataclass(frozen=True)
 class Needs:
@@ -56,8 +57,8 @@ class Needs:
 
 
 def _wave(days: pd.DatetimeIndex, harmonics: int) -> np.ndarray:
-    turn = 2 * np.pi * (days - pd.Timestamp("2000-01-01")).days.to_numpy() / YEAR
-    parts = [f(k * turn) for k in range(1, harmonics + 1) for f in (np.sin, np.cos)]
+    turn = 2 * np.pi * (days - pd.Timestamp(EPOCH)).days.to_numpy() / YEAR
+    parts = [np.round(f(k * turn), 6) for k in range(1, harmonics + 1) for f in (np.sin, np.cos)]
     return np.column_stack(parts) if parts else np.zeros((len(days), 0))
 
 
@@ -140,21 +141,16 @@ def _flat(pdf: pd.DataFrame, daily: pd.DataFrame, y: np.ndarray, slopes: int) ->
     }
 
 
-def _fit(pdf: pd.DataFrame, value: str, regressors: list[str], needs: Needs) -> pd.DataFrame:
+def _fit(pdf: pd.DataFrame, slopes: int, needs: Needs) -> pd.DataFrame:
+    """Orders and state of what the regression leaves over."""
     pdf = pdf.assign(ds=pd.to_datetime(pdf["ds"])).set_index("ds").sort_index()
-    daily = pdf[[value, *regressors]].astype(float).asfreq("D").interpolate(limit_direction="both")
-    y, n = daily[value].to_numpy(), len(daily)
-    if n < needs.week or not np.isfinite(daily.to_numpy()).all():
-        known = y[np.isfinite(y)]
-        return pd.DataFrame([_flat(pdf, daily, known if len(known) else np.zeros(1), len(regressors))])
-    # weekday levels, yearly wave and regressor slopes together, by least squares
-    dummies = np.eye(7)[daily.index.dayofweek]
-    wave = _wave(daily.index, needs.waves if n >= needs.yearly else 0)
-    extra = daily[regressors].to_numpy()
-    design = np.hstack([dummies, wave, extra])
-    coef = np.linalg.lstsq(design, y, rcond=None)[0]
-    weekday, yearly, slopes = np.split(coef, [7, 7 + wave.shape[1]])
-    rest = y - design @ coef
+    daily = pdf[["y", "rest"]].astype(float).asfreq("D").interpolate(limit_direction="both")
+    rest, n = daily["rest"].to_numpy(), len(daily)
+    if n < needs.week or not np.isfinite(rest).all():
+        known = daily["y"].to_numpy()
+        known = known[np.isfinite(known)]
+        return pd.DataFrame([_flat(pdf, daily, known if len(known) else np.zeros(1), slopes)])
+    weekday, yearly, extra = np.split(np.asarray(pdf["coef"].iloc[0], dtype=float), [7, 7 + 2 * needs.waves])
     d = int(_kpss(rest) > KPSS_LIMIT) if n >= needs.difference else None
     w = np.diff(rest) if d else rest
     mean = float(w.mean())
@@ -172,31 +168,56 @@ def _fit(pdf: pd.DataFrame, value: str, regressors: list[str], needs: Needs) ->
         "non_seasonal_p": len(phi), "non_seasonal_d": d, "non_seasonal_q": len(theta),
         "has_drift": None if d is None else trend,
         "log_likelihood": loglik, "AIC": aic, "variance": var,
-        "seasonal_periods": "WEEKLY,YEARLY" if wave.shape[1] else "WEEKLY",
+        "seasonal_periods": "WEEKLY,YEARLY" if n >= needs.yearly else "WEEKLY",
         "has_spikes_and_dips": bool((np.abs(e) > 4 * sigma).any()), "has_step_changes": steps,
         "last_ds": daily.index[-1].date(),
-        "weekday": weekday, "yearly": yearly, "slopes": slopes, "phi": phi, "theta": theta,
+        "weekday": weekday, "yearly": yearly, "slopes": extra, "phi": phi, "theta": theta,
         "drift": drift, "level": float(rest[-1]),
         "recent": (w - mean)[::-1][:2], "shocks": e[::-1][:2],
     }])
 
 
+def regression(series: DataFrame, value: str = "ventas_netas_soles", regressors: tuple[str, ...] = (),
+               needs: Needs = Needs()) -> DataFrame:
+    """Weekday levels, yearly wave and slopes of every series: id_canal, n, coef."""
+    span = series.groupBy("id_canal").agg((F.datediff(F.max("ds"), F.min("ds")) + 1).alias("_span"))
+    rows = series.join(span, "id_canal")
+    columns = regress.daily_design("ds", needs.waves, regressors, F.col("_span") >= needs.yearly)
+    return regress.fit(rows, "id_canal", columns, F.col(value).cast(regress.AMOUNT))
+
+
+def slopes(coefficients: DataFrame, regressors: tuple[str, ...], needs: Needs = Needs()) -> DataFrame:
+    """What one more of each regressor adds to a day's value, by series."""
+    first = 7 + 2 * needs.waves
+    return coefficients.select("id_canal", "n", *[
+        F.get("coef", F.lit(first + i)).alias(r) for i, r in enumerate(regressors)])
+
+
 def fit(series: DataFrame, value: str = "ventas_netas_soles",
         regressors: tuple[str, ...] = (), needs: Needs = Needs()) -> DataFrame:
     """One model row per series; without ``regressors`` the first model version, else the second.
 
-    A series whose fit fails for numerical reasons gets mean and spread, so it does not
+    Levels and slopes are solved from sums in Spark; a group holds what they leave over. A
+    series whose fit fails for numerical reasons gets mean and spread, so it does not
     fail the others.
     """
-    names = list(regressors)
+    count = len(regressors)
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         try:
-            return _fit(pdf, value, names, needs)
+            return _fit(pdf, count, needs)
         except np.linalg.LinAlgError:
-            return _fit(pdf, value, names, Needs(week=len(pdf) * 2 + 10 ** 6))
-
-    rows = series.select("id_canal", "ds", *[F.col(c).cast("double") for c in [value, *names]])
+            return _fit(pdf, count, Needs(week=len(pdf) * 2 + 10 ** 6))
+
+    # One row per series. Written, so that the planner does not carry the elimination along.
+    coefficients = as_table(regression(series, value, regressors, needs).select("id_canal", "coef"), "coef")
+    columns = regress.daily_design("ds", needs.waves, regressors)
+    explained = F.aggregate(
+        F.zip_with(F.array(*[c.cast("double") for c in columns.values()]), F.col("coef"), lambda a, b: a * b),
+        F.lit(0.0), lambda a, b: a + b)
+    y = F.col(value).cast("double")
+    rows = series.join(coefficients, "id_canal", "left").select(
+        "id_canal", "ds", y.alias("y"), (y - explained).alias("rest"), "coef")
     return rows.groupBy("id_canal").applyInPandas(one, MODEL_SCHEMA)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from retaloom.operators import joins
-from retaloom.plans import quality, reconcile
+from retaloom.plans import cubes, quality, reconcile
 from retaloom.plans.trusted import DUPLICATE_SUFFIX, UNSPECIFIED
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio
@@ -612,7 +612,7 @@ _CF = ("kpi_ventas_netas", "curated_ventas_netas")
     "cubo_comercial", "ventas_netas", "fact_ventas", "ventas_netas_soles", _CF))
 def cube_vs_fact(m):
     return reconcile.compare_totals(
-        m.commercial, "ventas_netas", m.fact("ventas"), "ventas_netas_soles", _CF)
+        cubes.commercial(m, levels=["periodo"]), "ventas_netas", m.fact("ventas"), "ventas_netas_soles", _CF)
 
 
 _CC = ("comercial_ventas", "facturas_ventas")

@@ -2,11 +2,17 @@
 
 from pyspark.sql import functions as F
 
-from retaloom.plans import cubes, kpis
+from retaloom.plans import cubes, distinct, kpis
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio
 from retaloom.session import as_table
 
+
+def _levels(m, *names):
+    """The commercial cube at the levels a KPI asks for."""
+    return cubes.commercial(m, levels=names)
+
+
 _TOTALS = f"""
 SELECT {d('SUM(ventas_netas)')} AS ventas_netas, {d('SUM(margen_bruto)')} AS margen_bruto,
        {d('SUM(inversion_promo)')} AS inversion_promo,
@@ -21,14 +27,15 @@ FROM cubo_comercial"""
 
 @query("kpi_commercial_totals", _TOTALS)
 def totals(m):
-    return kpis.commercial_totals(m.commercial)
+    return kpis.commercial_totals(_levels(m))
 
 
 @query("kpi_commercial_totals_selected", _TOTALS
        + " WHERE tipo_canal IN ('moderno') AND marca IN ('Brand#1', 'Brand#2')")
 def totals_selected(m):
     return kpis.commercial_totals(
-        m.commercial, {"tipo_canal": ["moderno"], "marca": ["Brand#1", "Brand#2"], "anio_mes": []})
+        _levels(m, "tipo_canal", "marca"),
+        {"tipo_canal": ["moderno"], "marca": ["Brand#1", "Brand#2"], "anio_mes": []})
 
 
 _TICKET = f"""
@@ -40,7 +47,7 @@ FROM (SELECT {d('(SELECT SUM(ventas_netas) FROM cubo_comercial)')} AS ventas_net
 
 @query("kpi_ticket", _TICKET)
 def ticket(m):
-    return kpis.average_ticket(m.commercial, m.invoices)
+    return kpis.average_ticket(_levels(m), m.invoices)
 
 
 @query("kpi_ticket_exact", f"""
@@ -52,6 +59,40 @@ def ticket_exact(m):
     return kpis.exact_ticket(m.fact("ventas"))
 
 
+_SETS = [[], ["anio_mes"], ["tipo_canal", "nombre_canal"], ["Departamento"],
+         ["anio_mes", "tipo_canal", "nombre_canal"], distinct.LEVELS]
+_AT_LEVELS = f"""
+FROM fact_ventas JOIN dim_tiempo USING (id_fecha) JOIN dim_canal USING (id_canal)
+JOIN dim_geografia USING (id_geografia) JOIN dim_vendedor USING (id_vendedor)
+GROUP BY GROUPING SETS ({', '.join('(' + ', '.join(s) + ')' for s in _SETS)})"""
+_AT = f"{', '.join(distinct.LEVELS)}, CAST(GROUPING({', '.join(distinct.LEVELS)}) AS BIGINT) AS nivel"
+
+
+def _bitmaps(m, kind):
+    """Bitmap cells, stored as a cube would be: what is asked of them reads no fact."""
+    column, near = kind
+    found = distinct.bitmaps(m, column, distinct.numbers(m.fact("ventas"), column, near))
+    return as_table(found, f"bitmaps-{column}")
+
+
+@query("kpi_ticket_levels", f"""
+SELECT {_AT}, {d('SUM(ventas_netas_soles)')} AS ventas_netas, COUNT(DISTINCT num_factura) AS num_facturas,
+       {r(ratio('SUM(ventas_netas_soles)', 'COUNT(DISTINCT num_factura)'), 4)} AS ticket_promedio
+{_AT_LEVELS}""")
+def ticket_levels(m):
+    """Exact tickets at six levels from one cube of bitmaps."""
+    net = as_table(cubes.invoices_net(m, distinct.LEVELS), "net")
+    return distinct.ticket_at(net, _bitmaps(m, distinct.INVOICE), _SETS)
+
+
+@query("kpi_purchase_frequency_levels", f"""
+SELECT {_AT}, COUNT(DISTINCT num_factura) AS facturas, COUNT(DISTINCT id_cliente) AS clientes,
+       {r(ratio('COUNT(DISTINCT num_factura)', 'COUNT(DISTINCT id_cliente)'), 6)} AS frecuencia_compra
+{_AT_LEVELS}""")
+def frequency_levels(m):
+    return distinct.frequency_at(_bitmaps(m, distinct.INVOICE), _bitmaps(m, distinct.CUSTOMER), _SETS)
+
+
 _FREQUENCY = f"""
 SELECT COUNT(DISTINCT num_factura) AS facturas, COUNT(DISTINCT id_cliente) AS clientes,
        {r(ratio('COUNT(DISTINCT num_factura)', 'COUNT(DISTINCT id_cliente)'), 6)}
@@ -88,7 +129,7 @@ FROM (SELECT nombre_canal, periodo,
 
 @query("kpi_target_rollup", _TARGETS)
 def target_rollup(m):
-    return kpis.target_rollup(m.commercial)
+    return kpis.target_rollup(_levels(m, "nombre_canal", "periodo"))
 
 
 def _status_row(kpi, value, target, lower):
@@ -107,7 +148,7 @@ SELECT * FROM (
              CROSS JOIN ({_TARGETS}) g)
   {' UNION ALL '.join(_status_row(*row) for row in kpis.COMMERCIAL_KPIS)}) AS s""")
 def target_status(m):
-    cube = as_table(m.commercial, "cube")  # three measures read it
+    cube = as_table(_levels(m, "nombre_canal", "periodo"), "cube")  # three measures read it
     values = [
         kpis.commercial_totals(cube),
         kpis.average_ticket(cube, m.invoices).select("ticket_promedio"),
@@ -123,14 +164,14 @@ SELECT nombre_canal, {d('SUM(v)')} AS ventas_reales, {d('SUM(g)')} AS meta_venta
 FROM (SELECT nombre_canal, periodo, SUM(ventas_netas) AS v, MAX(meta_ventas_netas) AS g
       FROM cubo_comercial GROUP BY 1, 2) AS t GROUP BY nombre_canal""")
 def attainment(m):
-    return kpis.attainment(m.commercial)
+    return kpis.attainment(_levels(m, "nombre_canal", "periodo"))
 
 
 @query("kpi_channel_month", f"""
 SELECT anio_mes, nombre_canal, {d('SUM(ventas_netas)')} AS ventas_netas
 FROM cubo_comercial GROUP BY ALL""")
 def channel_month(m):
-    return kpis.by(m.commercial, ["anio_mes", "nombre_canal"])
+    return kpis.by(_levels(m, "anio_mes", "nombre_canal"), ["anio_mes", "nombre_canal"])
 
 
 @query("kpi_region_coords", f"""
@@ -138,7 +179,7 @@ SELECT Departamento, ventas_netas, {d('lat')} AS lat, {d('lon')} AS lon
 FROM (SELECT Departamento, {d('SUM(ventas_netas)')} AS ventas_netas
       FROM cubo_comercial GROUP BY 1) AS x JOIN coords ON Departamento = dep""")
 def region_coords(m):
-    return kpis.region_map(m.commercial)
+    return kpis.region_map(_levels(m, "Departamento"))
 
 
 @query("kpi_product_ranking", f"""
@@ -147,7 +188,7 @@ SELECT marca, nombre_sku, {d('SUM(ventas_netas)')} AS ventas_netas,
        {pct('SUM(margen_bruto)', 'SUM(ventas_netas)', 1)} AS margen_pct
 FROM cubo_comercial GROUP BY 1, 2""")
 def product_ranking(m):
-    return kpis.product_ranking(m.commercial)
+    return kpis.product_ranking(_levels(m, "marca", "nombre_sku"))
 
 
 @query("kpi_product_top", f"""
@@ -156,21 +197,22 @@ SELECT marca, nombre_sku, {d('SUM(ventas_netas)')} AS ventas_netas,
        {pct('SUM(margen_bruto)', 'SUM(ventas_netas)', 1)} AS margen_pct
 FROM cubo_comercial GROUP BY 1, 2 ORDER BY SUM(ventas_netas) DESC, marca, nombre_sku LIMIT 20""")
 def product_top(m):
-    return kpis.product_ranking(m.commercial, top=20)
+    return kpis.product_ranking(_levels(m, "marca", "nombre_sku"), top=20)
 
 
 @query("kpi_line_share", f"""
 SELECT linea_negocio, {d('v')} AS ventas_netas, {pct('v', 'SUM(v) OVER ()')} AS participacion_pct
 FROM (SELECT linea_negocio, SUM(ventas_netas) AS v FROM cubo_comercial GROUP BY 1) AS x""")
 def line_share(m):
-    return kpis.line_share(m.commercial)
+    return kpis.line_share(_levels(m, "linea_negocio"))
 
 
 @query("kpi_month_by_year", f"""
 SELECT anio, mes, mes_nombre, {d('SUM(ventas_netas)')} AS ventas_netas
 FROM cubo_comercial GROUP BY ALL""")
 def month_by_year(m):
-    return kpis.by(m.commercial, ["anio", "mes", "mes_nombre"]).orderBy("mes", "anio")
+    names = ["anio", "mes", "mes_nombre"]
+    return kpis.by(_levels(m, *names), names).orderBy("mes", "anio")
 
 
 @query("kpi_ticket_channel_month", f"""

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from retaloom.functions.dates import period_key
 from retaloom.functions.numbers import total
-from retaloom.plans import audit, cubes, trusted
+from retaloom.plans import audit, cells, cubes, curated, trusted
 from retaloom.queries.registry import query
+from retaloom.queries.olap import COMMERCIAL_TYPES, INVENTORY_TYPES
 from retaloom.queries.sqlbase import d, r
 from retaloom.session import shared_folder
 from retaloom.sources import landing, tables
@@ -43,7 +44,7 @@ def _deliver(m, root, rows):
 
 
 def _by_day(spark, table):
-    return spark.read.parquet(table).groupBy("fecha_carga").agg(
+    return tables.read_table(spark, table).groupBy("fecha_carga").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("event_id").alias("ids"),
         F.round(F.sum(F.col("value").cast("decimal(18,2)")), 2).cast("double").alias("valor"))
 
@@ -134,7 +135,7 @@ def master(m):
     table = f"{work}/raw/almacen"
     for _ in range(2):  # a snapshot replaces the one before
         ingest.snapshot(m.spark, f"{work}/landing/almacen/*.csv", "almacen", schema, table, log)
-    return m.spark.read.parquet(table).select(
+    return tables.read_table(m.spark, table).select(
         "id_almacen", "cod_almacen", "nombre_almacen", "macroregion",
         F.col("fecha_snapshot").isNotNull().alias("con_fecha_snapshot"))
 
@@ -274,6 +275,75 @@ def incremental_refresh(m):
 
     changed = refresh.changed_periods(fact.where(late), "fecha_emision")
     refresh.refresh(m.spark, table, build, changed)
-    return m.spark.read.parquet(table).groupBy("periodo", "nombre_canal").agg(
+    return tables.read_table(m.spark, table).groupBy("periodo", "nombre_canal").agg(
         total("ventas_netas").alias("ventas_netas"), F.sum("num_facturas").alias("num_facturas"),
         F.count(F.lit(1)).alias("celdas"))
+
+
+def _between(column, first, last):
+    return F.col(column).between(F.lit(first).cast("date"), F.lit(last).cast("date"))
+
+
+@query("cube_commercial_refresh", f"SELECT * REPLACE ({COMMERCIAL_TYPES}) FROM cubo_comercial")
+def commercial_refresh(m):
+    """Cells and cube as they stood before five things came in: two months of sales, the removal of
+    duplicates from one, a month of returns, other targets, and a new brand on some products."""
+    work = _work(m)
+    kept, cube = f"{work}/kpi/CELDAS_VENTAS", f"{work}/kpi/CUBO_COMERCIAL_MV"
+    sales, returns = m.trusted("ventas"), m.trusted("devoluciones")
+    late, wrong = _between("fecha_emision", "2001-03-01", "2001-04-30"), _between(
+        "fecha_emision", "1996-01-01", "1996-01-31")
+    came = _between("fecha_solicitud_dev", "1998-05-01", "1998-05-31")
+    twice = m.raw("ventas").where(wrong & (F.col("estado_linea") == "DUPLICADO"))
+    then = returns.where(~F.coalesce(came, F.lit(False)))
+    old = curated.fact_ventas(sales.where(~late), then)
+    removed = curated.fact_ventas(twice, then)
+    targets, goods = m.fact("metas_comercial"), m.dim("producto")
+    other = (F.col("periodo") == 199907) & (F.col("id_canal") == 2)
+    doubled = F.when(other, F.col("meta_ventas_netas_soles") * 2).otherwise(F.col("meta_ventas_netas_soles"))
+    targets_then = targets.where("periodo != 200002").withColumn(
+        "meta_ventas_netas_soles", doubled.cast(targets.schema["meta_ventas_netas_soles"].dataType))
+    goods_then = goods.withColumn("marca", F.when(F.col("id_producto") % 50 == 0, "OLD").otherwise(F.col("marca")))
+    before = m.with_table("fact", "metas_comercial", targets_then).with_table("dim", "producto", goods_then)
+    refresh.store_cube(cells.cells(old.unionByName(removed), cells.SALES), kept)
+    refresh.publish(m.spark, kept, cube, cells.SALES, lambda of: cubes.commercial(before.with_fact("ventas", of)))
+
+    change = cells.sales_change(
+        curated.fact_ventas(sales.where(late), returns), removed, cells.returns_change(old, returns.where(came)))
+    for _ in range(2):  # a job that is run again adds nothing
+        months = set(refresh.refresh_cells(m.spark, kept, change, cells.SALES, token="delivery-1"))
+    stored = tables.read_table(m.spark, kept)
+    for more in (
+        cells.changed_keys(targets_then, targets, "periodo"),
+        cells.months_of_keys(stored, "id_producto", cells.changed_keys(goods_then, goods, "id_producto")),
+    ):
+        months |= {r[0] for r in more.collect()}
+    refresh.publish(m.spark, kept, cube, cells.SALES,
+                    lambda of: cubes.commercial(m.with_fact("ventas", of)), months)
+    return tables.read_table(m.spark, cube)
+
+
+@query("cube_inventory_refresh", f"""
+SELECT * REPLACE ({INVENTORY_TYPES}, {d('demanda_diaria_total')} AS demanda_diaria_total)
+FROM cubo_inventario_aditivo""")
+def inventory_refresh(m):
+    """Snapshots of one month come late, those of another are corrected, and targets change."""
+    work = _work(m)
+    kept, cube = f"{work}/kpi/CELDAS_INVENTARIO", f"{work}/kpi/CUBO_INVENTARIO_MV"
+    fact = cells.stock_rows(m.fact("inventario"))
+    late, wrong = F.expr("id_fecha div 100 = 200005"), F.expr("id_fecha div 100 = 199803")
+    mistaken = cells.stock_rows(fact.where(wrong).withColumn("stock_disponible", F.col("stock_disponible") * 0))
+    targets = m.fact("metas_operativo")
+    then = targets.withColumn("meta_quiebre_pct", F.when(F.col("periodo") == 199611, F.lit(99)).otherwise(
+        F.col("meta_quiebre_pct")).cast(targets.schema["meta_quiebre_pct"].dataType))
+    before = m.with_table("fact", "metas_operativo", then)
+    refresh.store_cube(cells.cells(fact.where(~late & ~wrong).unionByName(mistaken), cells.STOCK), kept)
+    build = lambda star: lambda of: cubes.inventory_additive(star.with_fact("inventario", of), of_cells=True)
+    refresh.publish(m.spark, kept, cube, cells.STOCK, build(before))
+
+    rows = cells.signed(fact.where(late | wrong), 1).unionByName(cells.signed(mistaken, -1))
+    months = set(refresh.refresh_cells(
+        m.spark, kept, cells.cells(rows, cells.STOCK), cells.STOCK, token="delivery-1"))
+    months |= {r[0] for r in cells.changed_keys(then.drop("id_meta_op"), targets.drop("id_meta_op"), "periodo").collect()}
+    refresh.publish(m.spark, kept, cube, cells.STOCK, build(m), months)
+    return tables.read_table(m.spark, cube)

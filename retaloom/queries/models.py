@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from retaloom.functions.numbers import rounded
 from retaloom.plans import forecast, panel, segment, series
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio, rm
@@ -284,12 +285,12 @@ def _models(daily):
 
 @query("forecast_fit_eval_plain")
 def fit_eval_plain(m):
-    return forecast.evaluate(forecast.fit(series.sales_only(_series(m))))
+    return forecast.evaluate(forecast.fit(series.sales_only(_daily(m))))
 
 
 @query("forecast_90d_plain")
 def forecast_plain(m):
-    return forecast.forecast(forecast.fit(series.sales_only(_series(m))))
+    return forecast.forecast(forecast.fit(series.sales_only(_daily(m))))
 
 
 @query("forecast_explain")
@@ -301,7 +302,7 @@ def forecast_explain(m):
 
 @query("forecast_fit_eval")
 def fit_eval(m):
-    return forecast.evaluate(_models(_series(m)))
+    return forecast.evaluate(_models(_daily(m)))
 
 
 @query("forecast_90d")
@@ -318,6 +319,71 @@ def what_if(m):
     return forecast.forecast_with(_models(daily), plan, XREGS)
 
 
+_DESIGN = [*[f"CAST(isodow(ds) = {i + 1} AS INT)" for i in range(7)],
+           *[f"CASE WHEN dias >= 730 THEN CAST(ROUND({f}((ds - DATE '2000-01-01') * {k * 2 * 3.141592653589793 / 365.25!r}), 6)"
+             f" AS DECIMAL(8,6)) ELSE 0 END" for k in (1, 2) for f in ("sin", "cos")],
+           "CAST(x AS DECIMAL(16,2))", "CAST(h AS DECIMAL(16,2))", "CAST(y AS DECIMAL(16,2))"]
+
+
+def _elimination(k: int) -> str:
+    """Coefficients by elimination, a step per column: rows (id_canal, i, j, v) of the matrix."""
+    columns = ", ".join(f"{e} AS c{n}" for n, e in enumerate(_DESIGN))
+    sums = " UNION ALL ".join(
+        f"SELECT id_canal, {i} AS i, {j} AS j, CAST(SUM(c{i} * c{j}) AS DOUBLE) AS v FROM diseno GROUP BY 1"
+        for i in range(k) for j in range(k + 1))
+    steps = "".join(f""",
+  m{p + 1} AS MATERIALIZED (
+    SELECT m.id_canal, m.i, m.j, CASE
+             WHEN piv.v > 1e-9 * d.v THEN CASE WHEN m.i = {p} THEN m.v / piv.v ELSE m.v - col.v * (lin.v / piv.v) END
+             WHEN m.i = {p} OR m.j = {p} THEN 0 ELSE m.v END AS v
+    FROM m{p} m
+    JOIN (SELECT id_canal, v FROM m{p} WHERE i = {p} AND j = {p}) piv ON m.id_canal = piv.id_canal
+    JOIN (SELECT id_canal, v FROM m0 WHERE i = {p} AND j = {p}) d ON m.id_canal = d.id_canal
+    JOIN (SELECT id_canal, i, v FROM m{p} WHERE j = {p}) col ON m.id_canal = col.id_canal AND m.i = col.i
+    JOIN (SELECT id_canal, j, v FROM m{p} WHERE i = {p}) lin ON m.id_canal = lin.id_canal AND m.j = lin.j)"""
+                    for p in range(k))
+    return f"""{_SERIES},
+  diseno AS MATERIALIZED (
+    SELECT id_canal, {columns} FROM (
+      SELECT *, MAX(ds) OVER (PARTITION BY id_canal) - MIN(ds) OVER (PARTITION BY id_canal) + 1 AS dias FROM serie)),
+  m0 AS MATERIALIZED ({sums}){steps},
+  pend AS (SELECT id_canal, MAX(v) FILTER (i = {k - 2}) AS px, MAX(v) FILTER (i = {k - 1}) AS ph
+           FROM m{k} WHERE j = {k} GROUP BY 1)"""
+
+
+_SLOPES = _elimination(len(_DESIGN) - 1)
+
+
+@query("forecast_slopes", f"""
+SELECT * FROM (WITH {_SLOPES}
+  SELECT id_canal, (SELECT COUNT(*) FROM serie s WHERE s.id_canal = pend.id_canal) AS n,
+         {r('px', 6)} AS inversion_promo, {r('ph', 4)} AS es_feriado FROM pend) AS q""")
+def regression_slopes(m):
+    found = forecast.slopes(forecast.regression(_daily(m), regressors=XREGS), XREGS)
+    return found.select("id_canal", "n", rounded("inversion_promo", 6).alias("inversion_promo"),
+                        rounded("es_feriado", 4).alias("es_feriado"))
+
+
+@query("forecast_what_if_effect", f"""
+SELECT * FROM (WITH {_SLOPES},
+  ahead AS (SELECT id_canal, CAST(unnest(generate_series(MAX(ds) + INTERVAL 1 DAY,
+              MAX(ds) + INTERVAL 90 DAY, INTERVAL 1 DAY)) AS DATE) AS ds FROM serie GROUP BY 1),
+  promo AS (SELECT id_canal, month(ds) AS mes, {ratio('SUM(x)', 'COUNT(x)')} AS p FROM serie GROUP BY 1, 2)
+  SELECT a.id_canal, a.ds AS forecast_timestamp, {r('px * COALESCE(p.p, 0)', 3)} AS efecto
+  FROM ahead a JOIN pend ON a.id_canal = pend.id_canal
+  LEFT JOIN promo p ON a.id_canal = p.id_canal AND month(a.ds) = p.mes) AS q""")
+def what_if_effect(m):
+    """What doubling the planned spend adds to each day: one model, two plans."""
+    daily = _daily(m)
+    models = as_table(_models(daily), "models")
+    plan = series.future_regressors(daily)
+    double = plan.withColumn("inversion_promo", F.col("inversion_promo") * 2)
+    keys, value = ["id_canal", "forecast_timestamp"], "forecast_value"
+    usual = forecast.forecast_with(models, plan, XREGS).select(*keys, value)
+    more = forecast.forecast_with(models, double, XREGS).select(*keys, F.col(value).alias("_more"))
+    return usual.join(more, keys).select(*keys, rounded(F.col("_more") - F.col(value), 3).alias("efecto"))
+
+
 def _named(m):
     return forecast.named_forecast(forecast_90(m), m.dim("canal"))
 

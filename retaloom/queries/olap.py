@@ -13,17 +13,17 @@ _COM_MONEY = (
     "monto_devuelto", "meta_ventas_netas", "meta_margen_bruto", "meta_margen_pct",
     "meta_ticket_promedio", "meta_frecuencia_compra", "meta_roi_pct", "meta_tasa_devolucion",
 )
-_COM = ", ".join([f"{d(c)} AS {c}" for c in _COM_MONEY]
+COMMERCIAL_TYPES = ", ".join([f"{d(c)} AS {c}" for c in _COM_MONEY]
                  + [f"{b(c)} AS {c}" for c in ("cantidad_vendida", "unidades_devueltas")])
-_INV = ", ".join(f"{d(c)} AS {c}" for c in cubes.OPERATIONAL_TARGETS)
+INVENTORY_TYPES = ", ".join(f"{d(c)} AS {c}" for c in cubes.OPERATIONAL_TARGETS)
 
 
-@query("cube_commercial", f"SELECT * REPLACE ({_COM}) FROM cubo_comercial")
+@query("cube_commercial", f"SELECT * REPLACE ({COMMERCIAL_TYPES}) FROM cubo_comercial")
 def commercial(m):
     return m.commercial
 
 
-@query("cube_commercial_without_target", f"SELECT * REPLACE ({_COM}) FROM cubo_comercial_left")
+@query("cube_commercial_without_target", f"SELECT * REPLACE ({COMMERCIAL_TYPES}) FROM cubo_comercial_left")
 def commercial_left(m):
     return cubes.commercial(m, how="left")
 
@@ -40,13 +40,13 @@ def invoices_dedup(m):
     return cubes.invoices_deduplicated(m)
 
 
-@query("cube_inventory", f"SELECT * REPLACE ({_INV}) FROM cubo_inventario")
+@query("cube_inventory", f"SELECT * REPLACE ({INVENTORY_TYPES}) FROM cubo_inventario")
 def inventory(m):
     return m.inventory
 
 
 @query("cube_inventory_additive", f"""
-SELECT * REPLACE ({_INV}, {d('demanda_diaria_total')} AS demanda_diaria_total)
+SELECT * REPLACE ({INVENTORY_TYPES}, {d('demanda_diaria_total')} AS demanda_diaria_total)
 FROM cubo_inventario_aditivo""")
 def inventory_additive(m):
     return cubes.inventory_additive(m)
@@ -67,22 +67,22 @@ _CHANNEL_LEVELS = ["tipo_canal", "nombre_canal"]
 
 @query("rollup_time", _rollup_sql(_TIME_LEVELS))
 def rollup_time(m):
-    return roll_up(m.commercial, _TIME_LEVELS, ["ventas_netas"])
+    return roll_up(cubes.commercial(m, levels=_TIME_LEVELS), _TIME_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_product", _rollup_sql(_PRODUCT_LEVELS))
 def rollup_product(m):
-    return roll_up(m.commercial, _PRODUCT_LEVELS, ["ventas_netas"])
+    return roll_up(cubes.commercial(m, levels=_PRODUCT_LEVELS), _PRODUCT_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_geography", _rollup_sql(_PLACE_LEVELS))
 def rollup_geography(m):
-    return roll_up(m.commercial, _PLACE_LEVELS, ["ventas_netas"])
+    return roll_up(cubes.commercial(m, levels=_PLACE_LEVELS), _PLACE_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_channel", _rollup_sql(_CHANNEL_LEVELS))
 def rollup_channel(m):
-    return roll_up(m.commercial, _CHANNEL_LEVELS, ["ventas_netas"])
+    return roll_up(cubes.commercial(m, levels=_CHANNEL_LEVELS), _CHANNEL_LEVELS, ["ventas_netas"])
 
 
 @query("rollup_warehouse", _rollup_sql(_STORE_LEVELS, "cubo_inventario", "stock_disponible"))
@@ -94,7 +94,7 @@ def rollup_warehouse(m):
 SELECT anio_mes, categoria, {d('SUM(ventas_netas)')} AS ventas_netas
 FROM cubo_comercial WHERE categoria = 'PROMO' GROUP BY ALL""")
 def drill(m):
-    return kpis.drill_month(m.commercial, "PROMO")
+    return kpis.drill_month(cubes.commercial(m, levels=["anio_mes", "categoria"]), "PROMO")
 
 
 _SLICE = {"tipo_canal": ["moderno", "digital"], "macroregion": ["ASIA", "EUROPE"], "marca": []}
@@ -106,15 +106,14 @@ SELECT trimestre, linea_negocio, Departamento, {d('SUM(ventas_netas)')} AS venta
 FROM cubo_comercial
 WHERE tipo_canal IN ('moderno', 'digital') AND macroregion IN ('ASIA', 'EUROPE') GROUP BY ALL""")
 def slice_dice(m):
-    return keep_selected(m.commercial, _SLICE).groupBy(
-        "trimestre", "linea_negocio", "Departamento"
-    ).agg(total("ventas_netas").alias("ventas_netas"), total("margen_bruto").alias("margen_bruto"))
+    names = ["trimestre", "linea_negocio", "Departamento"]
+    return keep_selected(cubes.commercial(m, levels=[*names, *_SLICE]), _SLICE).groupBy(*names).agg(total("ventas_netas").alias("ventas_netas"), total("margen_bruto").alias("margen_bruto"))
 
 
 @query("filter_picker_values",
        "SELECT DISTINCT Departamento FROM cubo_comercial WHERE Departamento IS NOT NULL")
 def picker(m):
-    return picker_values(m.commercial, "Departamento")
+    return picker_values(cubes.commercial(m, levels=["Departamento"]), "Departamento")
 
 
 @query("margin_by_channel_year", f"""
@@ -123,7 +122,8 @@ SELECT nombre_canal, {d('SUM(ventas_netas)')} AS ventas_netas_total,
        {pct('SUM(margen_bruto)', 'SUM(ventas_netas)')} AS margen_pct
 FROM cubo_comercial WHERE anio = 2000 GROUP BY nombre_canal""")
 def margin(m):
-    return kpis.margin_by_channel(m.between("2000-01-01", "2000-12-31").commercial, 2000)
+    year = m.between("2000-01-01", "2000-12-31")
+    return kpis.margin_by_channel(cubes.commercial(year, levels=["anio", "nombre_canal"]), 2000)
 
 
 @query("sales_by_channel_and_quarter", f"""
@@ -131,7 +131,7 @@ SELECT anio, trimestre, {d('SUM(ventas_netas)')} AS ventas_netas,
        {d('SUM(margen_bruto)')} AS margen_bruto, {d('SUM(inversion_promo)')} AS inversion_promo
 FROM cubo_comercial GROUP BY ALL""")
 def by_quarter(m):
-    return m.commercial.groupBy("anio", "trimestre").agg(
+    return cubes.commercial(m, levels=["anio", "trimestre"]).groupBy("anio", "trimestre").agg(
         *[total(c).alias(c) for c in ("ventas_netas", "margen_bruto", "inversion_promo")]
     ).orderBy("anio", "trimestre")
 

@@ -2,42 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from uuid import uuid4
+from collections.abc import Callable, Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retaloom.functions.dates import period_key
+from retaloom.sources import commits
 
 MONTH = "periodo_particion"
 
 
-def _files(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
-    """Write beside the table, then put the new folder in its place.
-
-    If the write fails, the table stays as it was and what was written goes away. Between
-    the two renames the table is absent for a moment; its rows are never half there.
-    """
-    new, old = f"{path}.new-{uuid4().hex}", f"{path}.old-{uuid4().hex}"
-    files, target = _files(spark, path)
-    fresh, before = _files(spark, new)[1], _files(spark, old)[1]
-    try:
-        write(new)
-    except Exception:
-        files.delete(fresh, True)
-        raise
-    if files.exists(target):
-        files.rename(target, before)
-    files.rename(fresh, target)
-    files.delete(before, True)
-
-
 def write_table(df: DataFrame, path: str, by_date: str | None = None) -> None:
     """Replace a table. ``by_date`` lays it out in one folder per month of that date.
 
@@ -47,34 +21,26 @@ def write_table(df: DataFrame, path: str, by_date: str | None = None) -> None:
     """
     if by_date:
         df = df.withColumn(MONTH, period_key(F.col(by_date)))
-        write_table_by(df, path, MONTH)
-    else:
-        _replace(df.sparkSession, path, df.write.parquet)
+    commits.replace(df, path, MONTH if by_date else None)
 
 
 def write_table_by(df: DataFrame, path: str, by: str) -> None:
     """Replace a table, one folder per value of a column it has already."""
-    laid = df.hint("rebalance", by).write.partitionBy(by)
-    _replace(df.sparkSession, path, laid.parquet)
-
-
-def replace_partitions(df: DataFrame, path: str, by: str) -> None:
-    """Overwrite exactly the partitions that occur in ``df``."""
-    (
-        df.hint("rebalance", by).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
-    )
+    commits.replace(df, path, by)
 
 
-def drop_partition(spark: SparkSession, path: str, by: str, value: object) -> None:
-    files, folder = _files(spark, f"{path}/{by}={value}")
-    if files.exists(folder):
-        files.delete(folder, True)
+def replace_partitions(
+    df: DataFrame, path: str, by: str,
+    gone: Callable[[set[str]], Iterable[str]] | None = None, token: str | None = None,
+) -> None:
+    """Overwrite exactly the partitions that occur in ``df``, all at once, and drop those that
+    ``gone`` names when given the values written."""
+    commits.replace_parts(df, path, by, gone, token)
 
 
 def read_table(spark: SparkSession, path: str, tag: bool = False) -> DataFrame:
     """A stored table; ``tag`` adds a deterministic value per stored row."""
-    df = spark.read.parquet(path)
+    df = commits.read(spark, path)
     if tag:
         row = F.xxhash64("_metadata.file_path", "_metadata.row_index")
         df = df.select("*", row.alias("_tag"))
@@ -86,7 +52,7 @@ def read_days(spark: SparkSession, path: str, date: str, first: str, last: str)
     low, high = (int(d[:4]) * 100 + int(d[5:7]) for d in (first, last))
     day = F.col(date)
     return (
-        spark.read.parquet(path)
+        commits.read(spark, path)
         .where(F.col(MONTH).between(low, high))
         .where(day.between(F.lit(first).cast("date"), F.lit(last).cast("date")))
         .drop(MONTH)
@@ -94,14 +60,10 @@ def read_days(spark: SparkSession, path: str, date: str, first: str, last: str)
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path)
-        return True
-    except AnalysisException:
-        return False
+    return commits.latest(spark, path) is not None
 
 
-def create_empty(spark: SparkSession, path: str, schema: str) -> None:
+def create_empty(spark: SparkSession, path: str, schema: str, by: str | None = None) -> None:
     """A table with the right columns and no rows, unless it is there already."""
     if not exists(spark, path):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+        commits.replace(spark.createDataFrame([], schema), path, by)

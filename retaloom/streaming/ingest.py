@@ -1,7 +1,7 @@
 """Incremental load of dated deliveries, as a batch and as a stream.
 
-A load writes whole delivery dates: it reads every file of a new date and
-overwrites the partition of that date, then records the committed row counts per
+A load writes whole delivery dates: it reads every file of the new dates and
+replaces their partitions in one commit, then records the committed row counts per
 file. Repeating a load after a crash at any point gives the same table and no
 second audit row for a date that was recorded.
 """
@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from retaloom.plans.audit import ERROR, OK, AuditLog
@@ -27,16 +27,13 @@ def _same(path: Column) -> Column:
 
 def _load(spark: SparkSession, source: str, files: DataFrame, paths: list[str], dates: list[date],
           schema: str, table: str, log: AuditLog) -> None:
-    seen = Observation()
     rows = landing.read_files(spark, paths, schema)
-    tables.replace_partitions(
-        rows.observe(seen, F.collect_set(PARTITION).alias("dates")), table, PARTITION)
     # A date delivered without rows replaces what it had before by nothing.
-    for day in set(dates) - set(seen.get["dates"] or []):
-        tables.drop_partition(spark, table, PARTITION, day.isoformat())
+    tables.replace_partitions(
+        rows, table, PARTITION, gone=lambda there: {d.isoformat() for d in dates} - there)
     # counted from the committed partitions of these dates only
     counts = (
-        spark.read.schema(rows.schema).parquet(table).where(F.col(PARTITION).isin(dates))
+        tables.read_table(spark, table).where(F.col(PARTITION).isin(dates))
         .groupBy(_same(F.col("archivo_origen")).alias("_file"))
         .agg(F.count(F.lit(1)).alias("registros_cargados"))
     )
@@ -139,7 +136,7 @@ def snapshot(spark: SparkSession, path: str, name: str, schema: str, table: str,
     """Replace a master by its current file."""
     try:
         tables.write_table(landing.read_master(spark, path, schema), table)
-        n = spark.read.parquet(table).count()  # from file footers
+        n = tables.read_table(spark, table).count()  # from file footers
         log.append([{"tabla_destino": name, "archivo_origen": path, "tipo": "SNAPSHOT",
                      "estado": OK, "registros_cargados": n}])
         return True

@@ -141,7 +141,7 @@ class Box:
                      **kw).awaitTermination()
 
     def rows(self):
-        return sorted((r.id, r.fecha_carga) for r in self.spark.read.parquet(self.table).collect())
+        return sorted((r.id, r.fecha_carga) for r in tables.read_table(self.spark, self.table).collect())
 
     def audit(self):
         return sorted((str(r.fecha_particion), r.estado, r.registros_cargados)
@@ -245,7 +245,7 @@ def test_refresh_replaces_changed_months_and_drops_empty_ones(spark, tmp_path):
     make = lambda rows: spark.createDataFrame(rows, "periodo bigint, v bigint")
     refresh.store_cube(make([(202401, 1), (202402, 2), (202403, 3)]), where)
     refresh.refresh(spark, where, lambda p: make([(202402, 20)]), [202402, 202403])
-    assert sorted((r.periodo, r.v) for r in spark.read.parquet(where).collect()) == [
+    assert sorted((r.periodo, r.v) for r in tables.read_table(spark, where).collect()) == [
         (202401, 1), (202402, 20)]
 
 
@@ -266,7 +266,7 @@ def test_cube_follows_a_stream_of_changes(spark, tmp_path):
     follow()
     add([(D(2024, 2, 6), 10)])
     follow()
-    assert sorted((r.periodo, r.v) for r in spark.read.parquet(where).collect()) == [
+    assert sorted((r.periodo, r.v) for r in tables.read_table(spark, where).collect()) == [
         (202401, 1), (202402, 12)]
 
 
@@ -277,7 +277,7 @@ def test_a_failing_write_keeps_the_table(spark, tmp_path):
         F.raise_error(F.lit("no"))).alias("id"))
     with pytest.raises(Exception, match="no"):
         tables.write_table(broken, where)
-    assert spark.read.parquet(where).count() == 5
+    assert tables.read_table(spark, where).count() == 5
     assert [p.name for p in tmp_path.iterdir() if p.is_dir()] == ["t"]
 
 
@@ -290,6 +290,6 @@ def test_a_date_delivered_empty_loses_its_rows(spark, tmp_path):
     load()
     put(str(tmp_path / "in/s/20240101/a.csv"), "k,v")
     load(replace=True)
-    assert [r.k for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [3]
+    assert [r.k for r in tables.read_table(spark, str(tmp_path / "t")).collect()] == [3]
     last = log.read().where("fecha_particion = '2024-01-01'").orderBy(F.desc("fecha_carga")).first()
     assert (last.estado, last.registros_cargados) == (audit.OK, 0)

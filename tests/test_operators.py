@@ -167,3 +167,25 @@ def test_class_weights_and_first_lag(spark):
     assert weights == {0: 0.75, 1: 1.5}
     dense = {r.id_fecha: r.stock_disponible for r in panel.densify(fact).collect()}
     assert dense == {20240101: 5, 20240201: 0, 20240301: None, 20240401: 7}
+
+
+def test_digests_that_collide_keep_their_cells(spark):
+    dim = spark.createDataFrame(
+        [(1, "a", None), (2, "a", None), (3, None, "a"), (4, "b", "c"), (4, "b", "d")], "k bigint, x string, y string")
+    fact = spark.createDataFrame([(1, 5), (2, 7), (3, 1), (4, 2), (4, 3), (9, 9)], "k bigint, v bigint")
+    one = Dim(dim, "k", ["x", "y"], digest=lambda names: F.lit(7).cast("bigint"))
+    cube = star_cube(fact, [one], [F.sum("v").alias("v")])
+    assert {tuple(r) for r in cube.collect()} == {("a", None, 12), (None, "a", 1), ("b", "c", 5), ("b", "d", 5)}
+
+
+def test_cube_of_some_levels_equals_its_roll_up(spark):
+    dim = spark.createDataFrame([(1, "a", "p"), (2, "a", "q"), (3, None, "q")], "k bigint, x string, y string")
+    other = spark.createDataFrame([(1, "m"), (1, "m"), (2, "n")], "o bigint, z string")  # 1 is there twice
+    fact = spark.createDataFrame([(i % 4, i % 3, i) for i in range(100)], "k bigint, o bigint, v bigint")
+    dims = [Dim(dim, "k", ["x", "y"]), Dim(other, "o", ["z"])]
+    whole = star_cube(fact, dims, [F.sum("v").alias("v")])
+    for levels in (["x"], ["y", "z"], []):
+        some = star_cube(fact, dims, [F.sum("v").alias("v")], levels)
+        want = whole.groupBy(*levels).agg(F.sum("v").alias("v"))
+        assert some.columns == [*levels, "v"]
+        assert sorted(map(tuple, some.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
