@@ -9,14 +9,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from retaloom import schemas
 from retaloom.medallion import Medallion
-from retaloom.plans import audit, calendar, cubes, curated, forecast, panel, segment, series, trusted
+from retaloom.plans import audit, calendar, cells, cubes, curated, forecast, panel, segment, series, trusted
 from retaloom.sources import tables
-from retaloom.streaming import ingest
+from retaloom.streaming import ingest, refresh
 
 XREGS = ("inversion_promo", "es_feriado")
 
@@ -125,12 +126,18 @@ CUBES: dict[str, Callable[[Medallion], DataFrame]] = {
     "CUBO_FACTURAS_TBL": cubes.invoices,
     "CUBO_INVENTARIO_TBL": cubes.inventory,
 }
-# cubes kept fresh by partition refresh: additive measures only
-REFRESHED: dict[str, Callable[[Medallion], DataFrame]] = {
-    "CUBO_COMERCIAL_MV": cubes.commercial,
-    "CUBO_FACTURAS_MV": cubes.invoices_deduplicated,
-    "CUBO_INVENTARIO_MV": cubes.inventory_additive,
+# facts added up by their keys, and the cubes that are made of them; additive measures only
+CELLS: dict[str, tuple[cells.Shape, Callable[[Medallion], DataFrame]]] = {
+    "CELDAS_VENTAS": (cells.SALES, lambda star: star.fact("ventas")),
+    "CELDAS_INVENTARIO": (cells.STOCK, lambda star: cells.stock_rows(star.fact("inventario"))),
 }
+OF_CELLS: dict[str, tuple[str, Callable[[Medallion, DataFrame], DataFrame]]] = {
+    "CUBO_COMERCIAL_MV": ("CELDAS_VENTAS", lambda star, of: cubes.commercial(star.with_fact("ventas", of))),
+    "CUBO_INVENTARIO_MV": ("CELDAS_INVENTARIO", lambda star, of: cubes.inventory_additive(
+        star.with_fact("inventario", of), of_cells=True)),
+}
+# kept fresh by the months of new sales: an invoice is counted, not added up
+BY_MONTH: dict[str, Callable[[Medallion], DataFrame]] = {"CUBO_FACTURAS_MV": cubes.invoices_deduplicated}
 
 
 def stored_star(spark: SparkSession, cfg: Config) -> StoredMedallion:
@@ -139,9 +146,59 @@ def stored_star(spark: SparkSession, cfg: Config) -> StoredMedallion:
 
 def run_kpi(spark: SparkSession, cfg: Config) -> None:
     star, log = stored_star(spark, cfg), audit_log(spark, cfg, "kpi")
-    for table, build in {**CUBES, **REFRESHED}.items():
-        audit.run_step(log, table, "FULL_REFRESH", lambda: build(star),
-                       lambda df: tables.write_table_by(df, path(cfg, "kpi", table), "periodo"))
+    step = lambda table, make: audit.run_step(
+        log, table, "FULL_REFRESH", make, lambda df: tables.write_table_by(df, path(cfg, "kpi", table), "periodo"))
+    for table, build in {**CUBES, **BY_MONTH}.items():
+        step(table, lambda: build(star))
+    for table, (shape, rows) in CELLS.items():
+        step(table, lambda: cells.cells(rows(star), shape))
+    for table, (kept, build) in OF_CELLS.items():
+        step(table, lambda: build(star, cells.as_fact(
+            tables.read_table(spark, path(cfg, "kpi", kept)), CELLS[kept][0])))
+
+
+def refresh_kpi(spark: SparkSession, cfg: Config, loaded: Iterable[date], attributes: bool = False) -> None:
+    """Brings the kept cubes up to deliveries that are new, after the layers below have taken them in.
+
+    Cells get what the deliveries add: their sales and snapshots, and what their returns change on
+    older sales. Only months with a change are read and published, those with new targets too;
+    ``attributes`` publishes all months, for deliveries that change masters. Running it again for the
+    same dates adds nothing. A date that replaced an earlier delivery needs ``run_kpi``.
+    """
+    star, log = stored_star(spark, cfg), audit_log(spark, cfg, "kpi")
+    days = sorted(set(loaded))
+    if not days:
+        return
+    token = ",".join(d.isoformat() for d in days)
+    of = lambda name: star.trusted(name)
+    new = F.col("fecha_carga_raw").isin(days)
+    sales, returns = of("ventas"), of("devoluciones")
+    before = curated.fact_ventas(sales.where(~new), returns.where(~new))
+    changes = {
+        "CELDAS_VENTAS": lambda: cells.sales_change(
+            curated.fact_ventas(sales.where(new), returns), late=cells.returns_change(before, returns.where(new))),
+        "CELDAS_INVENTARIO": lambda: cells.cells(
+            cells.stock_rows(curated.fact_inventario(of("inventario").where(new))), cells.STOCK),
+    }
+    targets = {"CELDAS_VENTAS": "metas", "CELDAS_INVENTARIO": "metas_operativas"}
+    sold: set[int] = set()
+    for table, (kept, build) in OF_CELLS.items():
+        shape, where = CELLS[kept][0], path(cfg, "kpi", kept)
+
+        def bring_up():
+            months = set(refresh.refresh_cells(spark, where, changes[kept](), shape, token))
+            sold.update(months if kept == "CELDAS_VENTAS" else ())
+            goals = of(targets[kept]).where(new).select("periodo").distinct()
+            months |= {r[0] for r in goals.collect()}  # one per calendar month at most
+            refresh.publish(spark, where, path(cfg, "kpi", table), shape, lambda rows: build(star, rows),
+                            None if attributes else months)
+
+        audit.run_action(log, table, "REFRESH", bring_up)
+    for table, build in BY_MONTH.items():
+        fact = star.fact("ventas")
+        rows = lambda months: build(star.with_fact("ventas", fact.where(F.expr("id_fecha div 100").isin(months))))
+        audit.run_action(log, table, "REFRESH", lambda: refresh.refresh(
+            spark, path(cfg, "kpi", table), rows, sorted(sold)))
 
 
 def create_views(spark: SparkSession, cfg: Config) -> None:
@@ -171,7 +228,7 @@ def run_predictive(spark: SparkSession, cfg: Config) -> None:
     ahead = lambda: forecast.forecast(models(), cfg.horizon, cfg.confidence)
     step("eval_ventas_forecast", "EVALUATE", lambda: forecast.evaluate(models()))
     step("explain_ventas_forecast", "EVALUATE", lambda: forecast.explain(
-        series.decompose(stored("train_ventas_forecast")), models(), ahead()))
+        series.components(stored("train_ventas_forecast")), ahead()))
     step("pred_ventas_forecast", "PREDICT", ahead)
 
     step("train_quiebre_stock", "TRAIN", lambda: panel.lag_features(

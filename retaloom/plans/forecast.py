@@ -19,7 +19,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
 from retaloom.functions.numbers import mean, rounded, rounded_money
-from retaloom.plans import regress
+from retaloom.plans import calendar, regress, series
 from retaloom.plans.regress import EPOCH, YEAR
 from retaloom.session import as_table
 
@@ -309,28 +309,38 @@ def same_weekday(series: DataFrame, value: str = "ventas_netas_soles", weeks: in
         F.max(exact).alias("prediction_interval_upper_bound"))
 
 
-def explain(history: DataFrame, models: DataFrame, predicted: DataFrame) -> DataFrame:
-    """Components of past days, and value with band of the days ahead, in one table.
+def explain(history: DataFrame, predicted: DataFrame) -> DataFrame:
+    """Parts of past days, and of the days ahead with their band, in one table.
 
-    ``history`` is a decomposition. The weekday effect ahead comes from the model.
+    ``history`` are components. A part means the same in both halves: the weekday part ahead is that
+    of the past, the step part stays where the past left it, holidays add what they added, and
+    the trend is the rest of the forecast. Spikes and remainders are not foreseen.
     """
+    double = lambda names: [F.col(c).cast("double").alias(c) for c in names]
     past = history.select(
-        "id_canal", F.col("ds").alias("fecha"), F.lit("history").alias("tipo"),
-        F.col("valor").cast("double").alias("valor"),
-        F.col("tendencia").cast("double").alias("tendencia"),
-        F.col("estacionalidad").cast("double").alias("estacionalidad"),
-        F.col("residuo").cast("double").alias("residuo"),
-    )
-    week = models.select("id_canal", "weekday")
-    level = F.expr("aggregate(weekday, 0D, (a, x) -> a + x) / 7")
-    effect = F.element_at("weekday", F.weekday("forecast_timestamp") + 1) - level
-    ahead = predicted.join(week, "id_canal").select(
-        "id_canal", F.col("forecast_timestamp").alias("fecha"), F.lit("forecast").alias("tipo"),
-        F.col("forecast_value").alias("valor"),
-        (F.col("forecast_value") - effect).alias("tendencia"),
-        effect.alias("estacionalidad"), F.lit(0.0).alias("residuo"),
-    )
-    return past.unionByName(ahead)
+        "id_canal", F.col("ds").alias("fecha"), F.lit("history").alias("tipo"), *double(["valor", *series.PARTS]),
+        *[F.lit(None).cast("double").alias(c) for c in ("lim_inf", "lim_sup")])
+    # One row per series and weekday, and one per series.
+    week = history.groupBy("id_canal", F.weekday("ds").alias("_wd")).agg(F.max("estacionalidad").alias("estacionalidad"))
+    last = history.groupBy("id_canal").agg(
+        F.max_by("escalon", "ds").alias("escalon"),
+        F.max(F.when(F.col("feriado") != 0, F.col("feriado"))).alias("_special"))
+    special = calendar.holidays(predicted.select(F.col("forecast_timestamp").alias("fecha")).distinct())
+    zero = lambda c: F.coalesce(c.cast("double"), F.lit(0.0))
+    ahead = (
+        predicted.withColumn("_wd", F.weekday("forecast_timestamp"))
+        .join(week, ["id_canal", "_wd"], "left").join(last, "id_canal", "left")
+        .join(special.select(F.col("fecha").alias("forecast_timestamp"), F.lit(True).alias("_is")).distinct(),
+              "forecast_timestamp", "left")
+        .select(
+            "id_canal", F.col("forecast_timestamp").alias("fecha"), F.lit("forecast").alias("tipo"),
+            F.col("forecast_value").alias("valor"), zero(F.col("estacionalidad")).alias("estacionalidad"),
+            zero(F.when(F.col("_is"), F.col("_special"))).alias("feriado"), F.lit(0.0).alias("pico"),
+            zero(F.col("escalon")).alias("escalon"), F.lit(0.0).alias("residuo"),
+            F.col("prediction_interval_lower_bound").alias("lim_inf"),
+            F.col("prediction_interval_upper_bound").alias("lim_sup")))
+    parts = F.col("estacionalidad") + F.col("feriado") + F.col("escalon")
+    return past.unionByName(ahead.withColumn("tendencia", F.col("valor") - parts))
 
 
 # -- reports ------------------------------------------------------------------------

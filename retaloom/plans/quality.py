@@ -25,48 +25,53 @@ def _share(c: Column, name: str) -> Column:
     return percent(F.count_if(c), F.count(F.lit(1)), 2).alias(name)
 
 
+def _over(df: DataFrame | None, measures: list[Column]) -> DataFrame | list[Column]:
+    """The measures of a frame; without one the measures themselves, to be taken with others."""
+    return measures if df is None else df.agg(*measures)
+
+
 # -- sales --------------------------------------------------------------------------
 
 
-def v01_state_counts(ventas: DataFrame) -> DataFrame:
+def v01_state_counts(ventas: DataFrame | None) -> DataFrame | list[Column]:
     state = F.col("estado_linea")
-    return ventas.agg(
+    return _over(ventas, [
         F.count(F.lit(1)).alias("total_filas"),
         _n(state == DUPLICATE_STATE, "filas_duplicado"),
         _n(state == "ACTIVO", "filas_activo"),
         _n(~state.isin("ACTIVO", DUPLICATE_STATE), "filas_estado_invalido"),
         _share(state == DUPLICATE_STATE, "pct_duplicado"),
-    )
+    ])
 
 
-def v02_suffix(ventas: DataFrame) -> DataFrame:
+def v02_suffix(ventas: DataFrame | None) -> DataFrame | list[Column]:
     state = F.col("estado_linea")
     marked = F.col("id_linea_venta").cast("string").endswith(DUPLICATE_SUFFIX)
-    return ventas.agg(
+    return _over(ventas, [
         _n((state == DUPLICATE_STATE) & marked, "duplicados_con_sufijo_dup"),
         _n((state == DUPLICATE_STATE) & ~marked, "duplicados_sin_sufijo_dup"),
         _n((state == "ACTIVO") & marked, "activos_con_sufijo_dup"),
-    )
+    ])
 
 
-def v03_ranges(ventas: DataFrame) -> DataFrame:
-    off = F.col("descuento_pct").cast("double")
-    return ventas.where(F.col("estado_linea") == "ACTIVO").agg(
-        _n(F.col("cantidad_vendida").cast("bigint") <= 0, "cant_vendida_cero_o_neg"),
-        _n(F.col("precio_unitario_soles").cast("double") <= 0, "precio_unitario_cero_o_neg"),
-        _n(F.col("precio_lista_soles").cast("double") <= 0, "precio_lista_cero_o_neg"),
-        _n(F.col("ventas_netas_soles").cast("double") < 0, "ventas_netas_negativas"),
-        _n((off < 0) | (off > 100), "descuento_pct_fuera_rango"),
-    )
+def v03_ranges(ventas: DataFrame | None) -> DataFrame | list[Column]:
+    off, active = F.col("descuento_pct").cast("double"), F.col("estado_linea") == "ACTIVO"
+    return _over(ventas, [
+        _n(active & (F.col("cantidad_vendida").cast("bigint") <= 0), "cant_vendida_cero_o_neg"),
+        _n(active & (F.col("precio_unitario_soles").cast("double") <= 0), "precio_unitario_cero_o_neg"),
+        _n(active & (F.col("precio_lista_soles").cast("double") <= 0), "precio_lista_cero_o_neg"),
+        _n(active & (F.col("ventas_netas_soles").cast("double") < 0), "ventas_netas_negativas"),
+        _n(active & ((off < 0) | (off > 100)), "descuento_pct_fuera_rango"),
+    ])
 
 
 # -- dispatches -----------------------------------------------------------------------
 
 
-def v04_null_rates(fill_rate: DataFrame) -> DataFrame:
+def v04_null_rates(fill_rate: DataFrame | None) -> DataFrame | list[Column]:
     rejected = F.col("flag_in_full").cast("bigint") == 0
     carrier, reason = F.col("transportista").isNull(), F.col("motivo_rechazo").isNull()
-    return fill_rate.agg(
+    return _over(fill_rate, [
         F.count(F.lit(1)).alias("total_filas"),
         _n(carrier, "transportista_null"),
         _share(carrier, "pct_transportista_null"),
@@ -74,80 +79,84 @@ def v04_null_rates(fill_rate: DataFrame) -> DataFrame:
         _n(rejected & reason, "motivo_rechazo_null_en_rechazos"),
         percent(F.count_if(rejected & reason), F.count_if(rejected), 2)
         .alias("pct_motivo_null_sobre_rechazos"),
-    )
+    ])
 
 
-def v05_otif(fill_rate: DataFrame) -> DataFrame:
+def v05_otif(fill_rate: DataFrame | None) -> DataFrame | list[Column]:
     on = {c: F.col(c).cast("bigint") == 1 for c in ("flag_otif", "flag_on_time", "flag_in_full")}
     both = on["flag_on_time"] & on["flag_in_full"]
-    return fill_rate.agg(
+    return _over(fill_rate, [
         F.count(F.lit(1)).alias("total_filas"),
         _n(on["flag_otif"], "otif_positivos"),
         _n(both, "on_time_and_in_full"),
         _n(on["flag_otif"] & ~both, "otif_inconsistente"),
         _share(on["flag_otif"], "pct_otif"),
-    )
+    ])
 
 
 # -- stock ----------------------------------------------------------------------------
 
 
-def v06_signs(inventario: DataFrame) -> DataFrame:
+def v06_signs(inventario: DataFrame | None) -> DataFrame | list[Column]:
     stock = F.col("stock_disponible").cast("bigint")
-    return inventario.agg(
+    return _over(inventario, [
         F.count(F.lit(1)).alias("total_filas"),
         _n(stock < 0, "stock_negativo"),
         _n(stock == 0, "stock_cero"),
         _n(stock > 0, "stock_positivo"),
         _share(stock < 0, "pct_stock_negativo"),
-    )
+    ])
 
 
-def v07_adjustment_flag(inventario: DataFrame) -> DataFrame:
+def v07_adjustment_flag(inventario: DataFrame | None) -> DataFrame | list[Column]:
     negative = F.col("stock_disponible").cast("bigint") < 0
     flag = F.col("flag_ajuste_pendiente")
-    return inventario.agg(
+    return _over(inventario, [
         _n(negative, "stock_negativo_total"),
         _n(negative & (flag == "S"), "neg_con_flag_ajuste_s"),
         _n(negative & (flag == "N"), "neg_con_flag_ajuste_n"),
         _n(negative & flag.isNull(), "neg_con_flag_ajuste_null"),
-    )
+    ])
 
 
 # -- masters --------------------------------------------------------------------------
 
 
-def v08_customer_nulls(clientes: DataFrame) -> DataFrame:
-    return clientes.agg(
+def v08_customer_nulls(clientes: DataFrame | None) -> DataFrame | list[Column]:
+    return _over(clientes, [
         F.count(F.lit(1)).alias("total_clientes"),
         _n(F.col("direccion_fiscal").isNull(), "direccion_null"),
         _share(F.col("direccion_fiscal").isNull(), "pct_direccion_null"),
         _n(F.col("distrito").isNull(), "distrito_null"),
         _n(F.col("telefono").isNull(), "telefono_null"),
         _n(F.col("email_contacto").isNull(), "email_null"),
-    )
+    ])
 
 
-def v09_cohorts(clientes: DataFrame) -> DataFrame:
+def cohort() -> Column:
     early = F.col("fecha_alta_sistema").cast("date") < F.lit("2022-01-01").cast("date")
-    return (
-        clientes.groupBy(F.when(early, "pre_2022").otherwise("2022_en_adelante").alias("cohorte"))
-        .agg(
-            F.count(F.lit(1)).alias("total"),
-            _n(F.col("direccion_fiscal").isNull(), "direccion_null"),
-            _share(F.col("direccion_fiscal").isNull(), "pct_null"),
-        )
-        .orderBy("cohorte")
-    )
+    return F.when(early, "pre_2022").otherwise("2022_en_adelante").alias("cohorte")
 
 
-def v10_duplicate_codes(productos: DataFrame) -> DataFrame:
+def cohort_measures() -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("total"),
+        _n(F.col("direccion_fiscal").isNull(), "direccion_null"),
+        _share(F.col("direccion_fiscal").isNull(), "pct_null"),
+    ]
+
+
+def v09_cohorts(clientes: DataFrame) -> DataFrame:
+    return clientes.groupBy(cohort()).agg(*cohort_measures()).orderBy("cohorte")
+
+
+def v10_duplicate_codes(productos: DataFrame | None) -> DataFrame | list[Column]:
     marked = F.col("cod_sap").cast("string").endswith(DUPLICATE_SUFFIX)
-    return productos.agg(
+    return _over(productos, [
         F.count(F.lit(1)).alias("total_productos"),
         _n(marked, "cod_sap_con_dup"),
         _n(~marked, "cod_sap_limpio"),
-    )
+    ])
 
 
 def v11_duplicate_code_rows(productos: DataFrame) -> DataFrame:
@@ -158,49 +167,57 @@ def v11_duplicate_code_rows(productos: DataFrame) -> DataFrame:
     )
 
 
-def v12_promotion_ids(promociones: DataFrame) -> DataFrame:
+def v12_promotion_ids(promociones: DataFrame | None) -> DataFrame | list[Column]:
     sap = F.col("id_promocion_sap")
     odd = sap.isNotNull() & ~sap.rlike(r"^\d{8,10}\z")
-    return promociones.agg(
+    return _over(promociones, [
         F.count(F.lit(1)).alias("total_promociones"),
         _n(sap.isNull(), "id_sap_null"),
         _share(sap.isNull(), "pct_id_sap_null"),
         _n(sap.isNotNull(), "id_sap_presente"),
         _n(odd, "id_sap_formato_no_estandar"),
         _share(odd, "pct_formato_no_estandar"),
-    )
+    ])
 
 
 # -- targets, returns, promotion spend ----------------------------------------------------
 
 
-def v13_versions(metas: DataFrame) -> DataFrame:
+def v13_versions(metas: DataFrame | None) -> DataFrame | list[Column]:
     approved = F.col("es_version_aprobada").cast("bigint")
-    return metas.agg(
+    return _over(metas, [
         F.count(F.lit(1)).alias("total_filas"),
         _n(approved == 1, "filas_aprobadas"),
         _n(approved == 0, "filas_no_aprobadas"),
         F.count_distinct("version_meta").alias("versiones_distintas"),
-    )
+    ])
 
 
-def v14_by_version(metas: DataFrame) -> DataFrame:
-    return metas.groupBy("version_meta").agg(
+def version_measures() -> list[Column]:
+    return [
         F.count(F.lit(1)).alias("filas"),
         _n(F.col("es_version_aprobada").cast("bigint") == 1, "aprobadas"),
         _n(F.col("aprobado_por").isNull(), "sin_aprobador"),
         _n(F.col("fecha_aprobacion").isNull(), "sin_fecha_aprobacion"),
-    ).orderBy("version_meta")
+    ]
 
 
-def v15_return_states(devoluciones: DataFrame) -> DataFrame:
+def v14_by_version(metas: DataFrame) -> DataFrame:
+    return metas.groupBy("version_meta").agg(*version_measures()).orderBy("version_meta")
+
+
+def return_measures() -> list[Column]:
     """``total_filas`` counts the rows of the state, as its twin ``filas_estado`` does."""
-    return devoluciones.groupBy("estado_devolucion").agg(
+    return [
         F.count(F.lit(1)).alias("total_filas"),
         F.count(F.lit(1)).alias("filas_estado"),
         _n(F.col("num_nota_credito").isNull(), "nota_credito_null"),
         _n(F.col("fecha_aprobacion_dev").isNull(), "fecha_aprobacion_null"),
-    ).orderBy("estado_devolucion")
+    ]
+
+
+def v15_return_states(devoluciones: DataFrame) -> DataFrame:
+    return devoluciones.groupBy("estado_devolucion").agg(*return_measures()).orderBy("estado_devolucion")
 
 
 def v16_orphan_promotions(inversion: DataFrame, promociones: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from retaloom.functions.numbers import mean, percent, ratio, rounded, total
 from retaloom.functions.text import is_missing
@@ -79,6 +79,34 @@ def calendar_coverage(days: DataFrame) -> DataFrame:
     )
 
 
+def gaps(days: DataFrame, day: str) -> DataFrame:
+    """Runs of days missing between the first and the last: desde, hasta, dias.
+
+    Days are made distinct first, so the window sees one row per day that there is.
+    """
+    once = days.where(F.col(day).isNotNull()).select(F.col(day).alias("_d")).distinct()
+    following = F.lead("_d").over(Window.orderBy("_d"))
+    return once.withColumn("_next", following).where(F.datediff("_next", "_d") > 1).select(
+        F.date_add("_d", 1).alias("desde"), F.date_sub("_next", 1).alias("hasta"),
+        (F.datediff("_next", "_d") - 1).alias("dias"))
+
+
+def calendar_gaps(days: DataFrame, fact: DataFrame) -> DataFrame:
+    """Holes in the calendar, and runs of calendar days without a sale, at its ends too."""
+    key = "id_fecha"
+    sold = fact.select(key).distinct().withColumn("_sold", F.lit(True))
+    known = days.select("fecha", key).distinct().join(sold, key, "left")
+    in_order = Window.orderBy("fecha")  # one row per calendar day
+    # Days without a sale belong together while their number among all days keeps pace with
+    # their number among themselves.
+    run = F.row_number().over(in_order) - F.sum(F.when(F.col("_sold").isNull(), 1).otherwise(0)).over(in_order)
+    idle = known.withColumn("_run", run).where(F.col("_sold").isNull()).groupBy("_run").agg(
+        F.min("fecha").alias("desde"), F.max("fecha").alias("hasta"), F.count(F.lit(1)).alias("dias"))
+    named = lambda df, name: df.select(
+        F.lit(name).alias("tabla"), "desde", "hasta", F.col("dias").cast("bigint").alias("dias"))
+    return stack([named(gaps(days, "fecha"), "calendario"), named(idle, "ventas")]).orderBy("tabla", "desde")
+
+
 def sales_integrity(star) -> DataFrame:
     dims = {
         "sin_dim_tiempo": ("id_fecha", star.dim("tiempo"), "id_fecha"),

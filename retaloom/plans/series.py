@@ -78,6 +78,69 @@ def decompose(series: DataFrame, key: str = "id_canal", value: str = "ventas_net
     )
 
 
+PARTS = ("tendencia", "estacionalidad", "feriado", "pico", "escalon", "residuo")
+NEAR = 7  # rows on each side among which a spike must stand out
+SIDE = 28  # rows on each side of a step
+SPIKE, JUMP = 6, 6  # times the usual deviation
+
+
+def components(series: DataFrame, key: str = "id_canal", value: str = "ventas_netas_soles") -> DataFrame:
+    """Trend, weekday, holiday, spike and step part of each day, and what they leave over.
+
+    The weekday part is that of ``decompose``; the holiday part is what holidays of the series
+    leave over on the mean. A spike is a remainder further from the median of its neighbours than
+    ``SPIKE`` times their median deviation. A step is a day after which the mean of ``SIDE`` days differs
+    from that of the days before by more than ``JUMP`` standard errors, and by more than on any
+    day around; its size stays in the step part from then on, and is taken out of the trend.
+    Every window runs within one series, whose length is bounded by the calendar. All parts
+    are decimals and add up to the value exactly; a series without ups and downs has neither.
+    """
+    if "es_feriado" not in series.columns:
+        special = calendar.holidays(series.select(F.col("ds").alias("fecha")).distinct())
+        days = special.select(F.col("fecha").alias("ds"), F.lit(1).alias("es_feriado")).distinct()
+        series = series.join(days, "ds", "left")
+    in_order = Window.partitionBy(key).orderBy("ds")
+    among = in_order.rowsBetween(-NEAR, NEAR)
+    before, after = in_order.rowsBetween(-SIDE, -1), in_order.rowsBetween(0, SIDE - 1)
+    step = lambda c: F.round(c.cast("decimal(38,10)"), 4).cast(STEP)
+    average = lambda c, w: step(ratio(F.sum(c).over(w), F.count(c).over(w)))
+    middle = lambda a: F.element_at(F.array_sort(a), F.expr("cast((_near + 1) div 2 as int)"))
+
+    parted = (
+        decompose(series, key, value)
+        .join(series.select(key, "ds", (F.coalesce("es_feriado", F.lit(0)) == 1).alias("_special")), [key, "ds"])
+        .withColumn("_gap", F.col("valor") - F.col("tendencia") - F.col("estacionalidad"))
+    )
+    on_special = F.when(F.col("_special"), F.col("_gap"))
+    whole = Window.partitionBy(key)
+    parted = parted.withColumn("feriado", F.when(F.col("_special"), average(on_special, whole)).otherwise(
+        F.lit(0).cast(STEP))).withColumn("_rest", (F.col("_gap") - F.col("feriado")).cast(STEP))
+
+    parted = parted.withColumn("_around", F.collect_list("_rest").over(among)).withColumn(
+        "_near", F.size("_around")).withColumn("_median", middle(F.col("_around"))).withColumn(
+        "_usual", middle(F.transform("_around", lambda a: F.abs(a - F.col("_median")))))
+    off = F.col("_rest") - F.col("_median")
+    parted = parted.withColumn("pico", F.when(F.abs(off) > F.col("_usual") * SPIKE, off).otherwise(0).cast(STEP))
+
+    parted = parted.withColumn("_level", (
+        F.col("valor") - F.col("estacionalidad") - F.col("feriado") - F.col("pico")).cast(STEP))
+    left = F.col("_rest") - F.col("pico")
+    full = (F.count("_level").over(before) == SIDE) & (F.count("_level").over(after) == SIDE)
+    parted = parted.withColumn("_jump", F.when(full, average("_level", after) - average("_level", before)).cast(STEP))
+    parted = parted.withColumn("_noise", average(F.abs(left), whole))
+    size = F.abs("_jump")
+    # The mean deviation of a normal remainder is 0.8 of its standard one; a difference of two means
+    # of SIDE days has sqrt(2 / SIDE) of that.
+    limit = F.col("_noise") * F.lit(round(JUMP * 1.25 * (2 / SIDE) ** 0.5, 4)).cast("decimal(8,4)")
+    first = (size > F.coalesce(F.max(size).over(in_order.rowsBetween(-SIDE, -1)), F.lit(-1))) & (
+        size >= F.coalesce(F.max(size).over(in_order.rowsBetween(1, SIDE)), F.lit(-1)))
+    parted = parted.withColumn("_step", F.when((size > limit) & first, F.col("_jump")).otherwise(0).cast(STEP))
+    so_far = F.sum("_step").over(in_order.rowsBetween(Window.unboundedPreceding, 0)).cast(STEP)
+    return parted.withColumn("escalon", so_far).select(
+        key, "ds", "valor", (F.col("tendencia") - F.col("escalon")).cast(STEP).alias("tendencia"),
+        "estacionalidad", "feriado", "pico", "escalon", left.cast(STEP).alias("residuo"))
+
+
 def regression_sums(series: DataFrame) -> DataFrame:
     """Sufficient statistics of sales on promotion spend and holidays, per channel."""
     y, x, h = (F.col(c).cast("decimal(16,2)") for c in

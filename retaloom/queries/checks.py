@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from retaloom.operators import joins
-from retaloom.plans import cubes, quality, reconcile
+from retaloom.plans import checkrun, cubes, quality, reconcile
 from retaloom.plans.trusted import DUPLICATE_SUFFIX, UNSPECIFIED
 from retaloom.queries.registry import query
 from retaloom.queries.sqlbase import b, d, pct, r, ratio
@@ -528,6 +528,50 @@ def calendar_coverage(m):
     return reconcile.calendar_coverage(days)
 
 
+@query("rec_calendar_coverage_whole", f"""
+SELECT COUNT(*) AS total_dias, MIN(fecha) AS fecha_minima, MAX(fecha) AS fecha_maxima,
+       {n('es_feriado = 1')} AS dias_feriado, {n('es_dia_habil = 1')} AS dias_habiles,
+       {n('es_fin_semana = 1')} AS dias_fin_semana, COUNT(DISTINCT anio) AS anios_distintos,
+       COUNT(DISTINCT trimestre) AS trimestres_distintos
+FROM dim_tiempo""")
+def calendar_coverage_whole(m):
+    return reconcile.calendar_coverage(m.dim("tiempo"))
+
+
+_DAMAGED = """
+  dias AS (SELECT id_fecha, fecha FROM dim_tiempo WHERE fecha NOT BETWEEN '1998-03-10' AND '1998-03-14'
+           UNION ALL SELECT id_fecha, fecha FROM dim_tiempo WHERE fecha = '1999-07-28')"""
+
+
+def _damaged(m):
+    """The calendar with a hole of five days and a day that is there twice."""
+    days = m.dim("tiempo")
+    hole = F.col("fecha").between(F.lit("1998-03-10").cast("date"), F.lit("1998-03-14").cast("date"))
+    return days.where(~hole).unionByName(days.where(F.col("fecha") == F.lit("1999-07-28").cast("date")))
+
+
+@query("rec_calendar_gaps", f"""
+SELECT * FROM (WITH {_DAMAGED},
+  una AS (SELECT DISTINCT id_fecha, fecha FROM dias),
+  saltos AS (SELECT fecha, lead(fecha) OVER (ORDER BY fecha) AS sig FROM una),
+  libres AS (SELECT fecha, fecha - CAST(row_number() OVER (ORDER BY fecha) AS INT) AS isla,
+                    (SELECT COUNT(*) FROM una u WHERE u.fecha <= una.fecha) AS lugar
+             FROM una WHERE id_fecha NOT IN (SELECT id_fecha FROM fact_ventas WHERE id_fecha IS NOT NULL)),
+  islas AS (SELECT fecha, lugar - row_number() OVER (ORDER BY fecha) AS g FROM libres)
+  SELECT 'calendario' AS tabla, CAST(fecha + 1 AS DATE) AS desde, CAST(sig - 1 AS DATE) AS hasta,
+         CAST(sig - fecha - 1 AS BIGINT) AS dias FROM saltos WHERE sig - fecha > 1
+  UNION ALL
+  SELECT 'ventas', MIN(fecha), MAX(fecha), COUNT(*) FROM islas GROUP BY g) AS q""")
+def calendar_gaps(m):
+    return reconcile.calendar_gaps(_damaged(m), m.fact("ventas"))
+
+
+@query("rec_calendar_keys", f"""
+SELECT * FROM (WITH {_DAMAGED} SELECT id_fecha, COUNT(*) AS veces FROM dias GROUP BY 1 HAVING COUNT(*) > 1) AS q""")
+def calendar_keys(m):
+    return reconcile.key_uniqueness(_damaged(m))
+
+
 @query("rec_trusted_vs_fact", """
 SELECT *, trusted_ventas - curated_fact_ventas AS diferencia
 FROM (SELECT (SELECT COUNT(*) FROM tru_ventas) AS trusted_ventas,
@@ -701,3 +745,94 @@ SELECT {n('meta_fill_rate_pct IS NULL')} AS sin_meta_fill_rate,
 FROM cubo_inventario""")
 def operational_targets_present(m):
     return reconcile.operational_targets_present(m.inventory)
+
+
+# -- the run of all checks ---------------------------------------------------------------------
+
+# What the run is held against here: a field that is as expected, one that is off, one that is
+# not there; checks without an expectation inform only, and one more reads a column that is not there.
+_WANTED = {"V02": {"duplicados_sin_sufijo_dup": 0}, "V01": {"total_filas": -1}, "V08": {"no_existe": 0},
+           "V13": {"versiones_distintas": 3}, "V16": {"total_inversiones": -1}}
+
+
+def _run(m):
+    listed = checkrun.table_checks()
+    listed["ventas"].append(checkrun.Check("V99", (F.count_if(F.col("no_existe") == 1).alias("n"),)))
+    ids = sorted([c.id for cs in listed.values() for c in cs] + ["V12", "V16"])
+    measures, errors = checkrun.run(m.spark, m.raw, {**listed, "promociones": []})
+    return measures, checkrun.report(measures, errors, ids, _WANTED)
+
+
+_RUN_TAGS = {**quality.TAGS, "V99": "V99"}
+_RUN_STATE = {
+    "V01": "'FAIL'", "V16": "'FAIL'", "V08": "'WARN'", "V99": "'ERROR'",
+    "V02": f"CASE WHEN (SELECT {n('estado_linea = $$DUPLICADO$$ AND NOT ends_with(id_linea_venta, $$_DUP$$)')} FROM raw_ventas) = 0"
+           " THEN 'PASS' ELSE 'FAIL' END",
+    "V13": "CASE WHEN (SELECT COUNT(DISTINCT version_meta) FROM raw_metas) = 3 THEN 'PASS' ELSE 'FAIL' END",
+}
+_REPORT = " UNION ALL ".join(
+    f"SELECT '{c}' AS check_id, '{_RUN_TAGS[c]}' AS etiqueta, {_RUN_STATE.get(c, chr(39) + 'INFO' + chr(39))} AS estado"
+    for c in sorted(set(_RUN_TAGS) - {"V17"}))
+
+
+@query("dq_run_report", f"SELECT * FROM ({_REPORT}) AS q")
+def run_report(m):
+    return _run(m)[1].drop("detalle")
+
+
+@query("dq_run_tally", f"""
+SELECT e.estado, COUNT(q.check_id) AS checks
+FROM (VALUES ('PASS'), ('FAIL'), ('WARN'), ('INFO'), ('ERROR')) AS e(estado)
+LEFT JOIN ({_REPORT}) AS q ON e.estado = q.estado GROUP BY 1""")
+def run_tally(m):
+    return checkrun.tally(_run(m)[1])
+
+
+def _unfolded(check, relation, fields, by=None):
+    group = f"CAST({by} AS VARCHAR)" if by else "CAST(NULL AS VARCHAR)"
+    inner = f"SELECT {group} AS grupo, [{', '.join('{{c: $${}$$, v: CAST({} AS DOUBLE)}}'.format(f, e) for f, e in fields.items())}] AS a FROM {relation}"
+    inner += f" GROUP BY {by}" if by else ""
+    return f"SELECT '{check}' AS check_id, grupo, x.c AS campo, x.v AS valor FROM (SELECT grupo, unnest(a) AS x FROM ({inner}))"
+
+
+_COUNT = lambda cond: f"COUNT(*) FILTER (WHERE {cond})"
+_NEGATIVE = "stock_disponible < 0"
+_COHORT = "CASE WHEN CAST(fecha_alta_sistema AS DATE) < DATE '2022-01-01' THEN 'pre_2022' ELSE '2022_en_adelante' END"
+
+
+@query("dq_run_measures", "SELECT * FROM (" + " UNION ALL ".join([
+    _unfolded("V06", "raw_inventario", {
+        "total_filas": "COUNT(*)", "stock_negativo": _COUNT(_NEGATIVE), "stock_cero": _COUNT("stock_disponible = 0"),
+        "stock_positivo": _COUNT("stock_disponible > 0"), "pct_stock_negativo": pct(_COUNT(_NEGATIVE), "COUNT(*)")}),
+    _unfolded("V07", "raw_inventario", {
+        "stock_negativo_total": _COUNT(_NEGATIVE),
+        **{f"neg_con_flag_ajuste_{v.lower()}": _COUNT(f"{_NEGATIVE} AND flag_ajuste_pendiente = $${v}$$") for v in "SN"},
+        "neg_con_flag_ajuste_null": _COUNT(f"{_NEGATIVE} AND flag_ajuste_pendiente IS NULL")}),
+    _unfolded("V09", "raw_clientes", {
+        "total": "COUNT(*)", "direccion_null": _COUNT("direccion_fiscal IS NULL"),
+        "pct_null": pct(_COUNT("direccion_fiscal IS NULL"), "COUNT(*)")}, by=_COHORT),
+    _unfolded("V11", "raw_productos", {"filas": _COUNT("ends_with(CAST(cod_sap AS VARCHAR), $$_DUP$$)")}),
+    _unfolded("V12", "raw_promociones", {
+        "total_promociones": "COUNT(*)", "id_sap_null": _COUNT("id_promocion_sap IS NULL"),
+        "pct_id_sap_null": pct(_COUNT("id_promocion_sap IS NULL"), "COUNT(*)"),
+        "id_sap_presente": "COUNT(id_promocion_sap)",
+        "id_sap_formato_no_estandar": _COUNT("id_promocion_sap IS NOT NULL AND NOT regexp_full_match(id_promocion_sap, $$[0-9]{8,10}$$)"),
+        "pct_formato_no_estandar": pct(_COUNT(
+            "id_promocion_sap IS NOT NULL AND NOT regexp_full_match(id_promocion_sap, $$[0-9]{8,10}$$)"), "COUNT(*)")}),
+    _unfolded("V14", "raw_metas", {
+        "filas": "COUNT(*)", "aprobadas": _COUNT("es_version_aprobada = 1"),
+        "sin_aprobador": _COUNT("aprobado_por IS NULL"), "sin_fecha_aprobacion": _COUNT("fecha_aprobacion IS NULL")},
+        by="version_meta"),
+    _unfolded("V15", "raw_devoluciones", {
+        "total_filas": "COUNT(*)", "filas_estado": "COUNT(*)", "nota_credito_null": _COUNT("num_nota_credito IS NULL"),
+        "fecha_aprobacion_null": _COUNT("fecha_aprobacion_dev IS NULL")}, by="estado_devolucion"),
+    _unfolded("V16", """(SELECT i.*, p.id_promocion_tm AS hallada FROM raw_inversion i
+                        LEFT JOIN raw_promociones p ON i.id_promocion_tm = p.id_promocion_tm)""", {
+        "total_inversiones": "COUNT(*)", "inv_sin_id_tm": _COUNT("id_promocion_tm IS NULL"),
+        "inv_sin_id_sap": _COUNT("id_promocion_sap IS NULL"),
+        "id_tm_sin_match_en_promociones": _COUNT("hallada IS NULL AND id_promocion_tm IS NOT NULL")}),
+]) + ") AS q")
+def run_measures(m):
+    """The measures of eight checks that have no query of their own under their tag."""
+    shown = ["V06", "V07", "V09", "V11", "V12", "V14", "V15", "V16"]
+    return _run(m)[0].where(F.col("check_id").isin(shown))

@@ -297,7 +297,47 @@ def forecast_plain(m):
 def forecast_explain(m):
     daily = _daily(m)
     models = as_table(forecast.fit(series.sales_only(daily)), "models")  # one row per series
-    return forecast.explain(series.decompose(daily), models, forecast.forecast(models))
+    return forecast.explain(series.components(daily), forecast.forecast(models))
+
+
+_SORTED = "list_sort({})[(len(a) + 1) // 2]"
+
+
+@query("forecast_explain_past", f"""
+SELECT * FROM (WITH {_SERIES},
+  t AS (SELECT id_canal, ds, h, CAST(y AS DECIMAL(18,4)) AS v,
+               {_STEP.format(ratio('SUM(y) OVER w', 'COUNT(y) OVER w'))} AS tr
+        FROM serie WINDOW w AS (PARTITION BY id_canal ORDER BY ds ROWS BETWEEN 3 PRECEDING AND 3 FOLLOWING)),
+  s AS (SELECT *, {_STEP.format(ratio('SUM(v - tr) OVER k', 'COUNT(*) OVER k'))} AS se
+        FROM t WINDOW k AS (PARTITION BY id_canal, dayofweek(ds))),
+  f AS (SELECT *, CASE WHEN h = 1 THEN {_STEP.format(ratio(
+               'SUM(CASE WHEN h = 1 THEN v - tr - se END) OVER (PARTITION BY id_canal)',
+               'COUNT(CASE WHEN h = 1 THEN 1 END) OVER (PARTITION BY id_canal)'))} ELSE 0 END AS fe FROM s),
+  g AS (SELECT *, v - tr - se - fe AS resto, list(v - tr - se - fe) OVER (
+               PARTITION BY id_canal ORDER BY ds ROWS BETWEEN 7 PRECEDING AND 7 FOLLOWING) AS a FROM f),
+  m AS (SELECT *, {_SORTED.format('a')} AS med FROM g),
+  u AS (SELECT *, {_SORTED.format('list_transform(a, lambda z: abs(z - med))')} AS usual FROM m),
+  p AS (SELECT *, CASE WHEN abs(resto - med) > usual * 6 THEN resto - med ELSE 0 END AS pico FROM u),
+  l AS (SELECT *, v - se - fe - pico AS nivel, {_STEP.format(ratio(
+               'SUM(abs(resto - pico)) OVER (PARTITION BY id_canal)', 'COUNT(*) OVER (PARTITION BY id_canal)'))} AS ruido
+        FROM p),
+  j AS (SELECT *, CASE WHEN COUNT(nivel) OVER b = 28 AND COUNT(nivel) OVER n = 28
+               THEN {_STEP.format(ratio('SUM(nivel) OVER n', 'COUNT(nivel) OVER n'))}
+                  - {_STEP.format(ratio('SUM(nivel) OVER b', 'COUNT(nivel) OVER b'))} END AS salto
+        FROM l WINDOW b AS (PARTITION BY id_canal ORDER BY ds ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING),
+                      n AS (PARTITION BY id_canal ORDER BY ds ROWS BETWEEN CURRENT ROW AND 27 FOLLOWING)),
+  e AS (SELECT *, CASE WHEN abs(salto) > ruido * {round(series.JUMP * 1.25 * (2 / series.SIDE) ** 0.5, 4)}
+               AND abs(salto) > COALESCE(MAX(abs(salto)) OVER (PARTITION BY id_canal ORDER BY ds
+                                         ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING), -1)
+               AND abs(salto) >= COALESCE(MAX(abs(salto)) OVER (PARTITION BY id_canal ORDER BY ds
+                                          ROWS BETWEEN 1 FOLLOWING AND 28 FOLLOWING), -1)
+               THEN salto ELSE 0 END AS paso FROM j),
+  c AS (SELECT *, SUM(paso) OVER (PARTITION BY id_canal ORDER BY ds ROWS UNBOUNDED PRECEDING) AS es FROM e)
+  SELECT id_canal, ds, {d('v')} AS valor, {d('tr - es')} AS tendencia, {d('se')} AS estacionalidad,
+         {d('fe')} AS feriado, {d('pico')} AS pico, {d('es')} AS escalon, {d('resto - pico')} AS residuo
+  FROM c) AS q""")
+def explain_past(m):
+    return series.components(_daily(m))
 
 
 @query("forecast_fit_eval")
