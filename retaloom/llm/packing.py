@@ -27,13 +27,30 @@ _BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set
 _SPECIAL = b"<|"  # a text with this may hold a special token's string
 
 
+GROUP = 8 << 20  # bytes of text taken at a time
+
+
+class _Numbers(dict):
+    """Numbers for keys in the order they are first asked for; ``new`` lists the latest."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, key: bytes) -> int:
+        number = self[key] = len(self)
+        self.new.append(key)
+        return number
+
+
 class ChunkTokens:
     """Token ids of texts, computed once per distinct part of the chunks between white space.
 
     The tokenizer lowers case, drops white space and never joins tokens over it, so a
     text's ids are those of its chunks in a row; a chunk is a core and the ASCII marks
-    at its end. Known chunks come back from a cache, and so do known parts. A text that may hold the string of a special token goes
-    through the tokenizer whole. Calling it gives the ids of each text of a batch.
+    at its end. Known chunks come back from a cache, and so do known parts. A text that may hold the
+    string of a special token goes through the tokenizer whole. Texts are taken some megabytes at a
+    time: their chunks are numbered in one pass, and all their ids gathered at once.
     """
 
     def __init__(self, path: str, most: int = 500_000):
@@ -43,7 +60,7 @@ class ChunkTokens:
         self._reset()
 
     def _reset(self) -> None:
-        self.chunks: dict[bytes, int] = {}
+        self.chunks = _Numbers()
         self.core_tail = np.empty((0, 2), np.int64)  # part numbers by chunk number
         self.parts: dict[bytes, int] = {b"": 0}
         self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
@@ -79,44 +96,74 @@ class ChunkTokens:
             return core
         return core if core[-1] >= 0x80 and core.decode()[-1].lower()[-1].isalpha() else chunk
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self) -> None:
+        """Looks up the chunks that were numbered since the last time."""
+        new, self.chunks.new = self.chunks.new, []
         cores = list(map(self._core, new))
         tails = [c[len(core):] for c, core in zip(new, cores)]
         missing = set(cores).union(tails).difference(self.parts)
         if missing:
             self._learn_parts(list(missing))
-        first = len(self.chunks)
-        self.chunks.update(zip(new, range(first, first + len(new))))
         part = self.parts.__getitem__
         pairs = np.array([list(map(part, cores)), list(map(part, tails))], np.int64).T
         self.core_tail = np.concatenate([self.core_tail, pairs])
 
-    def __call__(self, batch: list[bytes]) -> Iterator[np.ndarray]:
+    def groups(self, batch: list[bytes], end_id: int | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For some texts after another: their ids in a row, each with the end id behind it, and
+        how many each text has."""
         at = 0
         while at < len(batch):
             size, end = 0, at
-            while end < len(batch) and (end == at or size + len(batch[end]) < 8 << 20):
+            while end < len(batch) and (end == at or size + len(batch[end]) < GROUP):
                 size += len(batch[end])
                 end += 1
-            cut = [[] if _SPECIAL in t else t.lower().split() for t in batch[at:end]]
-            new = set().union(*cut).difference(self.chunks)
-            if new:
-                if self.chunks and len(self.chunks) + len(new) > self.most:
-                    self._reset()
-                    new = set().union(*cut)
-                self._learn(list(new))
-            for text, chunks in zip(batch[at:end], cut):
-                yield self._ids(text.decode()) if _SPECIAL in text else self._joined(chunks)
+            yield self._group(batch[at:end], end_id)
             at = end
 
-    def _joined(self, chunks: list[bytes]) -> np.ndarray:
-        if not chunks:
-            return np.empty(0, np.uint32)
-        places = np.fromiter(map(self.chunks.__getitem__, chunks), np.int64, len(chunks))
-        parts = self.core_tail[places].ravel()
+    def _group(self, batch: list[bytes], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.chunks) > self.most:
+            self._reset()
+        cut = [[] if _SPECIAL in t else t.lower().split() for t in batch]
+        counts = np.fromiter(map(len, cut), np.int64, len(cut))
+        chunks = np.fromiter(map(self.chunks.__getitem__, chain.from_iterable(cut)), np.int64, int(counts.sum()))
+        if self.chunks.new:
+            self._learn()
+        # Chunk by chunk: where the ids of its two parts begin, and how many there are.
+        parts = self.core_tail[chunks].ravel()
         starts, lengths = self.starts[parts], self.lengths[parts]
-        ends = np.cumsum(lengths)
-        return self.flat[np.arange(ends[-1]) + np.repeat(starts - (ends - lengths), lengths)]
+        so_far = np.concatenate([[0], np.cumsum(lengths)])
+        ids = self.flat[np.arange(so_far[-1]) + np.repeat(starts - so_far[:-1], lengths)]
+        bounds = so_far[2 * np.concatenate([[0], np.cumsum(counts)])]
+        sizes = np.diff(bounds)
+        special = [i for i, t in enumerate(batch) if _SPECIAL in t]
+        if special:
+            whole = {i: self._ids(batch[i].decode()) for i in special}
+            ids = np.concatenate([whole.get(i, ids[a:b]) for i, (a, b) in enumerate(zip(bounds[:-1], bounds[1:]))])
+            sizes[special] = [len(whole[i]) for i in special]
+        if end_id is not None:
+            ids = np.insert(ids, np.cumsum(sizes), end_id)
+            sizes = sizes + 1
+        return ids.astype("<u4", copy=False), sizes
+
+    def __call__(self, batch: list[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each text."""
+        for ids, sizes in self.groups(batch, None):
+            yield from np.split(ids, np.cumsum(sizes)[:-1])
+
+    def rows(self, batch: list[bytes], capacity: int, end_id: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """text number, piece, start, length and checksum of every piece of the texts."""
+        first = 0
+        for ids, sizes in self.groups(batch, end_id):
+            count = -(-sizes // capacity)
+            text = np.repeat(np.arange(len(sizes)), count)
+            piece = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+            start = piece * capacity
+            length = np.minimum(capacity, sizes[text] - start)
+            place = 4 * ((np.cumsum(sizes) - sizes)[text] + start)
+            held = memoryview(np.ascontiguousarray(ids)).cast("B")
+            sums = [zlib.crc32(held[a:b]) for a, b in zip(place.tolist(), (place + 4 * length).tolist())]
+            yield text + first, piece.astype(np.int32), start, length, np.array(sums, np.int64)
+            first += len(sizes)
 
 
 def pieces(
@@ -132,19 +179,10 @@ def pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = ChunkTokens(tokenizer)
         for batch in batches:
-            ids, rows = batch.column(0), []
-            for row, found in enumerate(encode(texts(batch))):
-                tokens = np.append(found, np.uint32(end_id)).astype("<u4")
-                for k, start in enumerate(range(0, len(tokens), capacity)):
-                    part = tokens[start:start + capacity]
-                    rows.append((row, k, start, len(part), zlib.crc32(part.tobytes())))
-            if not rows:
-                continue
-            table = np.array(rows, np.int64).T
-            yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(table[0])), pa.array(table[1].astype(np.int32)),
-                 *map(pa.array, table[2:])],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            for text, *made in encode.rows(texts(batch), capacity, end_id):
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(pa.array(text)), *map(pa.array, made)],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     return source.mapInArrow(
