@@ -227,3 +227,39 @@ def test_further_encodings_of_keys():
     assert secrets.is_private_der(_der(0x30, _der(2, b"\0"), *[_der(2, bytes([1 + k]) * 20) for k in range(5)]))
     full = [b64[k:k + len(b64) // 4] for k in range(0, len(b64), len(b64) // 4)]
     assert kinds("\n".join(full) + "\nand") == ["der"]
+
+
+LOREM = "Lorem ipsum dolor sit amet consectetur. " * 8
+
+
+def _whole(page):
+    return html.Page.read(page).article(None)
+
+
+def test_pages_without_containers_and_wrapped_ones():
+    assert _whole("<html><p>Title</p><p>text</p></html>") == "Title\n\ntext"
+    assert _whole("<p>a") == "a" and _whole("bare text") == "bare text" and _whole("") == ""
+    assert _whole("<ul><li>x<li>y</ul>") == "x\n\ny"
+    whole = f"T\n\n{LOREM.strip()}"
+    assert _whole(f'<body><form id="aspnetForm"><div><h1>T</h1><p>{LOREM}</p></div></form></body>') == whole
+    assert _whole(f"<body><div><h1>T</h1><p>{LOREM}</p></div><form>Name <input> Send</form></body>") == whole
+    assert _whole("<body><form>Login <input> Password</form></body>") == ""
+
+
+def test_an_article_comes_before_the_remarks_beside_it():
+    remarks = "".join(f"<div><div>remark {i} {LOREM}</div></div>" for i in range(30))
+    whole = f"T\n\n{LOREM.strip()}"
+    for tag in ("article", "main"):
+        assert _whole(f"<body><{tag}><h1>T</h1><p>{LOREM}</p></{tag}><div>{remarks}</div></body>") == whole
+    short = "".join(f"<article><p>remark {i}</p></article>" for i in range(9))
+    assert _whole(f"<body><div><article><h1>T</h1><p>{LOREM}</p></article>{short}</div></body>") == whole
+
+
+def test_deep_and_unclosed_pages_take_linear_time():
+    import time
+
+    for page in ("<div>x" * 40_000, "<b>" * 40_000 + "text", "<b><p>" * 20_000, "<i>" * 20_000 + "</b>" * 20_000,
+                 '<div class="ad">x' * 20_000, "<article>x" * 20_000):
+        start = time.process_time()
+        _whole(page)
+        assert time.process_time() - start < 5
