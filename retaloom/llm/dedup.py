@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from retaloom.llm.common import row_order
+
 SPACES = r"[\x20\x09-\x0D]+"
 
 
@@ -70,7 +72,8 @@ def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
 
     ``docs`` must have doc_id and text. The rows meet their winner on digest, byte length
     and id together, so no key is hot. Where rows repeat the winner's id and text, one of
-    them stays; so does one of a group in which all ids are NULL.
+    them stays, whichever comes first by all columns; so does one of a group in which all ids
+    are NULL. The result does not depend on the partitions.
     """
     text = normalised(F.col("`text`"))
     # The id as two plain columns, so that join and window need the rows in one and the same order.
@@ -81,5 +84,5 @@ def deduplicate(docs: DataFrame, salts: int = 16) -> DataFrame:
         *known(F.col("`doc_id`")), F.sha2(text, 256).alias("digest"),
         F.octet_length(text).alias("n_bytes"))
     won = winners(docs, salts=salts).select("digest", "n_bytes", *known(F.col("keep_id")))
-    one = Window.partitionBy(*keys).orderBy("digest")
+    one = Window.partitionBy(*keys).orderBy(row_order("whole", rows))
     return rows.join(won, keys).withColumn("r", F.row_number().over(one)).where("r = 1").select("whole.*")

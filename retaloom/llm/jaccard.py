@@ -10,7 +10,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, Window
 
-from retaloom.llm.common import HashCache, hash_words, space_words, stored, texts
+from retaloom.llm.common import hash_words, HashCache, row_order, space_words, stored, texts
 from retaloom.llm.graph import components
 
 _A = np.uint64(0x9E3779B97F4A7C15)  # fixed values: odd 64-bit multipliers of mixing steps
@@ -114,18 +114,19 @@ def _batches(rows: list[tuple], kinds: list[tuple[str, pa.DataType]]) -> pa.Reco
 
 
 def set_names(docs: DataFrame, n: int) -> DataFrame:
-    """doc_id, n_shingles, node (NULL for the empty set) of every row."""
+    """doc_id, text_hash, n_shingles, node (NULL for the empty set) of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = HashCache()
         for batch in batches:
             sets = [shingle_set(t, n, cache) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [batch.column(0), batch.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([node_of(s) if len(s) else None for s in sets], pa.int64())],
-                names=["doc_id", "n_shingles", "node"])
+                names=["doc_id", "text_hash", "n_shingles", "node"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id bigint, n_shingles bigint, node bigint")
+    return docs.select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(
+        run, "doc_id bigint, text_hash bigint, n_shingles bigint, node bigint")
 
 
 def signature_rows(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -388,6 +389,15 @@ def join(
     ignored by the minimum); an empty table gives an empty result; further columns are not
     read. Shingles are compared by 64-bit hashes, nodes by a 64-bit hash of the set.
     """
+    grouped = _grouped(docs, n, num, den, rounds)
+    lowest = grouped.where("node is not null").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return grouped.join(lowest, "component", "left").select(
+        "doc_id", "n_shingles",
+        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def _grouped(docs: DataFrame, n: int, num: int, den: int, rounds: int = 3) -> DataFrame:
+    """doc_id, text_hash, n_shingles, node, component (a node; NULL without words) of every row."""
     docs = docs.select("doc_id", "text")
     names = stored(set_names(docs, n), "names")
     meeting = _meeting(docs, n, num, den)
@@ -414,27 +424,28 @@ def join(
         if more.take(1):
             groups = stored(components(links.union(more)), "groups")
 
-    lowest = names.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("low"))
-    nodes = lowest.join(groups, "node", "left").select(
-        "node", "low", F.coalesce("component", "node").alias("component"))
-    ids = nodes.groupBy("component").agg(F.min("low").alias("component_id"))
-    named = nodes.join(ids, "component").select("node", "component_id")
-    return names.join(named, "node", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return names.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
 def keep_one(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The documents whose id is the smallest of their component, with all their columns.
+    """One document of each group of linked ones, with all its columns.
 
-    Of equal rows one stays. Rows that share an id stand or fall together unless they are
-    equal; rows without an id stay if nothing with an id is linked to them.
+    It is the row with the smallest id, a row without an id only where none of the group has
+    one; among rows of one id, that of the smallest set name and text hash. Rows are chosen, not
+    ids: of two texts under one id each stands or falls by itself. A document without words is
+    a group of its own. Of rows with the same id and text one stays, whichever comes
+    first by all columns, so the result does not depend on the partitions.
     """
-    kept = join(docs, n, num, den).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
-        F.col("doc_id").alias("id")).distinct()
+    grouped = _grouped(docs, n, num, den)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "node", "text_hash")
+    own = ["doc_id", "text_hash"]
+    # Combined before the exchange: a group of a third of all rows is one row per task.
+    won = grouped.where("node is not null").groupBy("component").agg(F.min(place).alias("w")).select("w.doc_id", "w.text_hash")
+    kept = won.unionByName(grouped.where("node is null").select(*own)).distinct().select(
+        F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
     rows = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"),
         F.col("`doc_id`").cast("bigint").alias("own"), F.xxhash64("`text`").alias("h"))
-    one = Window.partitionBy("own", "h").orderBy("h")
-    return rows.join(kept, F.col("own").eqNullSafe(F.col("id")), "left_semi").withColumn(
-        "r", F.row_number().over(one)).where("r = 1 or own is null").select("whole.*")
+    one = Window.partitionBy("own", "h").orderBy(row_order("whole", rows))
+    return rows.join(kept, F.col("own").eqNullSafe(F.col("id")) & (F.col("h") == F.col("hash")), "left_semi").withColumn(
+        "r", F.row_number().over(one)).where("r = 1").select("whole.*")

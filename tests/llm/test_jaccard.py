@@ -103,3 +103,24 @@ def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     found = {r.node: r.component for r in graph.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 140)}}
+
+
+def test_rows_are_kept_by_row_and_alike_under_any_partitioning(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, base, "a"), (5, base + " tail", "b"), (5, "a text of its own that nothing is like", "c"),
+            (None, base + " more", "d"), (None, other, "e"), (None, other + " x", "f"), (7, "  ", "g"), (7, "  ", "h"),
+            (8, "twice the same row but one column", "j"), (8, "twice the same row but one column", "i")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = [sorted((r.doc_id or 0, r.source) for r in jaccard.keep_one(docs.repartition(k, *by)).collect())
+             for k, by in ((1, []), (4, ["source"]), (7, ["text"]))]
+    assert found[0] == found[1] == found[2]
+    ids = [i for i, _ in found[0]]
+    assert ids == [0, 1, 5, 7, 8] and (5, "c") in found[0] and found[0][0][1] in "ef"
+
+
+def test_exact_copies_that_differ_elsewhere_leave_the_same_row(spark):
+    from retaloom.llm import dedup
+
+    docs = spark.createDataFrame([(3, "same text", c) for c in "hgfed"], "doc_id bigint, text string, source string")
+    assert len({dedup.deduplicate(docs.repartition(k, "source")).first().source for k in (1, 3, 5)}) == 1
