@@ -1,4 +1,4 @@
-"""String rules that Spark has no single function for."""
+"""Text rules that Spark does not come with."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ import re
 
 from pyspark.sql import Column, functions as F
 
-# Fixed pattern: a delivery folder is named by eight digits, optionally as the value
-# of a partition (``fecha=20240131``).
+# Fixed pattern: a delivery folder is named by the eight digits of its day, optionally with
+# the name of a partition column and an equals sign before them.
 FOLDER_DATE = r"/(?:\w+=)?(\d{8})/"
 
 

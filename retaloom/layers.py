@@ -203,7 +203,11 @@ def refresh_kpi(spark: SparkSession, cfg: Config, loaded: Iterable[date], attrib
 
 def create_views(spark: SparkSession, cfg: Config) -> None:
     """The cubes as views over the stored star, computed when queried."""
-    star = stored_star(spark, cfg)
+    views_over(stored_star(spark, cfg))
+
+
+def views_over(star: Medallion) -> None:
+    """The cubes of a star as views; what a question does not use of them is not computed."""
     for table, build in CUBES.items():
         build(star).createOrReplaceTempView(table.removesuffix("_TBL"))
 

@@ -199,6 +199,22 @@ def summary(m):
     return quality.v17_summary(m.raw)
 
 
+# Bands that most shares of the stand-in tables fall into, and one that none can.
+_BANDS = {"ventas": (0.4, 0.6), "fill_rate": (0.0, 0.5), "inventario": (0.0, 1.0), "clientes": (0.0, 1.0),
+          "productos": (0.0, 1.0), "promociones": (1.5, 2.0), "metas": (1, 1)}
+
+
+@query("dq_summary_bands", "\nUNION ALL\n".join(f"""
+SELECT '{name}' AS dataset, t AS filas_raw, x AS filas_problema,
+       {pct('x', 't')} AS pct_problema, '{text}' AS descripcion_problema,
+       CASE WHEN {'t - x = 1 AND t = 1' if name == 'metas' else f'x / t BETWEEN {_BANDS[name][0]} AND {_BANDS[name][1]}'}
+            THEN 'OK_ESPERADO' ELSE 'REVISAR' END AS semaforo
+FROM (SELECT COUNT(*) AS t, {n(problem)} AS x FROM {table}) AS {name}_q"""
+      for name, table, problem, text, _ in _PROBLEMS))
+def summary_bands(m):
+    return quality.v17_summary(m.raw, _BANDS)
+
+
 # Expected values that hold at every scale of the stand-in tables, with one that does not
 # (V05), one on a missing field (V10) and one check without expectations (V04).
 _SCORED = {

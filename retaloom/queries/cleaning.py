@@ -36,13 +36,16 @@ def dispatches(m):
 
 
 @query("clean_impute_empty_too", """
-SELECT id_despacho, fecha_despacho,
-       COALESCE(NULLIF(transportista, ''), 'No especificado') AS transportista,
-       COALESCE(NULLIF(motivo_rechazo, ''), 'No especificado') AS motivo_rechazo
+SELECT * EXCLUDE (fecha_carga)
+         REPLACE (COALESCE(NULLIF(transportista, ''), 'No especificado') AS transportista,
+                  COALESCE(NULLIF(motivo_rechazo, ''), 'No especificado') AS motivo_rechazo,
+                  CAST(flag_on_time AS BIGINT) AS flag_on_time,
+                  CAST(flag_in_full AS BIGINT) AS flag_in_full,
+                  CAST(flag_otif AS BIGINT) AS flag_otif),
+       fecha_carga AS fecha_carga_raw
 FROM raw_fill_rate""")
 def dispatches_empty(m):
-    return trusted.fill_rate(m.raw("fill_rate"), empty_is_null=True).select(
-        "id_despacho", "fecha_despacho", "transportista", "motivo_rechazo")
+    return trusted.fill_rate(m.raw("fill_rate"), empty_is_null=True)
 
 
 @query("clean_drop_negative_stock", """
@@ -57,27 +60,34 @@ def stock(m):
 
 
 @query("clean_approved_only", """
-SELECT id_meta_raw, periodo, CAST(anio AS BIGINT) AS anio, CAST(mes AS BIGINT) AS mes, id_canal,
-       CAST(meta_ventas_netas_soles AS DOUBLE) AS meta_ventas_netas_soles,
-       CAST(meta_margen_bruto_soles AS DOUBLE) AS meta_margen_bruto_soles,
-       meta_cantidad_vendida, version_meta, aprobado_por, fecha_aprobacion,
-       CAST(es_version_aprobada AS BIGINT) AS es_version_aprobada,
+SELECT * EXCLUDE (fecha_carga)
+         REPLACE (CAST(anio AS BIGINT) AS anio, CAST(mes AS BIGINT) AS mes,
+                  CAST(meta_ventas_netas_soles AS DOUBLE) AS meta_ventas_netas_soles,
+                  CAST(meta_margen_bruto_soles AS DOUBLE) AS meta_margen_bruto_soles,
+                  CAST(meta_margen_bruto_pct AS DOUBLE) AS meta_margen_bruto_pct,
+                  CAST(meta_ticket_promedio_soles AS DOUBLE) AS meta_ticket_promedio_soles,
+                  CAST(meta_frecuencia_compra AS DOUBLE) AS meta_frecuencia_compra,
+                  CAST(meta_roi_promocional_pct AS DOUBLE) AS meta_roi_promocional_pct,
+                  CAST(meta_tasa_devolucion_pct AS DOUBLE) AS meta_tasa_devolucion_pct,
+                  CAST(es_version_aprobada AS BIGINT) AS es_version_aprobada),
        fecha_carga AS fecha_carga_raw
 FROM tru_metas""")
 def targets(m):
-    return m.trusted("metas").select(
-        "id_meta_raw", "periodo", "anio", "mes", "id_canal", "meta_ventas_netas_soles",
-        "meta_margen_bruto_soles", "meta_cantidad_vendida", "version_meta", "aprobado_por",
-        "fecha_aprobacion", "es_version_aprobada", "fecha_carga_raw")
+    return m.trusted("metas")
 
 
 @query("clean_approved_operational", """
-SELECT periodo, id_almacen, CAST(meta_quiebre_pct AS DOUBLE) AS meta_quiebre_pct,
-       CAST(meta_fill_rate_pct AS DOUBLE) AS meta_fill_rate_pct
+SELECT * EXCLUDE (fecha_carga)
+         REPLACE (CAST(anio AS BIGINT) AS anio, CAST(mes AS BIGINT) AS mes,
+                  CAST(meta_quiebre_pct AS DOUBLE) AS meta_quiebre_pct,
+                  CAST(meta_dias_cobertura AS DOUBLE) AS meta_dias_cobertura,
+                  CAST(meta_otif_pct AS DOUBLE) AS meta_otif_pct,
+                  CAST(meta_fill_rate_pct AS DOUBLE) AS meta_fill_rate_pct,
+                  CAST(es_version_aprobada AS BIGINT) AS es_version_aprobada),
+       fecha_carga AS fecha_carga_raw
 FROM tru_metas_operativas""")
 def operational(m):
-    return m.trusted("metas_operativas").select(
-        "periodo", "id_almacen", "meta_quiebre_pct", "meta_fill_rate_pct")
+    return m.trusted("metas_operativas")
 
 
 @query("clean_trim_flag", """

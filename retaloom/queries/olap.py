@@ -1,6 +1,6 @@
 """Cubes, roll-ups and slices."""
 
-
+from retaloom import layers
 from retaloom.functions.numbers import total
 from retaloom.operators.joins import keep_selected, picker_values
 from retaloom.operators.star import roll_up
@@ -52,6 +52,24 @@ def inventory_additive(m):
     return cubes.inventory_additive(m)
 
 
+@query("views_of_cubes", f"""
+SELECT 'facturas' AS vista, nombre_canal AS nombre, {d('SUM(ventas_netas)')} AS total FROM cubo_facturas GROUP BY ALL
+UNION ALL
+SELECT 'comercial', marca, {d('SUM(margen_bruto)')} FROM cubo_comercial GROUP BY ALL
+UNION ALL
+SELECT 'inventario', nombre_almacen, {d('SUM(stock_disponible)')} FROM cubo_inventario GROUP BY ALL""")
+def views(m):
+    """The three cubes asked by name in SQL."""
+    layers.views_over(m)
+    return m.spark.sql("""
+        SELECT 'facturas' AS vista, nombre_canal AS nombre, CAST(SUM(ventas_netas) AS DOUBLE) AS total
+        FROM CUBO_FACTURAS GROUP BY ALL
+        UNION ALL
+        SELECT 'comercial', marca, CAST(SUM(margen_bruto) AS DOUBLE) FROM CUBO_COMERCIAL GROUP BY ALL
+        UNION ALL
+        SELECT 'inventario', nombre_almacen, CAST(SUM(stock_disponible) AS DOUBLE) FROM CUBO_INVENTARIO GROUP BY ALL""")
+
+
 def _rollup_sql(levels, relation="cubo_comercial", column="ventas_netas"):
     names = ", ".join(levels)
     return (f"SELECT {names}, {d(f'SUM({column})')} AS {column}, "
