@@ -100,3 +100,26 @@ def test_marks_after_control_characters_stay_with_them():
     plain = Tokenizer.from_file(PATH)
     for text, ids in zip(texts, packing.ChunkTokens(PATH)([t.encode() for t in texts])):
         assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_ids_of_odd_texts_are_the_tokenizers():
+    """60,000 made-up texts of marks, control characters, odd Unicode and special strings."""
+    rng = random.Random(9)
+    bits = ["a", "B", "word", "Été", "ß", "é", "İ", "日本", "привет", "\x01", "\x7f", "​", "\xa0", " ", "  ", "\n",
+            "\t", "!", "?!", "...", "--", "_", "'s", "12", "3.5", "<|", "|>", "<|endoftext|>", "<unk>", "€", "🙂", "́",
+            "ﬁ", "Ⅷ", "\r\n", "%", "http://x.y/z"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(9))) for _ in range(60_000)]
+    plain = Tokenizer.from_file(PATH)
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    found = packing.ChunkTokens(PATH, most=20_000)([t.encode() for t in texts])
+    assert [f.tolist() for f in found] == want
+
+
+def test_groups_of_texts_give_the_pieces_of_each_alone():
+    encode = packing.ChunkTokens(PATH)
+    texts = [b"", b"one two", b"word " * 5000, b"<|endoftext|> x", b"", b"a! b? c", b"long " * 4096]
+    together = [tuple(int(v) for v in row) for made in encode.rows(texts, 4096, 1) for row in zip(*made)]
+    alone = [(i, *(int(v) for v in row[1:])) for i, t in enumerate(texts)
+             for made in packing.ChunkTokens(PATH).rows([t], 4096, 1) for row in zip(*made)]
+    assert together == alone
+    assert [r[3] for r in together if r[0] in (0, 4)] == [1, 1]
