@@ -255,36 +255,38 @@ def test_future_regressors_follow_plan(spark):
 # -- forecasts -----------------------------------------------------------------------------
 
 
-def _daily(values, start="2021-01-01"):
-    days = pd.date_range(start, periods=len(values))
-    return pd.DataFrame({"id_canal": 1, "ds": days, "y": values})
+def _model(spark, values, start="2021-01-01"):
+    """The model row of one series."""
+    days = [d.date() for d in pd.date_range(start, periods=len(values))]
+    daily = spark.createDataFrame(
+        [(1, d, float(v)) for d, v in zip(days, values)], "id_canal bigint, ds date, y double")
+    return forecast.fit(daily, "y").first().asDict()
 
 
-def test_a_yearly_wave_is_forecast():
+def test_a_yearly_wave_is_forecast(spark):
     t = np.arange(3 * 365 + 90)
     values = 1000 + 300 * np.sin(2 * np.pi * t / 365.25)
-    model = forecast._fit(_daily(values[:-90]), "y", [], forecast.Needs()).iloc[0]
+    model = _model(spark, values[:-90])
     ahead = forecast._predict(model, pd.date_range("2021-01-01", periods=len(t))[-90:], np.zeros((90, 0)), 1.6)
     assert np.abs(ahead["forecast_value"] - values[-90:]).mean() < 40
     assert model["seasonal_periods"] == "WEEKLY,YEARLY"
 
 
-def test_short_series_get_mean_and_spread():
-    model = forecast._fit(_daily([10.0, 14.0, 12.0]), "y", [], forecast.Needs()).iloc[0]
+def test_short_series_get_mean_and_spread(spark):
+    model = _model(spark, [10.0, 14.0, 12.0])
     ahead = forecast._predict(model, pd.date_range("2021-01-04", periods=5), np.zeros((5, 0)), 1.6)
     assert ahead["forecast_value"].tolist() == [12.0] * 5 and (ahead["standard_error"] == 2.0).all()
     assert model["non_seasonal_d"] is None and model["has_drift"] is None
-    one = forecast._fit(_daily([7.0]), "y", [], forecast.Needs()).iloc[0]
+    one = _model(spark, [7.0])
     alone = forecast._predict(one, pd.date_range("2021-01-02", periods=2), np.zeros((2, 0)), 1.6)
     assert alone["forecast_value"].tolist() == [7.0, 7.0] and alone["standard_error"].isna().all()
 
 
-def test_drift_is_forecast_only_where_it_is_found():
+def test_drift_is_forecast_only_where_it_is_found(spark):
     rng = np.random.default_rng(2)
-    walk = _daily(1000 + np.cumsum(rng.normal(0, 5, 400)))
-    flat = forecast._fit(walk, "y", [], forecast.Needs()).iloc[0]
+    flat = _model(spark, 1000 + np.cumsum(rng.normal(0, 5, 400)))
     assert flat["non_seasonal_d"] == 1 and not flat["has_drift"] and flat["drift"] == 0
-    rising = forecast._fit(_daily(np.cumsum(rng.normal(4, 2, 400))), "y", [], forecast.Needs()).iloc[0]
+    rising = _model(spark, np.cumsum(rng.normal(4, 2, 400)))
     assert rising["has_drift"] and abs(rising["drift"] - 4) < 1
 
 
