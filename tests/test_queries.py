@@ -79,7 +79,8 @@ def test_explained_components_add_up(spark, folder):
     rows = QUERIES["forecast_explain"].run(spark, folder).collect()
     assert {r.tipo for r in rows} == {"history", "forecast"}
     for r in rows:
-        assert abs(r.valor - r.tendencia - r.estacionalidad - r.residuo) < 1e-3
+        parts = (r.tendencia, r.estacionalidad, r.feriado, r.pico, r.escalon, r.residuo)
+        assert abs(r.valor - sum(parts)) < 1e-3
 
 
 def test_kmeans_covers_all_products(spark, folder):
