@@ -27,7 +27,7 @@ _BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(sorted(set(range(256)) - set
 _SPECIAL = b"<|"  # a text with this may hold a special token's string
 
 
-GROUP = 8 << 20  # bytes of text taken at a time
+GROUP = 2 << 20  # bytes of text taken at a time; their words and numbers take some forty times that
 
 
 class _Numbers(dict):
