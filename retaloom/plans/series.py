@@ -154,3 +154,16 @@ def regression_sums(series: DataFrame) -> DataFrame:
         add(x * x, "s_xx"), add(h * h, "s_hh"), add(x * h, "s_xh"),
         add(x * y, "s_xy"), add(h * y, "s_hy"), add(y * y, "s_yy"),
     )
+
+
+SUMS = ("s_y", "s_x", "s_h", "s_xx", "s_hh", "s_xh", "s_xy", "s_hy", "s_yy")
+LONG = 2**63 - 1
+
+
+def whole_sums(sums: DataFrame) -> DataFrame:
+    """Sufficient statistics rounded to whole numbers: a column is a long if all its values
+    fit, else decimal(38,0), as sums of squares outgrow a long first. ``sums`` is read twice."""
+    whole = {c: F.round(c, 0).cast("decimal(38,0)") for c in SUMS}
+    most = sums.agg(*[F.max(F.abs(whole[c])).alias(c) for c in SUMS]).first()
+    return sums.select("id_canal", "n", *[
+        (whole[c].cast("bigint") if (most[c] or 0) <= LONG else whole[c]).alias(c) for c in SUMS])

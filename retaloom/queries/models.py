@@ -72,11 +72,9 @@ SELECT * FROM (WITH {_SERIES},
          {b('ROUND(SUM(x * h), 0)')} AS s_xh, {b('ROUND(SUM(x * y), 0)')} AS s_xy,
          {b('ROUND(SUM(h * y), 0)')} AS s_hy, {b('ROUND(SUM(y * y), 0)')} AS s_yy
   FROM s GROUP BY 1) AS q""".replace(b("SUM(y)"), b("ROUND(SUM(y), 0)"))
-       .replace(b("SUM(x)"), b("ROUND(SUM(x), 0)")))
+       .replace(b("SUM(x)"), b("ROUND(SUM(x), 0)")), wide=series.SUMS)
 def sufficient(m):
-    sums = series.regression_sums(_series(m))
-    return sums.select("id_canal", "n", *[
-        F.round(c, 0).cast("bigint").alias(c) for c in sums.columns if c.startswith("s_")])
+    return series.whole_sums(as_table(series.regression_sums(_series(m)), "sums"))  # a row per channel
 
 
 # -- panel ---------------------------------------------------------------------------

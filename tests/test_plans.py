@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from retaloom.medallion import from_standins
 from retaloom.plans import cells, checkrun, distinct, forecast, panel, regress, series
 from retaloom.queries import QUERIES
+from retaloom.queries.registry import plain
 from retaloom.sources import commits
 from retaloom.streaming import refresh
 
@@ -237,3 +238,17 @@ def test_damage_of_the_calendar_is_found(spark, folder, name):
         assert [(r.id_fecha, r.veces) for r in rows] == [(19990728, 2)]
     else:
         assert (dt.date(1998, 3, 10), dt.date(1998, 3, 14), 5) in {(r.desde, r.hasta, r.dias) for r in rows}
+
+
+def test_sums_beyond_a_long_stay_whole(spark):
+    day = dt.date(2000, 1, 1)
+    rows = [(day + dt.timedelta(days=i), c, Decimal(big), Decimal("2.00"), 1)
+            for c, big in ((1, "3000000000.50"), (2, "5.25")) for i in range(3)]
+    daily = spark.createDataFrame(
+        rows, "ds date, id_canal int, ventas_netas_soles decimal(28,2), inversion_promo decimal(28,2), es_feriado int")
+    got = plain(series.whole_sums(series.regression_sums(daily)), series.SUMS)
+    assert dict(got.dtypes)["s_yy"] == "decimal(38,0)" and dict(got.dtypes)["s_xy"] == "bigint"
+    found = {r.id_canal: (int(r.s_yy), r.s_xy) for r in got.collect()}
+    assert found == {1: (27000000009000000001, 18000000003), 2: (83, 32)}
+    small = series.whole_sums(series.regression_sums(daily.where("id_canal = 2")))
+    assert {t for c, t in small.dtypes if c.startswith("s_")} == {"bigint"}
