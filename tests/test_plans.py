@@ -252,3 +252,12 @@ def test_sums_beyond_a_long_stay_whole(spark):
     assert found == {1: (27000000009000000001, 18000000003), 2: (83, 32)}
     small = series.whole_sums(series.regression_sums(daily.where("id_canal = 2")))
     assert {t for c, t in small.dtypes if c.startswith("s_")} == {"bigint"}
+
+
+def test_training_rows_are_spread_by_their_number(spark):
+    rows = spark.range(4000).select(*[F.col("id").alias(c) for c in panel.KEYS]).coalesce(1)
+    assert panel.spread(rows, 4000, per_task=4000).rdd.getNumPartitions() == 1
+    spread = panel.spread(rows, 4000, per_task=100)
+    assert spread.rdd.getNumPartitions() == 40
+    assert max(spread.groupBy(F.spark_partition_id()).count().toPandas()["count"]) < 200
+    assert spread.exceptAll(rows).isEmpty() and spread.count() == 4000
