@@ -29,6 +29,7 @@ class Dim:
     attrs: list[str | Column]
     unique: bool = False
     small: bool = False  # size fixed by a parameter, as the calendar by its range
+    large: bool = False  # grows with the facts, as products do
     digest: Callable[[list[str]], Column] = _hash
 
     @cached_property
@@ -47,6 +48,14 @@ class Dim:
         kept = [a for a, n in zip(self.attrs, self.names) if n in levels]
         return replace(self, attrs=kept, unique=False)
 
+    def told_apart(self) -> Dim:
+        """The dimension as ``unique`` if each row has a key and attributes of its own, which one
+        pass over it tells; for dimensions that are small and stored."""
+        rows = self.frame.select(F.col(self.key), *self.attrs).where(F.col(self.key).isNotNull())
+        n, keys, values = rows.agg(
+            F.count(F.lit(1)), F.count_distinct(self.key), F.count_distinct(F.struct(*self.names))).first()
+        return replace(self, unique=True) if n == keys == values else self
+
     def _sized(self, rows: DataFrame) -> DataFrame:
         return F.broadcast(rows) if self.small else rows
 
@@ -79,7 +88,7 @@ class Dim:
 
 def star_cube(
     fact: DataFrame, dims: list[Dim], measures: list[Column], levels: Collection[str] | None = None,
-    also: Sequence[str] = (),
+    also: Sequence[str] = (), later: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Group a fact by the attributes of its dimensions, or by those named in ``levels``, and
     by the columns of its own that ``also`` names.
@@ -87,18 +96,24 @@ def star_cube(
     The shuffle carries one number per dimension and the measures, combined before
     it. Attributes, which are many and wide, are attached to the aggregated rows
     only. A fact row without a partner drops out, as in an inner join; a dimension
-    of which no attribute is wanted is joined by its key for that alone.
+    of which no attribute is wanted is joined by its key for that alone. Large dimensions are
+    joined first, before the small ones widen the rows that a join by key has to shuffle.
+    ``later`` may add columns to the aggregated rows by their groups.
     """
     if levels is not None:
         dims = [dim.only(levels) for dim in dims]
-    for dim in dims:
+    large_first = sorted(dims, key=lambda dim: not dim.large)
+    for dim in large_first:
         if not dim.unique:
             fact = fact.join(dim.keyed(), dim.key)
     dims = [dim for dim in dims if dim.names]
     groups = [g for dim in dims for g in dim.groups] + list(also)
     cube = fact.groupBy(*groups).agg(*measures)
-    for dim in dims:
-        cube = cube.join(dim.attributes(), dim.groups)
+    for dim in large_first:
+        if dim.names:
+            cube = cube.join(dim.attributes(), dim.groups)
+    if later is not None:
+        cube = later(cube)
     names = [n for dim in dims for n in dim.names]
     made = [c for c in cube.columns if c not in names and c not in groups]
     return cube.select(*names, *also, *made)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Callable, Collection
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -46,7 +46,7 @@ def _time(star, attrs: list[str]) -> Dim:
 
 
 def _product(star) -> Dim:
-    return Dim(star.dim("producto"), "id_producto", PRODUCT)
+    return Dim(star.dim("producto"), "id_producto", PRODUCT, large=True)
 
 
 def with_targets(fact: DataFrame, targets: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -62,9 +62,34 @@ def with_targets(fact: DataFrame, targets: DataFrame, key: str, how: str = "inne
     ).drop("periodo")
 
 
+def _targets(
+    fact: DataFrame, targets: DataFrame, dim: Dim, how: str, names: dict[str, str],
+) -> tuple[DataFrame, list[Column], Callable[[DataFrame], DataFrame] | None]:
+    """The fact with what a cube needs of its targets, the measures, and what is joined later.
+
+    Where the keys of ``dim`` are told apart, a cell is of one day and one key, so all its rows have
+    the same targets: rows are matched by period and key alone, and the targets put on the
+    cells. Otherwise every row carries them, and a cell has their maximum.
+    """
+    if not dim.unique:
+        return with_targets(fact, targets, dim.key, how), [F.max(c).alias(n) for n, c in names.items()], None
+    per_key = targets.groupBy("periodo", dim.key).agg(*[F.max(c).alias(n) for n, c in names.items()])
+
+    def later(cells: DataFrame) -> DataFrame:
+        on = per_key.withColumnsRenamed({"periodo": "_p", dim.key: "_k"})
+        same = (F.expr("id_fecha div 100") == F.col("_p")) & (F.col(dim.key) == F.col("_k"))
+        return cells.join(on, same, "left").drop("_p", "_k")
+
+    return with_targets(fact, targets.select("periodo", dim.key), dim.key, how), [], later
+
+
 def commercial(star, how: str = "inner", levels: Collection[str] | None = None) -> DataFrame:
     """Sales measures and targets by all attributes, or by those named in ``levels``."""
-    fact = with_targets(star.fact("ventas"), star.small("metas_comercial"), "id_canal", how)
+    channel = Dim(star.small("canal"), "id_canal", CHANNEL)
+    if levels is None:
+        channel = channel.told_apart()
+    fact, targets, later = _targets(
+        star.fact("ventas"), star.small("metas_comercial"), channel, how, COMMERCIAL_TARGETS)
     net, cost = F.col("ventas_netas_soles"), F.col("costo_ventas_soles")
     measures = [
         F.sum(net).alias("ventas_netas"),
@@ -75,15 +100,15 @@ def commercial(star, how: str = "inner", levels: Collection[str] | None = None)
         F.sum("cantidad_vendida").alias("cantidad_vendida"),
         F.sum("unidades_devueltas").alias("unidades_devueltas"),
         F.sum("monto_devuelto_soles").alias("monto_devuelto"),
-    ] + [F.max(source).alias(name) for name, source in COMMERCIAL_TARGETS.items()]
+    ]
     dims = [
         _time(star, TIME),
-        Dim(star.small("canal"), "id_canal", CHANNEL),
+        channel,
         Dim(star.small("geografia"), "id_geografia", PLACE),
         _product(star),
         Dim(star.dim("vendedor"), "id_vendedor", _seller()),
     ]
-    return star_cube(fact, dims, measures, levels)
+    return star_cube(fact, dims, [*measures, *targets], levels, later=later)
 
 
 def invoice_dims(star) -> list[Dim]:
@@ -120,13 +145,15 @@ def invoices_deduplicated(star) -> DataFrame:
 
 
 def _inventory(star, measures: list[Column], how: str) -> DataFrame:
-    fact = with_targets(star.fact("inventario"), star.small("metas_operativo"), "id_almacen", how)
+    store = Dim(star.small("almacen"), "id_almacen", STORE).told_apart()
+    fact, targets, later = _targets(
+        star.fact("inventario"), star.small("metas_operativo"), store, how, {t: t for t in OPERATIONAL_TARGETS})
     dims = [
         _time(star, INVENTORY_TIME),
-        Dim(star.small("almacen"), "id_almacen", STORE),
+        store,
         _product(star),
     ]
-    return star_cube(fact, dims, measures)
+    return star_cube(fact, dims, [*measures, *targets], later=later)
 
 
 def _inventory_measures(of_cells: bool = False) -> list[Column]:
@@ -138,7 +165,6 @@ def _inventory_measures(of_cells: bool = False) -> list[Column]:
         F.sum(out).alias("skus_en_quiebre"),
         (F.sum("filas") if of_cells else F.count(F.lit(1))).alias("total_skus"),
         F.sum("demanda_diaria_prom").alias("demanda_diaria_total"),
-        *[F.max(t).alias(t) for t in OPERATIONAL_TARGETS],
     ]
 
 

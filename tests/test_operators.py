@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from retaloom.medallion import from_standins
 from retaloom.operators.numbering import number_rows
 from retaloom.operators.star import Dim, star_cube
-from retaloom.plans import panel, segment
+from retaloom.plans import cubes, panel, segment
 from retaloom.plans.curated import FACT_SALES_COLUMNS, fact_ventas
 from retaloom.queries import QUERIES
 from retaloom.session import settle
@@ -189,3 +189,45 @@ def test_cube_of_some_levels_equals_its_roll_up(spark):
         want = whole.groupBy(*levels).agg(F.sum("v").alias("v"))
         assert some.columns == [*levels, "v"]
         assert sorted(map(tuple, some.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+
+
+def _with_goals(spark, names, goals):
+    """A small cube with targets, both ways, for the given channels and targets."""
+    fact = spark.createDataFrame(
+        [(20000100 + i % 3 + (i % 2) * 100, i % 4 or None, i % 5, i) for i in range(60)],
+        "id_fecha int, id_canal int, id_producto int, v int")
+    days = Dim(fact.select("id_fecha").distinct(), "id_fecha", ["id_fecha"], unique=True)
+    days = Dim(days.frame.withColumn("dia", F.col("id_fecha") % 100 + F.col("id_fecha")), "id_fecha", ["dia"], unique=True)
+    goods = Dim(spark.createDataFrame([(i, f"p{i // 2}") for i in range(5)], "id_producto int, sku string"),
+                "id_producto", ["sku"], large=True)
+    channel = Dim(spark.createDataFrame(names, "id_canal int, canal string"), "id_canal", ["canal"])
+    targets = spark.createDataFrame(goals, "periodo int, id_canal int, meta_a int")
+    out = []
+    for dim in (channel, channel.told_apart()):
+        for how in ("inner", "left"):
+            rows, most, later = cubes._targets(fact, targets, dim, how, {"a": "meta_a"})
+            assert ("meta_a" in rows.columns) != dim.unique
+            cube = star_cube(rows, [days, dim, goods], [F.sum("v").alias("v"), *most], later=later)
+            assert cube.columns == ["dia", "canal", "sku", "v", "a"]
+            out.append(sorted(map(tuple, cube.collect()), key=str))
+    return out, channel.told_apart().unique
+
+
+def test_targets_put_on_cells_equal_those_carried_by_rows(spark):
+    # a target that comes twice counts its rows twice; one month and one channel have none
+    goals = [(200001, 1, 10), (200001, 1, 30), (200001, 2, 20), (200002, 2, 5), (200002, 1, None)]
+    (a, b, c, d), unique = _with_goals(spark, [(1, "x"), (2, "y"), (3, None)], goals)
+    assert unique and a == c and b == d and len(a) < len(b)
+    (a, b, c, d), unique = _with_goals(spark, [(1, "x"), (2, "x"), (3, "z")], goals)
+    assert not unique and a == c and b == d
+    assert not _with_goals(spark, [(1, "x"), (1, "y"), (2, "z")], goals)[1]
+
+
+def test_large_dimensions_are_shuffled_without_the_attributes_of_small_ones(spark):
+    fact = spark.createDataFrame([(i % 3, i % 7, i) for i in range(50)], "s int, b int, v int")
+    small = Dim(spark.createDataFrame([(i, f"s{i}") for i in range(3)], "s int, name string"), "s", ["name"])
+    big = Dim(spark.createDataFrame([(i, f"b{i}") for i in range(7)], "b int, sku string"), "b", ["sku"], large=True)
+    cube = star_cube(fact, [small, big], [F.sum("v").alias("v")])
+    assert cube.columns == ["name", "sku", "v"] and cube.count() == 21
+    attached = [line for line in cube._jdf.queryExecution().analyzed().toString().splitlines() if "Join" in line]
+    assert "_group_s" in attached[0] and "_group_b" in attached[1]  # the outermost join comes last
