@@ -18,15 +18,23 @@ CAPACITY = 4096
 SURE = 0.5  # least probability of a document's language
 
 
+def _beside(docs: DataFrame) -> DataFrame:
+    """The text, and all other columns as one, so that no new column takes the place of one."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("others"), "text")
+
+
+def _as_before(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*[F.col("text") if c == "text" else F.col(f"others.`{c}`") for c in docs.columns])
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a letter and those for which no language is likelier than
     all others together. Trained as the query of its own is, on the rows' own languages."""
     network = langid.train(docs, crc_mod("doc_id", 5) != 0)
     if network is None:  # nothing to learn from: only the letters decide
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "text")
-    kept = langid.predict(whole, network).where((F.col("lang_pred") != "und") & (F.col("score") >= SURE))
-    return kept.select("whole.*")
+    known = langid.predict(_beside(docs), network)
+    return _as_before(known.where((F.col("lang_pred") != "und") & (F.col("score") >= SURE)), docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,9 +48,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold ten consecutive words of a benchmark item, or a whole short one."""
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.contamination(whole, benchmark, n=10).where("n_hit = 0").select("whole.*")
+    return _as_before(decontaminate.contamination(_beside(docs), benchmark, n=10).where("n_hit = 0"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

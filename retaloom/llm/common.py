@@ -69,6 +69,18 @@ def texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [b or b"" for b in col.to_pylist()]
 
 
+def slices(batch: list[bytes], most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Places of runs of texts of about ``most`` bytes, at least one text each."""
+    start = size = 0
+    for i, text in enumerate(batch):
+        size += len(text)
+        if size >= most:
+            yield start, i + 1
+            start, size = i + 1, 0
+    if start < len(batch):
+        yield start, len(batch)
+
+
 def appended(
     df: DataFrame,
     text: str,
@@ -85,14 +97,17 @@ def appended(
     new = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
     taken = {f.name.lower() for f in new.fields}
     kept = [c for c in df.columns if c.lower() not in taken]
-    source = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text__"))
-    names = kept + [f.name for f in new.fields]
+    # A text that stays goes to Python once; one that gives way goes there beside the rest.
+    beside = [] if text in kept else [F.col(f"`{text}`").alias("__text__")]
+    source = df.select(*[F.col(f"`{c}`") for c in kept], *beside)
+    names, column = kept + [f.name for f in new.fields], "__text__" if beside else text
+    n = len(kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = setup() if setup else make
         for batch in batches:
-            found = work(texts(batch, "__text__"))
-            columns = list(batch.columns[:-1]) + [found[f.name] for f in new.fields]
+            found = work(texts(batch, column))
+            columns = list(batch.columns[:n]) + [found[f.name] for f in new.fields]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     out = T.StructType([source.schema[c] for c in kept] + list(new.fields))

@@ -9,7 +9,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from retaloom.llm.common import alnum_words, appended
+from retaloom.llm.common import alnum_words, appended, slices
 
 _WORD = regex.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # before lowering
 
@@ -179,19 +179,23 @@ def contamination(
             return made, named
 
         def work(batch: list[bytes]) -> dict[str, pa.Array]:
-            words = [alnum_words(t) for t in batch]
-            hits = [np.zeros(len(w), dtype=bool) for w in words]
+            hits: list[np.ndarray] = []
             names: list[set[str]] = [set() for _ in batch]
             for block in shared:
                 made, named = one[0] or automaton(block)
                 if len(shared) == 1:
                     one[0] = (made, named)
-                for w, hit, name in zip(words, hits, names):
-                    found: set[int] = set()
-                    made.scan(w, hit, found)
-                    name.update(named[k] for k in found)
+                # Words take many times the bytes of their text: those of some texts at a time.
+                for start, end in slices(batch):
+                    words = [alnum_words(t) for t in batch[start:end]]
+                    if len(hits) < end:
+                        hits += [np.zeros(len(w), dtype=bool) for w in words]
+                    for w, hit, name in zip(words, hits[start:end], names[start:end]):
+                        found: set[int] = set()
+                        made.scan(w, hit, found)
+                        name.update(named[k] for k in found)
             out = {
-                "n_words": pa.array([len(w) for w in words], pa.int64()),
+                "n_words": pa.array([len(h) for h in hits], pa.int64()),
                 "n_hit": pa.array([int(h.sum()) for h in hits], pa.int64()),
                 "n_items": pa.array([len(s) for s in names], pa.int64()),
                 "items": pa.array([sorted(s) for s in names], pa.list_(pa.string())),

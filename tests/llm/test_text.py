@@ -9,7 +9,7 @@ import re
 import pytest
 
 from retaloom.llm import decontaminate, html, queries, secrets
-from retaloom.llm.common import alnum_words
+from retaloom.llm.common import alnum_words, slices
 
 
 def plain_hits(words, items, n):
@@ -263,3 +263,17 @@ def test_deep_and_unclosed_pages_take_linear_time():
         start = time.process_time()
         _whole(page)
         assert time.process_time() - start < 5
+
+
+def test_a_text_goes_to_python_once_and_its_words_in_parts(spark):
+    batch = [b"x" * n for n in (5, 0, 7, 100, 1)]
+    assert list(slices(batch, 10)) == [(0, 3), (3, 4), (4, 5)] and list(slices([], 10)) == []
+    docs = spark.createDataFrame([(1, "a b c d"), (2, None), (3, "c d e")], "doc_id int, text string")
+    items = spark.createDataFrame([("q", "c d")], "item_id string, text string")
+    found = decontaminate.contamination(docs, items, n=2)
+    assert "__text__" not in found._jdf.queryExecution().analyzed().toString()
+    assert [tuple(r) for r in found.orderBy("doc_id").select("text", "n_words", "n_hit", "items").collect()] == [
+        ("a b c d", 4, 2, ["q"]), (None, 0, 0, []), ("c d e", 3, 2, ["q"])]
+    # a column of the text's name that a new one replaces still gives its texts
+    named = docs.withColumnRenamed("text", "n_hit")
+    assert [r.n_hit for r in decontaminate.contamination(named, items, n=2, text_col="n_hit").orderBy("doc_id").collect()] == [2, 0, 2]
