@@ -89,6 +89,7 @@ class Dim:
 def star_cube(
     fact: DataFrame, dims: list[Dim], measures: list[Column], levels: Collection[str] | None = None,
     also: Sequence[str] = (), later: Callable[[DataFrame], DataFrame] | None = None,
+    gathered: Callable[[DataFrame, list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Group a fact by the attributes of its dimensions, or by those named in ``levels``, and
     by the columns of its own that ``also`` names.
@@ -98,7 +99,8 @@ def star_cube(
     only. A fact row without a partner drops out, as in an inner join; a dimension
     of which no attribute is wanted is joined by its key for that alone. Large dimensions are
     joined first, before the small ones widen the rows that a join by key has to shuffle.
-    ``later`` may add columns to the aggregated rows by their groups.
+    ``later`` may add columns to the aggregated rows by their groups. ``gathered`` is given the
+    rows and the dimensions' groups before they are aggregated, and gives those to aggregate.
     """
     if levels is not None:
         dims = [dim.only(levels) for dim in dims]
@@ -107,7 +109,10 @@ def star_cube(
         if not dim.unique:
             fact = fact.join(dim.keyed(), dim.key)
     dims = [dim for dim in dims if dim.names]
-    groups = [g for dim in dims for g in dim.groups] + list(also)
+    groups = [g for dim in dims for g in dim.groups]
+    if gathered is not None:
+        fact = gathered(fact, groups)
+    groups += also
     cube = fact.groupBy(*groups).agg(*measures)
     for dim in large_first:
         if dim.names:

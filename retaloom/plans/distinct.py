@@ -26,6 +26,8 @@ LEVELS = ["anio_mes", "tipo_canal", "nombre_canal", "Departamento"]
 BUCKET, MAP, NUMBER = "cubeta", "mapa", "numero"
 INVOICE, CUSTOMER = ("num_factura", "id_fecha"), ("id_cliente", "id_geografia")
 LEVEL_ID = "nivel"
+MAP_BYTES = 4096  # of a bitmap
+TASK_BYTES = 32 << 20  # of bitmaps for a task
 
 
 def numbers(fact: DataFrame, column: str, near: str, known: DataFrame | None = None) -> DataFrame:
@@ -44,12 +46,15 @@ def numbers(fact: DataFrame, column: str, near: str, known: DataFrame | None = N
 
 def bitmaps(star, column: str, numbered: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
     """(levels, bucket, bitmap) of the numbers that occur in each cell of the invoice cube."""
-    # Lines of one invoice or customer are folded before they meet their number.
-    keys = ["id_fecha", "id_canal", "id_geografia", "id_vendedor"]
-    once = star.fact("ventas").select(column, *keys).where(F.col(column).isNotNull()).distinct()
-    rows = once.join(numbered, column).withColumn(BUCKET, F.bitmap_bucket_number(NUMBER))
+    def gathered(rows: DataFrame, groups: list[str]) -> DataFrame:
+        # A number once per cell, then all of a cell's bucket in one task: tasks sort and shuffle
+        # narrow rows, at most one per bit, and no two make bitmaps of 4 kB for the same bucket.
+        once = rows.select(column, *groups).distinct().join(numbered, column)
+        return once.withColumn(BUCKET, F.bitmap_bucket_number(NUMBER)).repartition(*groups, BUCKET)
+
+    rows = star.fact("ventas").where(F.col(column).isNotNull())
     made = F.bitmap_construct_agg(F.bitmap_bit_position(NUMBER)).alias(MAP)
-    return star_cube(rows, cubes.invoice_dims(star), [made], levels, also=[BUCKET])
+    return star_cube(rows, cubes.invoice_dims(star), [made], levels, also=[BUCKET], gathered=gathered)
 
 
 def merged(cells: Sequence[DataFrame], levels: Sequence[str] = LEVELS) -> DataFrame:
@@ -59,11 +64,20 @@ def merged(cells: Sequence[DataFrame], levels: Sequence[str] = LEVELS) -> DataFr
 
 def count_at(cells: DataFrame, sets: Sequence[Sequence[str]], out: str, levels: Sequence[str] = LEVELS) -> DataFrame:
     """Exact distinct counts at each of the grouping sets."""
-    one = cells.groupingSets(
-        [[F.col(c) for c in (*s, BUCKET)] for s in sets], *[F.col(c) for c in (*levels, BUCKET)]).agg(
-        (F.shiftright(F.grouping_id(), 1)).alias(LEVEL_ID),  # the bucket is in every set
-        F.bitmap_count(F.bitmap_or_agg(MAP)).alias("_n"))
-    return one.groupBy(*levels, LEVEL_ID).agg(F.sum("_n").alias(out))
+    # Bitmaps compress to a fraction in shuffles and files, so tasks are sized by what they unpack to.
+    # No cell is in two buckets: each set is or-ed where the buckets are, and only counts are moved on.
+    n = max(1, -(-cells.count() * MAP_BYTES // TASK_BYTES))
+    dealt = cells.select(*levels, BUCKET, MAP).repartition(n, BUCKET)
+    types = {f.name: f.dataType for f in cells.schema.fields}
+
+    def one(s: Sequence[str]) -> DataFrame:
+        level = sum(1 << i for i, c in enumerate(reversed(levels)) if c not in s)  # as grouping_id
+        counted = dealt.groupBy(*s, BUCKET).agg(F.bitmap_count(F.bitmap_or_agg(MAP)).alias("_n"))
+        return counted.select(*[
+            F.col(c) if c in s else F.lit(None).cast(types[c]).alias(c) for c in levels],
+            F.lit(level).cast("bigint").alias(LEVEL_ID), "_n")
+
+    return reduce(DataFrame.unionByName, map(one, sets)).groupBy(*levels, LEVEL_ID).agg(F.sum("_n").alias(out))
 
 
 def sum_at(cube: DataFrame, sets: Sequence[Sequence[str]], column: str, levels: Sequence[str] = LEVELS) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+from collections import Counter
 from decimal import Decimal
 
 import numpy as np
@@ -108,6 +109,36 @@ def test_bitmaps_of_two_loads_count_once(spark, folder):
     assert {r.nombre_canal: r.n for r in got.collect()} == want
 
 
+def test_no_two_tasks_make_bitmaps_of_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(distinct, "TASK_BYTES", distinct.MAP_BYTES)
+    rows = [(m, t, t and t + "1", d, n) for n in range(1, 70001, 700)
+            for m, t, d in (("2000-01", "a", "x"), ("2000-02", None, "x"), ("2000-01", "b", None))[:1 + n % 3]]
+    cells = spark.createDataFrame(rows, f"{', '.join(f'{c} string' for c in distinct.LEVELS)}, n int")
+    cells = cells.groupBy(*distinct.LEVELS, F.bitmap_bucket_number("n").alias(distinct.BUCKET)).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("n")).alias(distinct.MAP))
+    sets = [[], ["anio_mes"], ["tipo_canal", "nombre_canal"], distinct.LEVELS]
+    got = distinct.count_at(cells, sets, "n")
+    want = Counter()
+    for s in sets:
+        level = sum(1 << i for i, c in enumerate(reversed(distinct.LEVELS)) if c not in s)
+        kept = lambda r: tuple(v if c in s else None for c, v in zip(distinct.LEVELS, r))
+        want.update((*k, level) for k, _ in {(kept(r), r[-1]) for r in rows})
+    plan = got._jdf.queryExecution().executedPlan().toString().splitlines()
+    folds = [i for i, line in enumerate(plan) if "partial_bitmap_or_agg" in line]
+    assert len(folds) == len(sets) and not any("Expand" in line for line in plan)
+    assert all("bitmap_or_agg" in plan[i - 1] for i in folds)  # the whole one, without a shuffle in between
+    assert {tuple(r[:-1]): r.n for r in got.collect()} == want
+
+
+def test_rows_of_a_bucket_meet_before_its_bitmap_is_made(spark, folder):
+    m = from_standins(spark, folder)
+    column, near = distinct.INVOICE
+    cells = distinct.bitmaps(m, column, distinct.numbers(m.fact("ventas"), column, near))
+    plan = cells._jdf.queryExecution().executedPlan().toString().splitlines()
+    made = next(i for i, line in enumerate(plan) if "partial_bitmap_construct_agg" in line)
+    assert "bitmap_construct_agg" in plan[made - 1]  # the whole one, without a shuffle in between
+
+
 # -- least squares and components --------------------------------------------------------------
 
 def test_coefficients_equal_least_squares(spark):
