@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
+from threading import Lock
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from retaloom.schemas import LAYER_AUDIT, RAW_AUDIT
@@ -13,6 +16,7 @@ from retaloom.sources.tables import create_empty
 
 OK, ERROR = "EXITOSO", "ERROR"
 MESSAGE_LENGTH = 1024
+AT_ONCE = 4  # tables written at the same time
 
 
 class AuditLog:
@@ -27,6 +31,7 @@ class AuditLog:
     def __init__(self, spark: SparkSession, path: str, raw: bool = False):
         self.spark, self.path, self.raw = spark, path, raw
         self.schema = RAW_AUDIT if raw else LAYER_AUDIT
+        self._one = Lock()  # steps that run at once add their rows one after another
         create_empty(spark, path, self.schema, self.BY)
 
     def read(self) -> DataFrame:
@@ -42,7 +47,8 @@ class AuditLog:
         } for row in rows]
         names = [c.split()[0] for c in self.schema.split(",")]
         values = [tuple(row[n] for n in names) for row in full]
-        commits.append(self.spark.createDataFrame(values, self.schema).coalesce(1), self.path, self.BY)
+        with self._one:
+            commits.append(self.spark.createDataFrame(values, self.schema).coalesce(1), self.path, self.BY)
 
     def append_files(self, table: str, kind: str, files: DataFrame) -> None:
         """A row of success per loaded file, written by the executors.
@@ -101,6 +107,19 @@ def run_step(log: AuditLog, table: str, kind: str, make: Callable[[], DataFrame]
         return False
 
 
+def run_steps(log: AuditLog, kind: str, steps: Sequence[tuple[str, Callable[[], DataFrame], Callable[[DataFrame], None]]],
+              at_once: int = AT_ONCE) -> list[bool]:
+    """Steps (table, make, write) that do not read each other's tables, some at the same time.
+
+    Small tables, listings, commits and the last tasks of a large table leave cores idle; the
+    other steps use them. A step that fails does not stop the others.
+    """
+    with ThreadPoolExecutor(at_once) as pool:
+        runs = [pool.submit(inheritable_thread_target(log.spark)(run_step), log, table, kind, make, write)
+                for table, make, write in steps]
+        return [run.result() for run in runs]
+
+
 def run_action(log: AuditLog, table: str, kind: str, action: Callable[[], None]) -> bool:
     """Record a step that produces a model rather than a table; it counts as one row."""
     try:

@@ -170,12 +170,12 @@ def audit_rows(m):
     log = audit.AuditLog(m.spark, f"{work}/etl_control")
 
     def step(name, make):
-        audit.run_step(log, name, "FULL_REFRESH", make, lambda df: tables.write_table(
-            df, f"{work}/trusted/{name}", trusted.LAYOUT_DATE.get(name)))
+        return name, make, lambda df: tables.write_table(
+            df, f"{work}/trusted/{name}", trusted.LAYOUT_DATE.get(name))
 
-    step("rota", lambda: m.trusted("ventas").select("no_existe"))
-    for name in _TRUSTED:
-        step(name, lambda: m.trusted(name))
+    audit.run_steps(log, "FULL_REFRESH", [
+        step("rota", lambda: m.trusted("ventas").select("no_existe")),
+        *[step(name, lambda name=name: m.trusted(name)) for name in _TRUSTED]])
     return log.read().select("tabla_destino", "tipo", "estado", "registros_cargados")
 
 
